@@ -15,7 +15,11 @@ from logtide.operators import report as report_ops
 from logtide.plans import fixtures as fx
 from logtide.plans import oracles as o
 from logtide.schemas import REPORT_WINDOW_MS, SHORT_WINDOW_MS
-from logtide.session import use_utc
+from logtide.session import new_work_dir, use_utc
+from logtide.sources.dimension import empty_snapshots, snapshot_table_provider
+from logtide.streaming import jobs
+from logtide.streaming.replay import replay
+from logtide.streaming.sinks import read_latest, write_by_type
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,16 +143,7 @@ def area_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("area_as_of_version", f"""
-WITH {o.ITEMS},
-ver AS (
-  SELECT 0 AS version, n_name AS country_code, n_regionkey AS rk FROM nation
-  UNION ALL SELECT 2, n_name, CASE WHEN n_nationkey = 1 THEN (n_regionkey + 1) % 5 ELSE n_regionkey END FROM nation
-  UNION ALL SELECT 4, n_name, n_regionkey FROM nation WHERE n_nationkey <> 2
-  UNION ALL SELECT 6, n_name, n_regionkey FROM nation),
-vmap AS (SELECT version, country_code, 'AREA_' || r_name AS area FROM ver JOIN region ON rk = r_regionkey),
-published AS (SELECT DISTINCT version FROM vmap),
-inforce AS (SELECT b.batch_id, (SELECT max(p.version) FROM published p WHERE p.version <= b.batch_id) AS version
-            FROM (SELECT DISTINCT batch_id FROM items) b)
+WITH {o.ITEMS}, {o.VERSIONS}
 SELECT i.key, i.item_pos, i.batch_id, i.country_code, v.area
 FROM items i JOIN inforce f ON i.batch_id = f.batch_id
 LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code""")
@@ -260,3 +255,129 @@ FROM f2 GROUP BY time, type, area""")
 def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents after keyed upserts of all firings (last write per id wins)."""
     return lateness.firing_documents(lateness.firings(_compressed_classified(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ sinks, quality
+
+@register("store_by_type", f"""
+WITH {o.ITEMS} SELECT type, count(*) AS n_records FROM items GROUP BY type""")
+def store_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean records stored in one folder per type, read back from the store."""
+    recs = clean_ops.clean_records(fx.raw_log(spark, sf_dir), _mapping(spark, sf_dir))
+    path = new_work_dir(spark, "store-by-type")
+    write_by_type(recs, path)
+    return spark.read.parquet(path).groupBy("type").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+@register("quality_counts", f"""
+WITH {o.ITEMS}, {o.DIRTY_AUDIT}, {o.VERSIONS}
+SELECT 'messages_' || CASE o_orderkey % 101 WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing_data' WHEN 3 THEN 'malformed'
+       WHEN 6 THEN 'duplicate_key' WHEN 9 THEN 'null_item' WHEN 10 THEN 'empty' WHEN 11 THEN 'malformed' ELSE 'ok' END
+       AS metric, count(*) AS value
+FROM orders GROUP BY 1
+UNION ALL SELECT 'items', count(*) FROM items WHERE dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11)
+UNION ALL SELECT 'unmapped_items', count(*) FROM items WHERE dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11) AND n_regionkey = 4
+UNION ALL SELECT 'unmapped_countries', count(DISTINCT country_code) FROM items
+          WHERE dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11) AND n_regionkey = 4
+UNION ALL SELECT 'rejected_' || CASE WHEN time_ms = 0 THEN 'bad_time' ELSE 'null_key' END, count(*) FROM parsed
+          WHERE NOT (time_ms <> 0 AND type IS NOT NULL AND area IS NOT NULL) GROUP BY 1
+UNION ALL SELECT 'empty_snapshots', count(*) FROM (VALUES (0), (2), (3), (4), (6)) s(version)
+          WHERE version NOT IN (SELECT version FROM published)""")
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data-quality counters as (metric, value) rows: quarantine reasons, items,
+    unmapped items and countries, audit rejects, empty mapping snapshots."""
+    parsed = clean_ops.parse_messages(fx.raw_log(spark, sf_dir, dirty=True))
+    msgs = parsed.groupBy(F.concat(F.lit("messages_"), F.coalesce("reason", F.lit("ok"))).alias("metric")).agg(
+        F.count(F.lit(1)).alias("value"))
+    mapping = _mapping(spark, sf_dir, drop_region=4)
+    items = area_ops.enrich_area(clean_ops.flatten(parsed), mapping)
+    item_counts = items.agg(F.count(F.lit(1)).alias("items"),
+                            F.count_if(F.col("area").isNull()).alias("unmapped_items")).select(
+        F.expr("stack(2, 'items', items, 'unmapped_items', unmapped_items) AS (metric, value)"))
+    unmapped = items.select("country_code").distinct().join(mapping, "country_code", "left_anti").agg(
+        F.count(F.lit(1)).alias("value")).select(F.lit("unmapped_countries").alias("metric"), "value")
+    rej = audit_ops.rejects(_dirty_audit(spark, sf_dir)).groupBy(
+        F.concat(F.lit("rejected_"), F.col("reason")).alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+    empty = empty_snapshots(fx.mapping_versions(spark, sf_dir)).agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("empty_snapshots").alias("metric"), "value")
+    out = msgs
+    for part in (item_counts, unmapped, rej, empty):
+        out = out.unionByName(part)
+    return out
+
+
+# ------------------------------------------------------------ streaming jobs
+
+_REPLAYS: dict[tuple, str] = {}
+
+
+def _replayed(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Run a stream replay once per session and input folder; return its output folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _REPLAYS:
+        _REPLAYS[key] = build()
+    return _REPLAYS[key]
+
+
+def _clean_stream_out(spark: SparkSession, sf_dir: str) -> str:
+    def build() -> str:
+        work = new_work_dir(spark, "clean-stream")
+        dim = f"{work}/dimension"
+        fx.mapping_versions(spark, sf_dir).write.mode("overwrite").parquet(dim)
+        provider = snapshot_table_provider(dim)
+        return replay(spark, fx.raw_log(spark, sf_dir), work,
+                      lambda src, out, ckpt, trig: jobs.clean_job(src, provider, out, ckpt, trig))
+
+    return _replayed(spark, sf_dir, "clean", build)
+
+
+def _report_stream_out(spark: SparkSession, sf_dir: str) -> str:
+    def build() -> str:
+        work = new_work_dir(spark, "report-stream")
+        return replay(spark, fx.stream_audit_log(spark, sf_dir).drop("event_id"), work,
+                      lambda src, out, ckpt, trig: jobs.report_job(src, out, ckpt, REPORT_WINDOW_MS, trig))
+
+    return _replayed(spark, sf_dir, "report", build)
+
+
+@register("stream_clean", f"""
+WITH {o.ITEMS}, {o.VERSIONS}
+SELECT i.key, i.item_pos, i.batch_id, i.country_code, v.area, i.type
+FROM items i JOIN inforce f ON i.batch_id = f.batch_id
+LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code""")
+def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean job as a stream: one micro-batch per order year, mapping re-read per batch."""
+    out = _clean_stream_out(spark, sf_dir)
+    return spark.read.parquet(f"{out}/clean").select(
+        "key", "item_pos", F.col("batch_id").cast("int").alias("batch_id"), "country_code", "area", "type")
+
+
+_STREAM_FIRINGS = f"WITH {o.STREAM_AUDIT}, {o.ledger_rows('src', REPORT_WINDOW_MS)} {o.FIRED}"
+
+
+@register("stream_report", f"""{_STREAM_FIRINGS}
+SELECT window_start_ms, type, area, fire_batch, count, {o.fmt('cmx')} AS time FROM firings""")
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report job as a stream: every firing written by the micro-batches."""
+    out = _report_stream_out(spark, sf_dir)
+    return spark.read.parquet(f"{out}/firings").select(
+        "window_start_ms", "type", "area", "fire_batch", "count", "time")
+
+
+@register("stream_late", f"""WITH {o.STREAM_AUDIT}, {o.ledger_rows('src', REPORT_WINDOW_MS)}
+SELECT key, batch_id, CAST(time_ms AS VARCHAR) || chr(9) || type || chr(9) || area AS line FROM cls WHERE is_late""")
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late side output of the streaming report job."""
+    out = _report_stream_out(spark, sf_dir)
+    return spark.read.parquet(f"{out}/late").select("key", F.col("batch_id").cast("long").alias("batch_id"), "line")
+
+
+@register("stream_documents", f"""{_STREAM_FIRINGS},
+f2 AS (SELECT *, {o.fmt('cmx')} AS time FROM firings)
+SELECT replace(time, ' ', '_') || '-' || type || '-' || area AS doc_id, time, type, area,
+       arg_max(count, fire_batch) AS count
+FROM f2 GROUP BY time, type, area""")
+def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search documents after the stream's keyed upserts (last write per id)."""
+    out = _report_stream_out(spark, sf_dir)
+    return read_latest(spark, f"{out}/documents", "doc_id").select("doc_id", "time", "type", "area", "count")

@@ -226,3 +226,14 @@ def compressed_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         _audit_text(dt, F.col("event_type"), user, area).alias("value"),
         F.floor((F.col("event_id") + delay) / 7).cast("long").alias("batch_id"),
     )
+
+
+def stream_audit_log(spark: SparkSession, sf_dir: str, n_batches: int = 8) -> DataFrame:
+    """Audit log cut into ``n_batches`` arrival batches by event id; every 50th
+    event arrives one and a half batches late (clamped to the last batch)."""
+    a = audit_log(spark, sf_dir)
+    top = read_table(spark, sf_dir, "events", "event_id").agg(F.max("event_id")).first()[0]
+    span = max(1, -(-(int(top) + 1) // n_batches))
+    delay = F.when(F.col("event_id") % 50 == 0, F.lit(span + span // 2)).otherwise(F.lit(0))
+    batch = F.least(F.lit(n_batches - 1).cast("long"), F.floor((F.col("event_id") + delay) / span).cast("long"))
+    return a.withColumn("batch_id", batch)

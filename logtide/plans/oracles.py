@@ -102,3 +102,22 @@ firings AS (
          CAST(sum(n) OVER (PARTITION BY ws, type, area ORDER BY fire_b ROWS UNBOUNDED PRECEDING) AS BIGINT) AS count,
          max(mx) OVER (PARTITION BY ws, type, area ORDER BY fire_b ROWS UNBOUNDED PRECEDING) AS cmx
   FROM per)"""
+
+STREAM_AUDIT = AUDIT + """,
+span AS (SELECT CAST(ceil((max(event_id) + 1) / 8.0) AS BIGINT) AS s FROM events),
+src AS (
+  SELECT key, event_id, epoch_ms(strptime(dt0, '%Y-%m-%d %H:%M:%S')) AS time_ms, event_type AS type, area0 AS area,
+         CAST(least(7, (event_id + CASE WHEN event_id % 50 = 0 THEN (SELECT s + s // 2 FROM span) ELSE 0 END)
+                        // (SELECT s FROM span)) AS BIGINT) AS batch_id
+  FROM audit0)"""
+
+VERSIONS = """
+ver AS (
+  SELECT 0 AS version, n_name AS country_code, n_regionkey AS rk FROM nation
+  UNION ALL SELECT 2, n_name, CASE WHEN n_nationkey = 1 THEN (n_regionkey + 1) % 5 ELSE n_regionkey END FROM nation
+  UNION ALL SELECT 4, n_name, n_regionkey FROM nation WHERE n_nationkey <> 2
+  UNION ALL SELECT 6, n_name, n_regionkey FROM nation),
+vmap AS (SELECT version, country_code, 'AREA_' || r_name AS area FROM ver JOIN region ON rk = r_regionkey),
+published AS (SELECT DISTINCT version FROM vmap),
+inforce AS (SELECT b.batch_id, (SELECT max(p.version) FROM published p WHERE p.version <= b.batch_id) AS version
+            FROM (SELECT DISTINCT batch_id FROM items) b)"""
