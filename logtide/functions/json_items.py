@@ -61,13 +61,12 @@ def set_item_keys(item: Column, area: Column, dt: Column) -> Column:
         item,
         lambda k, v: (~k.isin(ITEM_AREA_KEY, ITEM_DT_KEY)) & v.isNotNull() & (~F.is_variant_null(v)),
     )
-    added = F.map_filter(
-        F.create_map(
-            F.lit(ITEM_AREA_KEY), area.cast("variant"),
-            F.lit(ITEM_DT_KEY), dt.cast("variant"),
-        ),
-        lambda k, v: v.isNotNull(),
-    )
+    area_v, dt_v = area.cast("variant"), dt.cast("variant")
+    both = F.create_map(F.lit(ITEM_AREA_KEY), area_v, F.lit(ITEM_DT_KEY), dt_v)
+    added = (F.when(area.isNotNull() & dt.isNotNull(), both)
+             .when(area.isNotNull(), F.create_map(F.lit(ITEM_AREA_KEY), area_v))
+             .when(dt.isNotNull(), F.create_map(F.lit(ITEM_DT_KEY), dt_v))
+             .otherwise(F.create_map().cast("map<string,variant>")))
     return F.map_concat(keep, added)
 
 

@@ -51,15 +51,13 @@ def _mapping(spark, sf_dir, **kw) -> DataFrame:
 def _reread(records: DataFrame) -> DataFrame:
     """Fields read back from the clean JSON text (key order does not matter)."""
     r = F.col("record")
+    back = F.from_json(r, "type string, score double, level string, area string, dt string, "
+                          "meta struct<line string>")
     return records.select(
         "key", "item_pos",
         F.array_join(F.array_sort(F.json_object_keys(r)), ",").alias("keys"),
-        F.get_json_object(r, "$.type").alias("type"),
-        F.get_json_object(r, "$.score").cast("double").alias("score"),
-        F.get_json_object(r, "$.level").alias("level"),
-        F.get_json_object(r, "$.area").alias("area"),
-        F.get_json_object(r, "$.dt").alias("dt"),
-        F.get_json_object(r, "$.meta.line").alias("meta_line"),
+        back["type"].alias("type"), back["score"].alias("score"), back["level"].alias("level"),
+        back["area"].alias("area"), back["dt"].alias("dt"), back["meta"]["line"].alias("meta_line"),
     )
 
 
