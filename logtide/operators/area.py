@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logtide.functions.text import split_countries
 from logtide.operators.joins import join_dimension
 from logtide.operators.scans import asof_lookup
+from logtide.session import checkpointed
 
 
 def invert_mapping(mapping: DataFrame, *, by: list[str] | None = None) -> DataFrame:
@@ -48,7 +49,8 @@ def enrich_area_as_of(records: DataFrame, versions: DataFrame, batch_col: str =
     inv = invert_mapping(versions, by=["version"])
     published = inv.select("version").distinct()
     batches = records.select(F.col(batch_col)).distinct()
-    in_force = asof_lookup(batches, batch_col, published, "version", "version", "version",
-                           forward=False, chunk=1 << 20)
-    tagged = records.join(in_force, batch_col, "left")
+    # One row per batch: small, stored, then broadcast after a size check.
+    in_force = checkpointed(asof_lookup(batches, batch_col, published, "version", "version", "version",
+                                        forward=False, chunk=1 << 20))
+    tagged = join_dimension(records, in_force, batch_col, "left")
     return join_dimension(tagged, inv, ["version", "country_code"], "left")

@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from logtide.functions.text import doc_id, late_line
 from logtide.functions.timefmt import format_time_ms
+from logtide.operators.joins import join_dimension
 from logtide.operators.report import window_start_ms
 from logtide.operators.scans import asof_lookup, prefix_max
 from logtide.schemas import ALLOWED_LATENESS_MS, OUT_OF_ORDERNESS_MS
+from logtide.session import checkpointed
 
 
 def with_window(rows: DataFrame, size_ms: int) -> DataFrame:
@@ -43,14 +45,14 @@ def ledger(rows: DataFrame, batch_col: str = "batch_id",
     )
 
 
-def window_schedule(windowed: DataFrame, led: DataFrame, batch_col: str = "batch_id",
+def window_schedule(cells: DataFrame, led: DataFrame, batch_col: str = "batch_id",
                     lateness_ms: int = ALLOWED_LATENESS_MS) -> DataFrame:
     """Per distinct window end: the batch that first fires it and the batch
     after which its rows are late (NULL = not reached yet)."""
-    ends = windowed.select("window_end_ms").distinct()
+    ends = cells.select("window_end_ms").distinct()
     close_x = F.col("window_end_ms") - F.lit(1)
     late_x = close_x + F.lit(lateness_ms)
-    points = ends.select(close_x.alias("x")).unionByName(ends.select(late_x.alias("x")))
+    points = ends.select(F.explode(F.array(close_x, late_x)).alias("x"))
     hit = asof_lookup(points, "x", led, "wm_after", batch_col, "b", forward=True)
     return (
         ends.withColumn("x", close_x).join(hit.withColumnRenamed("b", "close_batch"), "x", "left").drop("x")
@@ -61,13 +63,20 @@ def window_schedule(windowed: DataFrame, led: DataFrame, batch_col: str = "batch
 def classify(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
              out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
              lateness_ms: int = ALLOWED_LATENESS_MS) -> DataFrame:
-    """Accepted audit rows -> rows with window bounds, close/late batches and ``is_late``."""
+    """Accepted audit rows -> rows with window bounds, close/late batches and ``is_late``.
+
+    Two passes over the rows: one aggregation to (batch, window end) -> max
+    time, which is small and stored in the checkpoint folder, and one
+    broadcast join of the rows with the per-window schedule derived from it.
+    The rows themselves are never shuffled.
+    """
     windowed = with_window(rows, size_ms)
-    led = ledger(windowed, batch_col, out_of_orderness_ms)
-    sched = window_schedule(windowed, led, batch_col, lateness_ms)
+    cells = checkpointed(windowed.groupBy(batch_col, "window_end_ms").agg(F.max("time_ms").alias("time_ms")))
+    led = ledger(cells, batch_col, out_of_orderness_ms)
+    sched = checkpointed(window_schedule(cells, led, batch_col, lateness_ms))
     before_start = (F.col("window_end_ms") - F.lit(1) + F.lit(lateness_ms)) <= F.lit(-out_of_orderness_ms)
     late = before_start | (F.col("late_batch").isNotNull() & (F.col(batch_col) > F.col("late_batch")))
-    return windowed.join(sched, "window_end_ms").withColumn("is_late", late)
+    return join_dimension(windowed, sched, "window_end_ms", "inner").withColumn("is_late", late)
 
 
 def late_rows(classified: DataFrame, batch_col: str = "batch_id") -> DataFrame:

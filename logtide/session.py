@@ -59,3 +59,13 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def checkpointed(df):
+    """Materialise a (small, derived) DataFrame into the shared checkpoint folder.
+
+    Cuts its lineage, so later steps read the stored rows instead of
+    recomputing them from the source, and survives executor loss.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
