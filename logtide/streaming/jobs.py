@@ -64,20 +64,31 @@ def clean_job(source: DataFrame, provider: Provider, out: str, checkpoint: str,
     return _start(source, run, checkpoint, trigger)
 
 
+def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """Rows the previous micro-batch stored (batch ids are consecutive)."""
+    if batch_id == 0:
+        return None
+    return read_store(spark, f"{path}/batch_id={batch_id - 1}")
+
+
 def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: str,
                  size_ms: int = REPORT_WINDOW_MS, out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
                  lateness_ms: int = ALLOWED_LATENESS_MS) -> None:
-    """One micro-batch of the report job: rejects, ledger, late rows, firings, documents."""
+    """One micro-batch of the report job: rejects, ledger, late rows, firings, documents.
+
+    State between batches is two small tables written by the previous batch:
+    its ledger row (max event time so far) and the live windows (counts of
+    windows not yet past their lateness). Reading only batch N-1's state keeps
+    the work per batch bounded by the live windows, not by the stream's age.
+    """
     parsed = audit_ops.parse_audit(messages)
     rows = with_window(audit_ops.accepted(parsed), size_ms).persist()
     try:
         write_batch(audit_ops.rejects(parsed), f"{out}/rejects", batch_id)
 
         # Watermark before this batch: max event time of earlier batches.
-        ledger = read_store(spark, f"{out}/ledger")
-        prev = None
-        if ledger is not None:
-            prev = ledger.where(F.col("batch_id") < batch_id).agg(F.max("upto")).first()[0]
+        prev_ledger = _previous(spark, f"{out}/ledger", batch_id)
+        prev = prev_ledger.first()["upto"] if prev_ledger is not None else None
         mx = rows.agg(F.max("time_ms")).first()[0]
         seen = [v for v in (prev, mx) if v is not None]
         upto = max(seen) if seen else None
@@ -93,28 +104,27 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
 
         keys = ["window_start_ms", "window_end_ms", "type", "area"]
         parts = flagged.where(~F.col("is_late")).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.max("time_ms").alias("mx"))
-        write_batch(parts, f"{out}/parts", batch_id)
+            F.count(F.lit(1)).alias("n"), F.max("time_ms").alias("mx")).withColumn("touched", F.lit(True))
+        live_before = _previous(spark, f"{out}/state", batch_id)
+        if live_before is not None:
+            parts = parts.unionByName(live_before.select(*keys, "n", "mx", F.lit(False).alias("touched")))
+        totals = parts.groupBy(*keys).agg(
+            F.sum("n").alias("n"), F.max("mx").alias("mx"), F.max("touched").alias("touched")).persist()
 
         # Windows that fire now: closed by this batch's watermark, and either
         # closed just now or refined by rows of this batch.
-        stored = spark.read.parquet(f"{out}/parts").where(
-            (F.col("batch_id") <= batch_id)
-            & (F.col("window_end_ms") - 1 <= wm_after)
-            & (F.col("window_end_ms") - 1 + lateness_ms > wm_before))
-        newly = stored.where(F.col("window_end_ms") - 1 > wm_before).select(*keys)
-        touched = stored.where(F.col("batch_id") == batch_id).select(*keys)
-        fire_keys = newly.unionByName(touched).distinct()
-        totals = stored.groupBy(*keys).agg(F.sum("n").alias("count"), F.max("mx").alias("mx"))
-        fired = totals.join(fire_keys, keys, "left_semi").select(
+        fires = (end1 <= F.lit(wm_after)) & ((end1 > F.lit(wm_before)) | F.col("touched"))
+        fired = totals.where(fires).select(
             "window_start_ms", "type", "area", F.lit(batch_id).cast("long").alias("fire_batch"),
-            F.col("count").cast("long").alias("count"), format_time_ms(F.col("mx")).alias("time"))
-        fired = fired.persist()
+            F.col("n").cast("long").alias("count"), format_time_ms(F.col("mx")).alias("time"))
         write_batch(fired, f"{out}/firings", batch_id)
-        docs = fired.select(doc_id(F.col("time"), F.col("type"), F.col("area")).alias("doc_id"),
-                            "time", "type", "area", "count")
+        docs = spark.read.parquet(f"{out}/firings/batch_id={batch_id}").select(
+            doc_id(F.col("time"), F.col("type"), F.col("area")).alias("doc_id"), "time", "type", "area", "count")
         upsert(docs, f"{out}/documents", batch_id)
-        fired.unpersist()
+        # Windows past their lateness can never change again: drop them from state.
+        live = totals.where(end1 + F.lit(lateness_ms) > F.lit(wm_after)).select(*keys, "n", "mx")
+        write_batch(live, f"{out}/state", batch_id)
+        totals.unpersist()
     finally:
         rows.unpersist()
 
