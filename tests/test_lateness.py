@@ -83,3 +83,17 @@ def test_late_line_prints_null_like_java(spark):
 
     (r,) = df.select(late_line(F.col("time_ms"), F.col("type"), F.col("area")).alias("l")).collect()
     assert r.l == "5\tnull\tA"
+
+
+def test_compressed_fixture_counts(spark, sf001):
+    """Row classes, firings, finals and documents of the compressed audit log at sf0.001."""
+    from logtide.plans.catalog import _compressed_classified
+
+    cls = _compressed_classified(spark, sf001)
+    assert cls.count() == 1000
+    assert lateness.late_rows(cls).count() == 71
+    assert cls.where(~F.col("is_late") & (F.col("batch_id") > F.col("close_batch"))).count() == 82
+    fir = lateness.firings(cls)
+    assert fir.count() == 599
+    assert lateness.final_report(cls).count() == 537
+    assert lateness.firing_documents(fir).count() == 560
