@@ -63,7 +63,10 @@ def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     o = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     o = join_dimension(o, nation, o.c_nationkey == nation.n_nationkey, "left")
-    o = o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
+    # Hash-partition orders on the join key: the same exchange a sort-merge join
+    # would add, and it keeps the message build and later parse spread over
+    # tasks even when the item lists end up broadcast.
+    o = o.repartition("o_orderkey").join(per_order, F.col("o_orderkey") == per_order.l_orderkey, "left")
     dt = F.date_format(F.col("o_orderdate"), TIME_PATTERN)
     head = F.concat(F.lit('{"dt":'), _q(dt), F.lit(',"countryCode":'), _q(F.col("n_name")))
     data = F.coalesce(F.col("items"), F.lit(""))
