@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtide.functions.text import split_countries
 from logtide.operators.joins import join_dimension
-from logtide.operators.scans import asof_lookup
-from logtide.session import checkpointed
 
 
 def invert_mapping(mapping: DataFrame, *, by: list[str] | None = None) -> DataFrame:
@@ -45,12 +43,18 @@ def enrich_area_as_of(records: DataFrame, versions: DataFrame, batch_col: str =
 
     In force = the newest non-empty snapshot whose version (publish batch) is
     <= the record's batch; empty snapshots leave the previous one in force.
+    Each non-empty snapshot covers batches [version, next non-empty version),
+    so one broadcast join on country with a span condition tags every record
+    in a single pass; records before the first snapshot get a NULL area.
     """
     inv = invert_mapping(versions, by=["version"])
     published = inv.select("version").distinct()
-    batches = records.select(F.col(batch_col)).distinct()
-    # One row per batch: small, stored, then broadcast after a size check.
-    in_force = checkpointed(asof_lookup(batches, batch_col, published, "version", "version", "version",
-                                        forward=False, chunk=1 << 20))
-    tagged = join_dimension(records, in_force, batch_col, "left")
-    return join_dimension(tagged, inv, ["version", "country_code"], "left")
+    # One row per snapshot version (a dimension, not data): ordered in one partition.
+    spans = published.withColumn("_until", F.lead("version").over(Window.orderBy("version")))
+    dim = inv.join(spans, "version").select(
+        F.col("version").alias("_from"), "_until",
+        F.col("country_code").alias("_country"), F.col("area"))
+    b = F.col(batch_col)
+    cond = ((F.col("country_code") == F.col("_country")) & (b >= F.col("_from"))
+            & (F.col("_until").isNull() | (b < F.col("_until"))))
+    return join_dimension(records, dim, cond, "left").drop("_from", "_until", "_country")

@@ -66,14 +66,15 @@ def classify(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
     """Accepted audit rows -> rows with window bounds, close/late batches and ``is_late``.
 
     Two passes over the rows: one aggregation to (batch, window end) -> max
-    time, which is small and stored in the checkpoint folder, and one
+    time, which is small and stored in the shared folder, and one
     broadcast join of the rows with the per-window schedule derived from it.
     The rows themselves are never shuffled.
     """
     windowed = with_window(rows, size_ms)
-    cells = checkpointed(windowed.groupBy(batch_col, "window_end_ms").agg(F.max("time_ms").alias("time_ms")))
+    cells = checkpointed(windowed.groupBy(batch_col, "window_end_ms").agg(F.max("time_ms").alias("time_ms")),
+                         "ledger-cells")
     led = ledger(cells, batch_col, out_of_orderness_ms)
-    sched = checkpointed(window_schedule(cells, led, batch_col, lateness_ms))
+    sched = checkpointed(window_schedule(cells, led, batch_col, lateness_ms), "window-schedule")
     before_start = (F.col("window_end_ms") - F.lit(1) + F.lit(lateness_ms)) <= F.lit(-out_of_orderness_ms)
     late = before_start | (F.col("late_batch").isNotNull() & (F.col(batch_col) > F.col("late_batch")))
     return join_dimension(windowed, sched, "window_end_ms", "inner").withColumn("is_late", late)

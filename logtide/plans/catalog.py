@@ -289,17 +289,20 @@ def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("value"))
     mapping = _mapping(spark, sf_dir, drop_region=4)
     items = area_ops.enrich_area(clean_ops.flatten(parsed), mapping)
+    # One pass over the items: the left join leaves area NULL exactly for the
+    # countries a left_anti join against the mapping would return.
+    unmapped_country = F.when(F.col("area").isNull(), F.col("country_code"))
     item_counts = items.agg(F.count(F.lit(1)).alias("items"),
-                            F.count_if(F.col("area").isNull()).alias("unmapped_items")).select(
-        F.expr("stack(2, 'items', items, 'unmapped_items', unmapped_items) AS (metric, value)"))
-    unmapped = items.select("country_code").distinct().join(mapping, "country_code", "left_anti").agg(
-        F.count(F.lit(1)).alias("value")).select(F.lit("unmapped_countries").alias("metric"), "value")
+                            F.count_if(F.col("area").isNull()).alias("unmapped_items"),
+                            F.count_distinct(unmapped_country).alias("unmapped_countries")).select(
+        F.expr("stack(3, 'items', items, 'unmapped_items', unmapped_items, "
+               "'unmapped_countries', CAST(unmapped_countries AS BIGINT)) AS (metric, value)"))
     rej = audit_ops.rejects(_dirty_audit(spark, sf_dir)).groupBy(
         F.concat(F.lit("rejected_"), F.col("reason")).alias("metric")).agg(F.count(F.lit(1)).alias("value"))
     empty = empty_snapshots(fx.mapping_versions(spark, sf_dir)).agg(F.count(F.lit(1)).alias("value")).select(
         F.lit("empty_snapshots").alias("metric"), "value")
     out = msgs
-    for part in (item_counts, unmapped, rej, empty):
+    for part in (item_counts, rej, empty):
         out = out.unionByName(part)
     return out
 
