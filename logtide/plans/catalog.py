@@ -15,7 +15,7 @@ from logtide.operators import report as report_ops
 from logtide.plans import fixtures as fx
 from logtide.plans import oracles as o
 from logtide.schemas import REPORT_WINDOW_MS, SHORT_WINDOW_MS
-from logtide.session import new_work_dir, use_utc
+from logtide.session import new_work_dir, session_id, use_utc
 from logtide.sources.dimension import empty_snapshots, snapshot_table_provider
 from logtide.streaming import jobs
 from logtide.streaming.replay import replay
@@ -314,7 +314,7 @@ _REPLAYS: dict[tuple, str] = {}
 
 def _replayed(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     """Run a stream replay once per session and input folder; return its output folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (session_id(spark), sf_dir, name)
     if key not in _REPLAYS:
         _REPLAYS[key] = build()
     return _REPLAYS[key]

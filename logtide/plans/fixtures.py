@@ -99,7 +99,7 @@ def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
 def _region_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    return join_dimension(nation, region, nation.n_regionkey == region.r_regionkey, "inner")
 
 
 def _group_mapping(pairs: DataFrame, trailing_comma: Column | None = None) -> DataFrame:
@@ -127,8 +127,8 @@ def area_mapping(spark: SparkSession, sf_dir: str, drop_region: int | None = Non
         return _group_mapping(pairs)
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-    twice = nation.where("n_nationkey = 0").join(
-        F.broadcast(region), (F.col("n_regionkey") + 1) % 5 == F.col("r_regionkey")).select(
+    twice = join_dimension(nation.where("n_nationkey = 0"), region,
+                           (F.col("n_regionkey") + 1) % 5 == F.col("r_regionkey"), "inner").select(
         F.concat(F.lit(AREA_PREFIX), "r_name").alias("area"), F.col("n_name").alias("country"), "r_regionkey")
     pairs = pairs.unionByName(twice)
     even = pairs.groupBy("area").agg(F.min("r_regionkey").alias("rk"))
@@ -147,7 +147,8 @@ def mapping_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
 
     def version(v: int, region_of: Column, keep: Column) -> DataFrame:
-        p = rn.where(keep).withColumn("rk", region_of).join(F.broadcast(region), F.col("rk") == F.col("r_regionkey"))
+        p = join_dimension(rn.where(keep).withColumn("rk", region_of), region,
+                           F.col("rk") == F.col("r_regionkey"), "inner")
         g = _group_mapping(p.select(F.concat(F.lit(AREA_PREFIX), "r_name").alias("area"), F.col("n_name").alias("country")))
         return g.select(F.lit(v).alias("version"), "area", "countries")
 

@@ -45,14 +45,28 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the session names none (local tests) is one made here.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_CONF, None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # sessions without a SparkContext handle
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="logtide-")
         spark.conf.set(CHECKPOINT_CONF, root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identifier of the running application (for per-session memoisation)."""
+    app = spark.conf.get("spark.app.id", None)
+    return app or str(id(spark))
+
+
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one job run."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -81,8 +81,8 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
     windows not yet past their lateness). Reading only batch N-1's state keeps
     the work per batch bounded by the live windows, not by the stream's age.
     """
-    parsed = audit_ops.parse_audit(messages)
-    rows = with_window(audit_ops.accepted(parsed), size_ms).persist()
+    parsed = audit_ops.parse_audit(messages).persist()  # feeds rows and rejects
+    rows = with_window(audit_ops.accepted(parsed), size_ms)
     try:
         write_batch(audit_ops.rejects(parsed), f"{out}/rejects", batch_id)
 
@@ -126,7 +126,7 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
         write_batch(live, f"{out}/state", batch_id)
         totals.unpersist()
     finally:
-        rows.unpersist()
+        parsed.unpersist()
 
 
 def report_job(source: DataFrame, out: str, checkpoint: str, size_ms: int = REPORT_WINDOW_MS,
