@@ -118,12 +118,22 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
             "window_start_ms", "type", "area", F.lit(batch_id).cast("long").alias("fire_batch"),
             F.col("n").cast("long").alias("count"), format_time_ms(F.col("mx")).alias("time"))
         write_batch(fired, f"{out}/firings", batch_id)
-        docs = spark.read.parquet(f"{out}/firings/batch_id={batch_id}").select(
+        stored = spark.read.parquet(f"{out}/firings/batch_id={batch_id}")
+        docs = stored.select(
             doc_id(F.col("time"), F.col("type"), F.col("area")).alias("doc_id"), "time", "type", "area", "count")
         upsert(docs, f"{out}/documents", batch_id)
         # Windows past their lateness can never change again: drop them from state.
         live = totals.where(end1 + F.lit(lateness_ms) > F.lit(wm_after)).select(*keys, "n", "mx")
         write_batch(live, f"{out}/state", batch_id)
+        # Progress counters of this batch (read from what was just written).
+        counts = parsed.agg(F.count(F.lit(1)).alias("messages")).first()
+        n_late = spark.read.parquet(f"{out}/late/batch_id={batch_id}").count()
+        n_fired = stored.count()
+        n_rejected = spark.read.parquet(f"{out}/rejects/batch_id={batch_id}").count()
+        metrics = spark.createDataFrame(
+            [(int(counts["messages"]), n_rejected, n_late, n_fired, wm_after)],
+            "messages long, rejected long, late long, fired_windows long, watermark_ms long")
+        write_batch(metrics, f"{out}/metrics", batch_id)
         totals.unpersist()
     finally:
         parsed.unpersist()

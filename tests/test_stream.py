@@ -105,3 +105,13 @@ def test_builtin_watermark_path_emits_closed_windows_once(spark):
     # Emitted once each, no refinement; the first window's count depends on the
     # engine's one-batch lag, so only the shape is asserted here.
     assert len(got) == len({r.start for r in got}) >= 1
+
+
+def test_report_stream_metrics(spark):
+    msgs = audit_messages(spark, HAND_MADE)
+    out = new_work_dir(spark, "test-metrics")
+    for b in range(5):
+        jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR)
+    m = {r.batch_id: (r.messages, r.rejected, r.late, r.fired_windows)
+         for r in spark.read.parquet(f"{out}/metrics").collect()}
+    assert m == {0: (2, 0, 0, 0), 1: (1, 0, 0, 1), 2: (2, 0, 0, 1), 3: (2, 0, 1, 0), 4: (1, 0, 0, 1)}
