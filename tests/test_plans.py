@@ -29,3 +29,14 @@ def test_store_by_type_read_prunes_partitions(spark):
     read = spark.read.parquet(path).where("type = 'a'")
     assert "PartitionFilters: [isnotnull(type" in plan(read)
     assert sorted(r.v for r in read.collect()) == [1, 3]
+
+
+def test_lateness_rows_meet_schedule_in_broadcast_join(spark, sf001):
+    p = plan(QUERIES["late_rows"](spark, sf001))
+    assert "SortMergeJoin" not in p
+    assert "BroadcastHashJoin [window_end_ms" in p
+
+
+def test_version_join_is_one_broadcast_pass(spark, sf001):
+    p = plan(QUERIES["area_as_of_version"](spark, sf001))
+    assert "BroadcastHashJoin [country_code" in p and "_until" in p
