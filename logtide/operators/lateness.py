@@ -48,15 +48,22 @@ def ledger(rows: DataFrame, batch_col: str = "batch_id",
 def window_schedule(cells: DataFrame, led: DataFrame, batch_col: str = "batch_id",
                     lateness_ms: int = ALLOWED_LATENESS_MS) -> DataFrame:
     """Per distinct window end: the batch that first fires it and the batch
-    after which its rows are late (NULL = not reached yet)."""
-    ends = cells.select("window_end_ms").distinct()
-    close_x = F.col("window_end_ms") - F.lit(1)
-    late_x = close_x + F.lit(lateness_ms)
-    points = ends.select(F.explode(F.array(close_x, late_x)).alias("x"))
+    after which its rows are late (NULL = not reached yet).
+
+    Both thresholds of a window go through one as-of lookup and come back
+    with one join and a pivot, so the lookup runs once.
+    """
+    end1 = F.col("window_end_ms") - F.lit(1)
+    points = cells.select("window_end_ms").distinct().select(
+        "window_end_ms",
+        F.explode(F.array(
+            F.struct(F.lit(0).alias("kind"), end1.alias("x")),
+            F.struct(F.lit(1).alias("kind"), (end1 + F.lit(lateness_ms)).alias("x")),
+        )).alias("p")).select("window_end_ms", "p.kind", "p.x")
     hit = asof_lookup(points, "x", led, "wm_after", batch_col, "b", forward=True)
-    return (
-        ends.withColumn("x", close_x).join(hit.withColumnRenamed("b", "close_batch"), "x", "left").drop("x")
-        .withColumn("x", late_x).join(hit.withColumnRenamed("b", "late_batch"), "x", "left").drop("x")
+    return points.join(hit, "x", "left").groupBy("window_end_ms").agg(
+        F.max(F.when(F.col("kind") == 0, F.col("b"))).alias("close_batch"),
+        F.max(F.when(F.col("kind") == 1, F.col("b"))).alias("late_batch"),
     )
 
 
@@ -68,12 +75,14 @@ def classify(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
     Two passes over the rows: one aggregation to (batch, window end) -> max
     time, which is small and stored in the shared folder, and one
     broadcast join of the rows with the per-window schedule derived from it.
-    The rows themselves are never shuffled.
+    The rows themselves are never shuffled. The ledger (one row per batch)
+    and the schedule (one row per window) are stored too, so each is
+    computed once.
     """
     windowed = with_window(rows, size_ms)
     cells = checkpointed(windowed.groupBy(batch_col, "window_end_ms").agg(F.max("time_ms").alias("time_ms")),
                          "ledger-cells")
-    led = ledger(cells, batch_col, out_of_orderness_ms)
+    led = checkpointed(ledger(cells, batch_col, out_of_orderness_ms), "ledger")
     sched = checkpointed(window_schedule(cells, led, batch_col, lateness_ms), "window-schedule")
     before_start = (F.col("window_end_ms") - F.lit(1) + F.lit(lateness_ms)) <= F.lit(-out_of_orderness_ms)
     late = before_start | (F.col("late_batch").isNotNull() & (F.col(batch_col) > F.col("late_batch")))
