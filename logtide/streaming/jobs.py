@@ -82,25 +82,34 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
     the work per batch bounded by the live windows, not by the stream's age.
     """
     parsed = audit_ops.parse_audit(messages).persist()  # feeds rows and rejects
-    rows = with_window(audit_ops.accepted(parsed), size_ms)
     try:
-        write_batch(audit_ops.rejects(parsed), f"{out}/rejects", batch_id)
+        # The rejects write also yields the batch's message count and max
+        # accepted event time (observed on the way, no extra job).
+        seen_obs = Observation(f"report_seen_{batch_id}")
+        ok = (F.col("time_ms") != 0) & F.col("type").isNotNull() & F.col("area").isNotNull()
+        observed = parsed.observe(seen_obs, F.count(F.lit(1)).alias("messages"),
+                                  F.max(F.when(ok, F.col("time_ms"))).alias("mx"),
+                                  F.count_if(~ok).alias("rejected"))
+        write_batch(audit_ops.rejects(observed), f"{out}/rejects", batch_id)
+        seen = seen_obs.get
+        mx = seen.get("mx")
+        rows = with_window(audit_ops.accepted(parsed), size_ms)
 
         # Watermark before this batch: max event time of earlier batches.
         prev_ledger = _previous(spark, f"{out}/ledger", batch_id)
         prev = prev_ledger.first()["upto"] if prev_ledger is not None else None
-        mx = rows.agg(F.max("time_ms")).first()[0]
-        seen = [v for v in (prev, mx) if v is not None]
-        upto = max(seen) if seen else None
+        known = [v for v in (prev, mx) if v is not None]
+        upto = max(known) if known else None
         write_batch(spark.createDataFrame([(mx, upto)], "mx long, upto long"), f"{out}/ledger", batch_id)
         wm_before = max(prev or 0, 0) - out_of_orderness_ms
         wm_after = max(upto or 0, 0) - out_of_orderness_ms
 
         end1 = F.col("window_end_ms") - F.lit(1)
         flagged = rows.withColumn("is_late", end1 + F.lit(lateness_ms) <= F.lit(wm_before))
+        late_obs = Observation(f"report_late_{batch_id}")
         late = flagged.where("is_late").select(
             "key", "time_ms", "type", "area", late_line(F.col("time_ms"), F.col("type"), F.col("area")).alias("line"))
-        write_batch(late, f"{out}/late", batch_id)
+        write_batch(late.observe(late_obs, F.count(F.lit(1)).alias("late")), f"{out}/late", batch_id)
 
         keys = ["window_start_ms", "window_end_ms", "type", "area"]
         parts = flagged.where(~F.col("is_late")).groupBy(*keys).agg(
@@ -117,24 +126,21 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
         fired = totals.where(fires).select(
             "window_start_ms", "type", "area", F.lit(batch_id).cast("long").alias("fire_batch"),
             F.col("n").cast("long").alias("count"), format_time_ms(F.col("mx")).alias("time"))
-        write_batch(fired, f"{out}/firings", batch_id)
-        stored = spark.read.parquet(f"{out}/firings/batch_id={batch_id}")
-        docs = stored.select(
+        fired_obs = Observation(f"report_fired_{batch_id}")
+        write_batch(fired.observe(fired_obs, F.count(F.lit(1)).alias("fired")), f"{out}/firings", batch_id)
+        docs = spark.read.parquet(f"{out}/firings/batch_id={batch_id}").select(
             doc_id(F.col("time"), F.col("type"), F.col("area")).alias("doc_id"), "time", "type", "area", "count")
         upsert(docs, f"{out}/documents", batch_id)
         # Windows past their lateness can never change again: drop them from state.
         live = totals.where(end1 + F.lit(lateness_ms) > F.lit(wm_after)).select(*keys, "n", "mx")
         write_batch(live, f"{out}/state", batch_id)
-        # Progress counters of this batch (read from what was just written).
-        counts = parsed.agg(F.count(F.lit(1)).alias("messages")).first()
-        n_late = spark.read.parquet(f"{out}/late/batch_id={batch_id}").count()
-        n_fired = stored.count()
-        n_rejected = spark.read.parquet(f"{out}/rejects/batch_id={batch_id}").count()
+        totals.unpersist()
+
         metrics = spark.createDataFrame(
-            [(int(counts["messages"]), n_rejected, n_late, n_fired, wm_after)],
+            [(int(seen.get("messages", 0)), int(seen.get("rejected", 0)), int(late_obs.get.get("late", 0)),
+              int(fired_obs.get.get("fired", 0)), wm_after)],
             "messages long, rejected long, late long, fired_windows long, watermark_ms long")
         write_batch(metrics, f"{out}/metrics", batch_id)
-        totals.unpersist()
     finally:
         parsed.unpersist()
 
