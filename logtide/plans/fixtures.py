@@ -18,6 +18,11 @@ from logtide.operators.joins import join_dimension
 from logtide.schemas import AREA_PREFIX, TIME_PATTERN
 from logtide.sources.tables import read_table
 
+# ---------------------------------------------------------------- FIXED VALUES
+# Audit-log user names are this prefix followed by 1..5.
+USER_PREFIX = "shenhe"
+# ------------------------------------------------------------ end FIXED VALUES
+
 DIRTY_MOD = 101
 AUDIT_DIRTY_MOD = 97
 # Publish batch of each mapping snapshot; 3 is the empty one.
@@ -175,7 +180,7 @@ def _audit_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.date_format("ts", TIME_PATTERN).alias("dt"),
         F.col("event_type").alias("type"),
-        F.concat(F.lit("shenhe"), (F.col("user_id") % 5 + 1).cast("string")).alias("username"),
+        F.concat(F.lit(USER_PREFIX), (F.col("user_id") % 5 + 1).cast("string")).alias("username"),
         F.concat(F.lit(AREA_PREFIX), "r_name").alias("area"),
     )
 
@@ -223,7 +228,7 @@ def compressed_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.lit(COMPRESSED_EPOCH_MS) + F.col("event_id") * 1000
     dt = F.date_format(F.timestamp_millis(t), TIME_PATTERN)
     area = F.concat(F.lit(AREA_PREFIX), (F.col("user_id") % 5).cast("string"))
-    user = F.concat(F.lit("shenhe"), (F.col("user_id") % 5 + 1).cast("string"))
+    user = F.concat(F.lit(USER_PREFIX), (F.col("user_id") % 5 + 1).cast("string"))
     delay = F.when(F.col("event_id") % 11 == 0, 45).when(F.col("event_id") % 13 == 0, 90).otherwise(0)
     return events.select(
         F.col("event_id").cast("string").alias("key"),
