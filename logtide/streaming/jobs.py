@@ -21,7 +21,10 @@ from logtide.operators.area import enrich_area
 from logtide.operators.lateness import with_window
 from logtide.schemas import ALLOWED_LATENESS_MS, OUT_OF_ORDERNESS_MS, REPORT_WINDOW_MS
 from logtide.sources.dimension import Provider
-from logtide.streaming.sinks import read_store, upsert, write_batch
+from logtide.streaming.sinks import compact, read_store, upsert, write_batch
+
+# Document snapshots are compacted every this many batches.
+COMPACT_EVERY = 100
 
 
 def _start(source: DataFrame, fn, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -73,7 +76,7 @@ def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None
 
 def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: str,
                  size_ms: int = REPORT_WINDOW_MS, out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
-                 lateness_ms: int = ALLOWED_LATENESS_MS) -> None:
+                 lateness_ms: int = ALLOWED_LATENESS_MS, compact_every: int = COMPACT_EVERY) -> None:
     """One micro-batch of the report job: rejects, ledger, late rows, firings, documents.
 
     State between batches is two small tables written by the previous batch:
@@ -131,6 +134,8 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
         docs = spark.read.parquet(f"{out}/firings/batch_id={batch_id}").select(
             doc_id(F.col("time"), F.col("type"), F.col("area")).alias("doc_id"), "time", "type", "area", "count")
         upsert(docs, f"{out}/documents", batch_id)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact(spark, f"{out}/documents", "doc_id", batch_id)
         # Windows past their lateness can never change again: drop them from state.
         live = totals.where(end1 + F.lit(lateness_ms) > F.lit(wm_after)).select(*keys, "n", "mx")
         write_batch(live, f"{out}/state", batch_id)

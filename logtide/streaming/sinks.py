@@ -39,13 +39,51 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _snapshot_dir(path: str) -> str:
+    return f"{path.rstrip('/')}_snapshot"
+
+
+def _latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
+    last = Window.partitionBy(key).orderBy(F.col(order).desc())
+    return rows.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn")
+
+
 def read_latest(spark: SparkSession, path: str, key: str, order: str = "batch_id") -> DataFrame | None:
-    """Current state of a keyed upsert log: the last written row per key."""
+    """Current state of a keyed upsert log: the last written row per key.
+
+    Reads the newest compacted snapshot (if any) plus only the log batches
+    written after it.
+    """
     log = read_store(spark, path)
     if log is None:
         return None
-    last = Window.partitionBy(key).orderBy(F.col(order).desc())
-    return log.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn")
+    snaps = read_store(spark, _snapshot_dir(path))
+    if snaps is not None:
+        upto = snaps.agg(F.max("upto")).first()[0]
+        snap = snaps.where(F.col("upto") == upto).drop("upto")
+        log = snap.unionByName(log.where(F.col(order) > upto))
+    return _latest_per_key(log, key, order)
+
+
+def compact(spark: SparkSession, path: str, key: str, upto_batch: int, order: str = "batch_id") -> None:
+    """Write the latest row per key over batches <= ``upto_batch`` as a snapshot.
+
+    Later reads start from the snapshot, so their cost follows the number of
+    keys plus recent batches, not the whole history. Idempotent per
+    ``upto_batch``; old log batches can then be expired by the operator.
+    """
+    log = read_store(spark, path)
+    if log is None:
+        return
+    snaps = read_store(spark, _snapshot_dir(path))
+    base = log.where(F.col(order) <= upto_batch)
+    if snaps is not None:
+        prev = snaps.where(F.col("upto") < upto_batch).agg(F.max("upto")).first()[0]
+        if prev is not None:
+            base = snaps.where(F.col("upto") == prev).drop("upto").unionByName(
+                log.where((F.col(order) > prev) & (F.col(order) <= upto_batch)))
+    latest = _latest_per_key(base, key, order)
+    latest.write.mode("overwrite").parquet(f"{_snapshot_dir(path)}/upto={upto_batch}")
 
 
 def upsert(df: DataFrame, path: str, batch_id: int) -> None:

@@ -115,3 +115,31 @@ def test_report_stream_metrics(spark):
     m = {r.batch_id: (r.messages, r.rejected, r.late, r.fired_windows)
          for r in spark.read.parquet(f"{out}/metrics").collect()}
     assert m == {0: (2, 0, 0, 0), 1: (1, 0, 0, 1), 2: (2, 0, 0, 1), 3: (2, 0, 1, 0), 4: (1, 0, 0, 1)}
+
+
+def test_upsert_compaction_keeps_latest_rows(spark):
+    from logtide.streaming.sinks import compact, upsert
+
+    path = new_work_dir(spark, "test-upsert") + "/docs"
+    rows = [(0, "a", 1), (0, "b", 1), (1, "a", 2), (2, "c", 1), (3, "b", 5), (4, "a", 9)]
+    for b in range(5):
+        df = spark.createDataFrame([(k, v) for bb, k, v in rows if bb == b], "doc_id string, count long")
+        upsert(df, path, b)
+    want = {"a": 9, "b": 5, "c": 1}
+    assert {r.doc_id: r["count"] for r in read_latest(spark, path, "doc_id").collect()} == want
+    compact(spark, path, "doc_id", 2)
+    assert {r.doc_id: r["count"] for r in read_latest(spark, path, "doc_id").collect()} == want
+    compact(spark, path, "doc_id", 3)  # builds on the snapshot at 2
+    assert {r.doc_id: r["count"] for r in read_latest(spark, path, "doc_id").collect()} == want
+
+
+def test_report_job_compacts_documents(spark):
+    msgs = audit_messages(spark, HAND_MADE)
+    out = new_work_dir(spark, "test-compact-job")
+    for b in range(5):
+        jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR,
+                          compact_every=2)
+    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/documents", "doc_id").collect())
+    assert docs == [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
+    snaps = sorted({r.upto for r in spark.read.parquet(f"{out}/documents_snapshot").collect()})
+    assert snaps == [1, 3]
