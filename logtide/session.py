@@ -15,10 +15,19 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, app: str = "logtide", shuffle_partitions: int = 8) -> SparkSession:
+def build_session(master: str | None = None, app: str = "logtide", shuffle_partitions: int = 8,
+                  max_partition_mb: int = 128) -> SparkSession:
+    """Session with the settings the operators assume.
+
+    On a cluster, size ``shuffle_partitions`` so a post-shuffle partition is
+    about 128-256 MB (AQE coalesces smaller ones and splits skewed ones), and
+    ``max_partition_mb`` so a scan split fits an executor core's memory share.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.files.maxPartitionBytes", f"{max_partition_mb}m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

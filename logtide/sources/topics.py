@@ -29,7 +29,13 @@ def read_topic(spark: SparkSession, servers: str, topic: str, group: str | None
               .option("startingOffsets", starting_offsets))
     if group:
         reader = reader.option("kafka.group.id", group)
-    return reader.load().select(F.col("key").cast("string").alias("key"),
+    try:
+        loaded = reader.load()
+    except Exception as err:  # the connector package is not on the classpath
+        raise RuntimeError(
+            "topic source needs the spark-sql-kafka-0-10 connector on the classpath "
+            "(spark.jars.packages); use read_staged for files") from err
+    return loaded.select(F.col("key").cast("string").alias("key"),
                                 F.col("value").cast("string").alias("value"))
 
 
