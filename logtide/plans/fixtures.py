@@ -146,30 +146,22 @@ def mapping_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot history (version, area, countries); version = publish batch.
 
     0: full; 2: nation 1 moved to the next region; 3: empty (one row with no
-    area); 4: nation 2 removed; 6: full again.
+    area); 4: nation 2 removed; 6: full again. Built in one pass: every nation
+    is repeated per non-empty version, the version's rule is applied, then
+    one grouping per (version, area).
     """
-    rn = _region_nation(spark, sf_dir).select("n_nationkey", "n_name", "n_regionkey")
+    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-
-    def version(v: int, region_of: Column, keep: Column) -> DataFrame:
-        p = join_dimension(rn.where(keep).withColumn("rk", region_of), region,
-                           F.col("rk") == F.col("r_regionkey"), "inner")
-        g = _group_mapping(p.select(F.concat(F.lit(AREA_PREFIX), "r_name").alias("area"), F.col("n_name").alias("country")))
-        return g.select(F.lit(v).alias("version"), "area", "countries")
-
-    same = F.col("n_regionkey")
-    moved = F.when(F.col("n_nationkey") == 1, (F.col("n_regionkey") + 1) % 5).otherwise(F.col("n_regionkey"))
-    parts = [
-        version(0, same, F.lit(True)),
-        version(2, moved, F.lit(True)),
-        spark.createDataFrame([(EMPTY_VERSION, None, None)], "version int, area string, countries string"),
-        version(4, same, F.col("n_nationkey") != 2),
-        version(6, same, F.lit(True)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    full = [v for v in VERSION_BATCHES if v != EMPTY_VERSION]
+    per_version = nation.select("*", F.explode(F.array(*[F.lit(v) for v in full])).alias("version"))
+    v, key = F.col("version"), F.col("n_nationkey")
+    rk = F.when((v == 2) & (key == 1), (F.col("n_regionkey") + 1) % 5).otherwise(F.col("n_regionkey"))
+    kept = per_version.where(~((v == 4) & (key == 2))).withColumn("rk", rk)
+    pairs = join_dimension(kept, region, F.col("rk") == F.col("r_regionkey"), "inner")
+    g = pairs.groupBy("version", F.concat(F.lit(AREA_PREFIX), "r_name").alias("area")).agg(
+        F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("countries"))
+    empty = spark.createDataFrame([(EMPTY_VERSION, None, None)], "version int, area string, countries string")
+    return g.select(v.cast("int").alias("version"), "area", "countries").unionByName(empty)
 
 
 def _audit_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
