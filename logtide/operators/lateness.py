@@ -89,6 +89,35 @@ def classify(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
     return join_dimension(windowed, sched, "window_end_ms", "inner").withColumn("is_late", late)
 
 
+def classify_groups(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
+                    keys: tuple[str, ...] = ("type", "area"),
+                    out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
+                    lateness_ms: int = ALLOWED_LATENESS_MS) -> DataFrame:
+    """Like ``classify`` but per (batch, window, key) group instead of per row.
+
+    Lateness and firing depend only on (batch, window), so counts per group
+    are enough for firings, finals, documents and the accepted report. One
+    pass over the rows (combined map-side) builds the stored group table;
+    everything after it reads that table, never the rows again.
+    """
+    windowed = with_window(rows, size_ms)
+    groups = checkpointed(windowed.groupBy(batch_col, "window_start_ms", "window_end_ms", *keys).agg(
+        F.count(F.lit(1)).alias("n"), F.max("time_ms").alias("mx")), "ledger-groups")
+    cells = groups.groupBy(batch_col, "window_end_ms").agg(F.max("mx").alias("time_ms"))
+    led = checkpointed(ledger(cells, batch_col, out_of_orderness_ms), "ledger")
+    sched = checkpointed(window_schedule(cells, led, batch_col, lateness_ms), "window-schedule")
+    before_start = (F.col("window_end_ms") - F.lit(1) + F.lit(lateness_ms)) <= F.lit(-out_of_orderness_ms)
+    late = before_start | (F.col("late_batch").isNotNull() & (F.col(batch_col) > F.col("late_batch")))
+    return join_dimension(groups, sched, "window_end_ms", "inner").withColumn("is_late", late)
+
+
+def _as_groups(classified: DataFrame) -> DataFrame:
+    """Row-level input counts as groups of one."""
+    if "n" in classified.columns:
+        return classified
+    return classified.withColumn("n", F.lit(1).cast("long")).withColumn("mx", F.col("time_ms"))
+
+
 def late_rows(classified: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """Side output: rows too late for their window, with their text line."""
     keep = [c for c in ("key", batch_col) if c in classified.columns]
@@ -102,7 +131,7 @@ def on_time(classified: DataFrame) -> DataFrame:
 
 
 def _fired(classified: DataFrame, batch_col: str) -> DataFrame:
-    return on_time(classified).where(F.col("close_batch").isNotNull()).withColumn(
+    return on_time(_as_groups(classified)).where(F.col("close_batch").isNotNull()).withColumn(
         "fire_batch", F.greatest(F.col(batch_col), F.col("close_batch")))
 
 
@@ -114,11 +143,11 @@ def firings(classified: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """
     keys = ["window_start_ms", "type", "area"]
     per = _fired(classified, batch_col).groupBy(*keys, "fire_batch").agg(
-        F.count(F.lit(1)).alias("n"), F.max("time_ms").alias("mx"))
+        F.sum("n").alias("n"), F.max("mx").alias("mx"))
     run = Window.partitionBy(*keys).orderBy("fire_batch").rowsBetween(Window.unboundedPreceding, 0)
     return per.select(
         *keys, "fire_batch",
-        F.sum("n").over(run).alias("count"),
+        F.sum("n").over(run).cast("long").alias("count"),
         format_time_ms(F.max("mx").over(run)).alias("time"),
     )
 
@@ -127,7 +156,7 @@ def final_report(classified: DataFrame, batch_col: str = "batch_id") -> DataFram
     """Last firing of every fired (window, key); open windows emit nothing."""
     keys = ["window_start_ms", "type", "area"]
     return _fired(classified, batch_col).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"), format_time_ms(F.max("time_ms")).alias("time"))
+        F.sum("n").cast("long").alias("count"), format_time_ms(F.max("mx")).alias("time"))
 
 
 def firing_documents(fired: DataFrame) -> DataFrame:
@@ -139,3 +168,10 @@ def firing_documents(fired: DataFrame) -> DataFrame:
     docs = fired.withColumn("doc_id", doc_id(F.col("time"), F.col("type"), F.col("area")))
     return docs.groupBy("doc_id", "time", "type", "area").agg(
         F.max_by("count", "fire_batch").alias("count"))
+
+
+def accepted_report(classified: DataFrame) -> DataFrame:
+    """Tumbling report over the rows that were not late (from rows or groups)."""
+    keys = ["window_start_ms", "type", "area"]
+    return on_time(_as_groups(classified)).groupBy(*keys).agg(
+        F.sum("n").cast("long").alias("count"), format_time_ms(F.max("mx")).alias("time"))

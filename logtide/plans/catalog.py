@@ -219,7 +219,8 @@ okrows AS (SELECT * FROM cls WHERE NOT is_late)
 {o.report(REPORT_WINDOW_MS, 'okrows')}""")
 def report_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 30-minute report over rows that were not late."""
-    return report_ops.tumbling_report(lateness.on_time(_late_classified(spark, sf_dir)), REPORT_WINDOW_MS)
+    rows = audit_ops.accepted(audit_ops.parse_audit(fx.late_audit_log(spark, sf_dir).drop("event_id")))
+    return lateness.accepted_report(lateness.classify_groups(rows, REPORT_WINDOW_MS))
 
 
 def _compressed_classified(spark, sf_dir) -> DataFrame:
@@ -227,6 +228,11 @@ def _compressed_classified(spark, sf_dir) -> DataFrame:
     return lateness.classify(rows, SHORT_WINDOW_MS)
 
 
+def _compressed_groups(spark, sf_dir) -> DataFrame:
+    rows = audit_ops.accepted(audit_ops.parse_audit(fx.compressed_audit_log(spark, sf_dir)))
+    return lateness.classify_groups(rows, SHORT_WINDOW_MS)
+
+
 _FIRINGS_SQL = f"WITH {o.COMPRESSED}, {o.ledger_rows('src', SHORT_WINDOW_MS)} {o.FIRED}"
 
 
@@ -234,7 +240,7 @@ _FIRINGS_SQL = f"WITH {o.COMPRESSED}, {o.ledger_rows('src', SHORT_WINDOW_MS)} {o
 SELECT window_start_ms, type, area, fire_batch, count, {o.fmt('cmx')} AS time FROM firings""")
 def report_firings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window firing (on close and on each refinement within lateness)."""
-    return lateness.firings(_compressed_classified(spark, sf_dir))
+    return lateness.firings(_compressed_groups(spark, sf_dir))
 
 
 @register("report_final", f"""{_FIRINGS_SQL}
@@ -242,7 +248,7 @@ SELECT CAST(ws AS BIGINT) AS window_start_ms, type, area, count(*) AS count, {o.
 FROM fired GROUP BY ws, type, area""")
 def report_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last firing per window and key."""
-    return lateness.final_report(_compressed_classified(spark, sf_dir))
+    return lateness.final_report(_compressed_groups(spark, sf_dir))
 
 
 @register("report_documents", f"""{_FIRINGS_SQL},
@@ -252,7 +258,7 @@ SELECT replace(time, ' ', '_') || '-' || type || '-' || area AS doc_id, time, ty
 FROM f2 GROUP BY time, type, area""")
 def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents after keyed upserts of all firings (last write per id wins)."""
-    return lateness.firing_documents(lateness.firings(_compressed_classified(spark, sf_dir)))
+    return lateness.firing_documents(lateness.firings(_compressed_groups(spark, sf_dir)))
 
 
 # ------------------------------------------------------------ sinks, quality

@@ -70,6 +70,12 @@ def test_matches_record_by_record_replay(spark, rows):
     assert acc + len(got_late) == len(rows)
     got_fire = sorted((r.window_start_ms, r.area, r.fire_batch, r["count"]) for r in lateness.firings(cls).collect())
     assert got_fire == sorted((ws, k, b, n) for ws, k, b, n, _ in want_fire)
+    # the group-level path gives the same firings and accepted report
+    grp = lateness.classify_groups(rows_df(spark, rows), size)
+    got_grp = sorted((r.window_start_ms, r.area, r.fire_batch, r["count"]) for r in lateness.firings(grp).collect())
+    assert got_grp == got_fire
+    acc_rows = sorted(tuple(r) for r in lateness.accepted_report(cls).collect())
+    assert sorted(tuple(r) for r in lateness.accepted_report(grp).collect()) == acc_rows
     # cumulative counts never shrink within a window
     by_win = {}
     for ws, k, b, n in got_fire:
