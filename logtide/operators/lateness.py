@@ -67,26 +67,35 @@ def window_schedule(cells: DataFrame, led: DataFrame, batch_col: str = "batch_id
     )
 
 
+def _stored_schedule(cells: DataFrame, batch_col: str, out_of_orderness_ms: int,
+                     lateness_ms: int) -> DataFrame:
+    """Ledger (one row per batch) and window schedule (one row per window), each stored once."""
+    led = checkpointed(ledger(cells, batch_col, out_of_orderness_ms), "ledger")
+    return checkpointed(window_schedule(cells, led, batch_col, lateness_ms), "window-schedule")
+
+
+def _late_flag(batch_col: str, out_of_orderness_ms: int, lateness_ms: int):
+    before_start = (F.col("window_end_ms") - F.lit(1) + F.lit(lateness_ms)) <= F.lit(-out_of_orderness_ms)
+    return before_start | (F.col("late_batch").isNotNull() & (F.col(batch_col) > F.col("late_batch")))
+
+
 def classify(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
              out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
              lateness_ms: int = ALLOWED_LATENESS_MS) -> DataFrame:
     """Accepted audit rows -> rows with window bounds, close/late batches and ``is_late``.
 
     Two passes over the rows: one aggregation to (batch, window end) -> max
-    time, which is small and stored in the shared folder, and one
-    broadcast join of the rows with the per-window schedule derived from it.
-    The rows themselves are never shuffled. The ledger (one row per batch)
-    and the schedule (one row per window) are stored too, so each is
-    computed once.
+    time, which is small and stored in the shared folder, and one broadcast
+    join of the rows with the per-window schedule derived from it. The rows
+    themselves are never shuffled. The ledger (one row per batch) and the
+    schedule (one row per window) are stored too, so each is computed once.
     """
     windowed = with_window(rows, size_ms)
     cells = checkpointed(windowed.groupBy(batch_col, "window_end_ms").agg(F.max("time_ms").alias("time_ms")),
                          "ledger-cells")
-    led = checkpointed(ledger(cells, batch_col, out_of_orderness_ms), "ledger")
-    sched = checkpointed(window_schedule(cells, led, batch_col, lateness_ms), "window-schedule")
-    before_start = (F.col("window_end_ms") - F.lit(1) + F.lit(lateness_ms)) <= F.lit(-out_of_orderness_ms)
-    late = before_start | (F.col("late_batch").isNotNull() & (F.col(batch_col) > F.col("late_batch")))
-    return join_dimension(windowed, sched, "window_end_ms", "inner").withColumn("is_late", late)
+    sched = _stored_schedule(cells, batch_col, out_of_orderness_ms, lateness_ms)
+    return join_dimension(windowed, sched, "window_end_ms", "inner").withColumn(
+        "is_late", _late_flag(batch_col, out_of_orderness_ms, lateness_ms))
 
 
 def classify_groups(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
@@ -104,11 +113,9 @@ def classify_groups(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
     groups = checkpointed(windowed.groupBy(batch_col, "window_start_ms", "window_end_ms", *keys).agg(
         F.count(F.lit(1)).alias("n"), F.max("time_ms").alias("mx")), "ledger-groups")
     cells = groups.groupBy(batch_col, "window_end_ms").agg(F.max("mx").alias("time_ms"))
-    led = checkpointed(ledger(cells, batch_col, out_of_orderness_ms), "ledger")
-    sched = checkpointed(window_schedule(cells, led, batch_col, lateness_ms), "window-schedule")
-    before_start = (F.col("window_end_ms") - F.lit(1) + F.lit(lateness_ms)) <= F.lit(-out_of_orderness_ms)
-    late = before_start | (F.col("late_batch").isNotNull() & (F.col(batch_col) > F.col("late_batch")))
-    return join_dimension(groups, sched, "window_end_ms", "inner").withColumn("is_late", late)
+    sched = _stored_schedule(cells, batch_col, out_of_orderness_ms, lateness_ms)
+    return join_dimension(groups, sched, "window_end_ms", "inner").withColumn(
+        "is_late", _late_flag(batch_col, out_of_orderness_ms, lateness_ms))
 
 
 def _as_groups(classified: DataFrame) -> DataFrame:
