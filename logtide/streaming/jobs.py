@@ -1,9 +1,9 @@
 """The two streaming jobs, built on ``foreachBatch``.
 
 Both run the batch operators on each micro-batch. Everything a batch writes
-lives under folders named by its batch id and is written in overwrite mode,
-and the only state carried between batches (the watermark ledger and the
-per-window partial counts) is read from those folders, so a batch that is
+lives under folders named by its batch id and is written in overwrite mode.
+The only state carried between batches (the previous batch's ledger row and
+its table of live windows) is read from those folders, so a batch that is
 replayed after a failure produces exactly the same files.
 """
 
