@@ -11,7 +11,7 @@ Every message is built with ``concat`` so no JSON writer sits next to the parser
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logtide.operators.joins import join_dimension
@@ -24,6 +24,8 @@ USER_PREFIX = "shenhe"
 # ------------------------------------------------------------ end FIXED VALUES
 
 DIRTY_MOD = 101
+# Largest number of items in one raw-log message.
+MAX_ITEMS_PER_MESSAGE = 1000
 AUDIT_DIRTY_MOD = 97
 # Publish batch of each mapping snapshot; 3 is the empty one.
 VERSION_BATCHES = (0, 2, 3, 4, 6)
@@ -57,11 +59,18 @@ def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Raw nested logs: (key, value, batch_id); batch = order year - 1995."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag",
                     "l_discount", "l_linestatus")
-    # Line numbers may repeat within an order; the other fields break the tie
-    # (items equal in all of them are identical, so their order is moot).
-    items = li.select("l_orderkey", F.struct("l_linenumber", "l_returnflag", "l_discount", "l_linestatus",
-                                             _item_text(dirty).alias("t")).alias("it"))
-    per_order = items.groupBy("l_orderkey").agg(
+    # Rank items within their order (line numbers may repeat; the other fields
+    # break the tie, and items equal in all of them are identical). The window
+    # shares the order-key exchange with the grouping below and is sort-based,
+    # so a huge order spills instead of being held in memory; messages carry at
+    # most MAX_ITEMS_PER_MESSAGE items, a larger order becomes several messages.
+    in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_returnflag", "l_discount",
+                                                        "l_linestatus")
+    ranked = li.withColumn("_rn", F.row_number().over(in_order) - 1)
+    items = ranked.select("l_orderkey", F.floor(F.col("_rn") / MAX_ITEMS_PER_MESSAGE).alias("_part"),
+                          F.struct((F.col("_rn") % MAX_ITEMS_PER_MESSAGE).alias("pos"),
+                                   _item_text(dirty).alias("t")).alias("it"))
+    per_order = items.groupBy("l_orderkey", "_part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("it")), lambda s: s["t"]), ",").alias("items"))
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
@@ -94,8 +103,11 @@ def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
             .otherwise(F.col("v"))
         )
         o = o.withColumn("v", F.concat(head, F.lit(',"data":['), data, F.lit("]}")))
+    key = F.col("o_orderkey").cast("string")
+    key = F.when(F.coalesce(F.col("_part"), F.lit(0)) == 0, key).otherwise(
+        F.concat(key, F.lit("#"), F.col("_part").cast("string")))
     return o.select(
-        F.col("o_orderkey").cast("string").alias("key"),
+        key.alias("key"),
         value.alias("value"),
         (F.year("o_orderdate") - F.lit(FIRST_ORDER_YEAR)).cast("int").alias("batch_id"),
     )
