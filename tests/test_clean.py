@@ -104,3 +104,22 @@ def test_latest_nonempty_version_for_one_batch(spark):
         [(0, "AREA_A", "US"), (3, None, None)], "version int, area string, countries string")
     got = [tuple(r) for r in area_ops.latest_nonempty_version(versions, 4).collect()]
     assert got == [("US", "AREA_A")]
+
+
+def test_no_nonempty_snapshot_yet_leaves_area_null(spark):
+    versions = spark.createDataFrame([(0, None, None), (5, "AREA_A", "US")],
+                                     "version int, area string, countries string")
+    assert area_ops.latest_nonempty_version(versions, 3).count() == 0
+    recs = spark.createDataFrame([("k", 3, '{"dt":"d","countryCode":"US","data":[{"type":"s"}]}')],
+                                 "key string, batch_id int, value string")
+    (r,) = clean_ops.clean_records_as_of(recs, versions).collect()
+    assert r.area is None
+
+
+def test_topic_source_without_connector_says_so(spark):
+    import pytest
+
+    from logtide.sources.topics import read_topic
+
+    with pytest.raises(RuntimeError, match="connector"):
+        read_topic(spark, "localhost:9092", "allData")
