@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from logtide.operators import area as area_ops
 from logtide.operators import clean as clean_ops
