@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import chat_format, exact_dedup
+from logtide.llm import chat_format, exact_dedup, near_dedup
 from logtide.llm.common import documents
 from logtide.sources.tables import read_table
 
@@ -99,3 +99,12 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", "n_turns", F.sha2(F.concat_ws("", said), 256).alias("turns_sha256"),
                        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+# ------------------------------------------------------------------ 10 near dedup
+
+@register
+def op10_bagminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    found = near_dedup.near_dedup(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "class_id", "group_size", "n_links", "kept")
