@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import chat_format, exact_dedup, near_dedup
-from logtide.llm.common import documents
+from logtide.llm import chat_format, exact_dedup, language_id, near_dedup
+from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,22 @@ def op10_bagminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     found = near_dedup.near_dedup(documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "class_id", "group_size", "n_links", "kept")
+
+
+# -------------------------------------------------------------------- 6 language ID
+
+#: Documents whose crc32 leaves this remainder are held out of training.
+LANGUAGE_FOLDS, LANGUAGE_HELD = 5, 0
+
+
+def language_training_rows(docs: DataFrame) -> DataFrame:
+    return docs.where(fold_ratio("doc_id", LANGUAGE_FOLDS) != LANGUAGE_HELD)
+
+
+@register
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the labelled documents that aren't held out."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    found = language_id.identify(docs.select("doc_id", "text"), language_training_rows(docs))
+    return found.select("doc_id", (fold_ratio("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD).alias("held_out"),
+                        "lang_pred", "score", "rejected")
