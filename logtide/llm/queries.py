@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import chat_format, exact_dedup, language_id, near_dedup
+from logtide.llm import chat_format, exact_dedup, language_id, near_dedup, soft_mixing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -127,3 +127,27 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(docs.select("doc_id", "text"), language_training_rows(docs))
     return found.select("doc_id", (fold_ratio("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD).alias("held_out"),
                         "lang_pred", "score", "rejected")
+
+
+# ------------------------------------------------------ 3 mixing to target weights
+
+#: Share of the tokens that each domain of the labels table should make up.
+TARGET_WEIGHTS = {"good": 0.90, "low": 0.06, "toxic": 0.03, "toxic_low": 0.01}
+
+
+def label_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, domain) of the labels table."""
+    toxic, low = F.col("toxic") == 1, F.col("quality") == 0
+    domain = F.when(toxic & low, "toxic_low").when(toxic, "toxic").when(low, "low").otherwise("good")
+    rows = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where("quality IS NOT NULL AND toxic IS NOT NULL")
+    return rows.select(F.col("doc_id").alias("id"), domain.alias("domain"))
+
+
+@register
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document rates that bring the expected tokens of the label domains to their target weights."""
+    out = soft_mixing.mix(documents(spark, sf_dir, "doc_id", "text"), label_domains(spark, sf_dir), TARGET_WEIGHTS)
+    tokens = F.col("domain_tokens")[F.col("domain")]
+    return out.select("doc_id", "domain", "n_tokens", "rate", "copies", *[
+        F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(f"p_{d}") for d in TARGET_WEIGHTS],
+        tokens[0].alias("domain_tokens_before"), tokens[1].alias("domain_tokens_target"), tokens[2].alias("domain_tokens_after"))
