@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import chat_format, exact_dedup, language_id, near_dedup, soft_mixing
+from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, near_dedup, soft_mixing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -151,3 +151,32 @@ def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "domain", "n_tokens", "rate", "copies", *[
         F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(f"p_{d}") for d in TARGET_WEIGHTS],
         tokens[0].alias("domain_tokens_before"), tokens[1].alias("domain_tokens_target"), tokens[2].alias("domain_tokens_after"))
+
+
+# ------------------------------------------------------- 2 token ids, 9 BPE by prefixes
+
+END_ID = 2
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op2_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written as directly addressable codes and read back."""
+    files = direct_codes.write_ids(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path(), END_ID)
+    return direct_codes.read_ids(files, ids=False)
+
+
+@register
+def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by prefix dynamic programming, and decoded again."""
+    return bpe_digests(bpe_dp.decode(bpe_dp.encode(documents(spark, sf_dir, "doc_id", "text"), tokenizer_path()), tokenizer_path()))
+
+
+def bpe_digests(decoded: DataFrame) -> DataFrame:
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
