@@ -13,12 +13,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text hashed at once.
-SPAN = 1 << 22
+SPAN = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so they have inverses modulo 2**64
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Every ASCII byte that is neither letter nor digit.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,14 +73,15 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): byte bounds of all words, and for each text the index of its
-    first word (with one more entry at the end). Words never span two texts."""
+    first word (with one more entry at the end). Words never span two texts; ``gaps`` are
+    the bytes between words."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    gap = _SEPARATOR[data]
+    gap = gaps[data]
     begin, end = np.empty(n, bool), np.empty(n, bool)
     begin[0] = end[-1] = True
     begin[1:] = gap[:-1]
@@ -92,12 +95,29 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, A-Z lower-cased, and for each text the index of its first word."""
-    starts, ends, first = word_bounds(data, offsets)
+    starts, ends, first = word_bounds(data, offsets, gaps)
     return span_hashes(LOWER[data], starts, ends), first
 
 
+def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hashes of the k bytes at each place; a shorter, non-empty text has one hash of all its bytes."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.uint64)
+    k = min(k, n)
+    out = np.empty(n - k + 1, np.uint64)
+    for a in range(0, len(out), SPAN - k):
+        b = min(len(out), a + SPAN - k)
+        part = data[a:b + k - 1].astype(np.uint64) + np.uint64(1)
+        up, down = _powers(_BASES[0], SPAN + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * up[:len(part)], out=sums[1:])
+        out[a:b] = mix((sums[k:] - sums[:-k]) * down[:b - a] + np.uint64(k))
+    return out
+
+
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
     """Hashes of each run of ``width`` words of one text; a shorter, non-empty text has one run."""
     if not len(words):

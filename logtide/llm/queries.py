@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, near_dedup, soft_mixing
+from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, near_dedup, soft_mixing, winnowing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -180,3 +180,11 @@ def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(decoded: DataFrame) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# ------------------------------------------------------------------ 7 fingerprints
+
+@register
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of all documents and their edited texts."""
+    return winnowing.fingerprint_chain(documents(spark, sf_dir, "doc_id", "text"))
