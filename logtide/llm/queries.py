@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, near_dedup, soft_mixing, winnowing
+from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, near_dedup, soft_mixing, toxicity, winnowing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -188,3 +188,18 @@ def bpe_digests(decoded: DataFrame) -> DataFrame:
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowing fingerprints of all documents and their edited texts."""
     return winnowing.fingerprint_chain(documents(spark, sf_dir, "doc_id", "text"))
+
+
+# ---------------------------------------------------------------------- 5 toxicity
+
+#: Order of the chain: what is poorly written, what is toxic, what is both.
+CATEGORIES = ["low_quality", "toxic", "toxic_low_quality"]
+
+
+@register
+def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities and decisions of all documents, learned from the labels table."""
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic").select(
+        F.col("doc_id").alias("id"), (F.col("quality") == 0).alias("low_quality"), (F.col("toxic") == 1).alias("toxic"),
+        ((F.col("quality") == 0) & (F.col("toxic") == 1)).alias("toxic_low_quality"))
+    return toxicity.classify(documents(spark, sf_dir, "doc_id", "text"), labels, CATEGORIES)
