@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, near_dedup, soft_mixing, toxicity, winnowing
+from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, lm_mixing, near_dedup, soft_mixing, toxicity, winnowing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -203,3 +203,17 @@ def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"), (F.col("quality") == 0).alias("low_quality"), (F.col("toxic") == 1).alias("toxic"),
         ((F.col("quality") == 0) & (F.col("toxic") == 1)).alias("toxic_low_quality"))
     return toxicity.classify(documents(spark, sf_dir, "doc_id", "text"), labels, CATEGORIES)
+
+
+# -------------------------------------------------------------------- 1 LM scoring
+
+#: Documents whose crc32 leaves this remainder are held out.
+SCORING_FOLDS, SCORING_HELD = 7, 2
+
+
+@register
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents under the word baseline and the mixing model."""
+    docs = documents(spark, sf_dir)
+    found = lm_mixing.score(docs, fold_ratio("doc_id", SCORING_FOLDS) != SCORING_HELD)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
