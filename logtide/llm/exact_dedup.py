@@ -118,12 +118,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     index, _ = build_index(docs, id_col, text_col, capacity, key_bits)
     rows = _keyed(docs, id_col, text_col, key_bits).select("id", "key", F.sha2("norm", 256).alias("text_sha256"))
-    found = rows.join(index.select("key", "text_sha256", "keep_id", "group_size", "depth", "link"),
-                      ["key", "text_sha256"])
-    head = F.col("id").eqNullSafe(F.col("keep_id"))
-    # Rows of one group and id are repeats of each other; ids spread a hot group over tasks.
-    place = F.row_number().over(Window.partitionBy("key", "text_sha256", "id").orderBy(F.lit(1)))
-    out = found.withColumn("kept", head & (place == 1))
+    # Rows of one id and text are repeats; numbered before the join, which then may split a hot key.
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("id", "key", "text_sha256").orderBy(F.lit(1))))
+    found = rows.join(index.select("key", "text_sha256", "keep_id", "group_size", "depth", "link"), ["key", "text_sha256"])
+    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("place") == 1)
+    out = found.withColumn("kept", kept)
     return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "text_sha256",
                       F.col("depth").alias("bucket_depth"), F.col("link").alias("chain_link"))
 
