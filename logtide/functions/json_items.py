@@ -23,23 +23,35 @@ def parse_raw_log(value: Column) -> Column:
     return F.from_json(value, RAW_LOG_SCHEMA, JSON_OPTIONS)
 
 
-def has_duplicate_keys(items: Column) -> Column:
-    """True when some item repeats a key (JSON allows it, a map rebuild does not)."""
-    return F.exists(items, lambda m: F.size(F.map_keys(m)) != F.size(F.array_distinct(F.map_keys(m))))
+def one_json_value(value: Column) -> Column:
+    """True when the text is one JSON value and nothing else; text after it makes this false.
+
+    The parser stops after the first value, so the text is read as the only
+    element of an array.
+    """
+    whole = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
+    return F.coalesce(F.size(whole) == 1, F.lit(False))
+
+
+def last_value_wins(item: Column) -> Column:
+    """The item with one entry per key: of a repeated key the last value (JSON allows repeats)."""
+    keys = F.map_keys(item)
+    entries = F.map_entries(item)
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return F.when(F.size(keys) == F.size(F.array_distinct(keys)), item).otherwise(F.map_from_entries(last))
 
 
 def has_null_item(items: Column) -> Column:
     return F.exists(items, lambda m: m.isNull())
 
 
-def quarantine_reason(rec: Column) -> Column:
+def quarantine_reason(rec: Column, value: Column) -> Column:
     """Why a parsed raw log cannot be cleaned; NULL when it can."""
     return (
         F.when(rec.isNull(), F.lit("empty"))
-        .when(rec[CORRUPT_COLUMN].isNotNull(), F.lit("malformed"))
+        .when(rec[CORRUPT_COLUMN].isNotNull() | ~one_json_value(value), F.lit("malformed"))
         .when(rec["data"].isNull(), F.lit("missing_data"))
         .when(has_null_item(rec["data"]), F.lit("null_item"))
-        .when(has_duplicate_keys(rec["data"]), F.lit("duplicate_key"))
     )
 
 

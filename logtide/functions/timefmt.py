@@ -20,6 +20,3 @@ def parse_time_ms(dt: Column) -> Column:
 def format_time_ms(ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(ms), TIME_PATTERN)
 
-
-def format_timestamp(ts: Column) -> Column:
-    return F.date_format(ts, TIME_PATTERN)

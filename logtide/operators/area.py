@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.functions.text import split_countries
 from logtide.operators.joins import join_dimension
+from logtide.session import checkpointed
 
 
 def invert_mapping(mapping: DataFrame, *, by: list[str] | None = None) -> DataFrame:
@@ -27,15 +28,30 @@ def enrich_area(records: DataFrame, country_area: DataFrame) -> DataFrame:
     return join_dimension(records, country_area.select("country_code", "area"), "country_code", "left")
 
 
+def _published(versions: DataFrame) -> DataFrame:
+    """Rows of non-empty snapshots: those that list a country."""
+    return versions.where(F.col("area").isNotNull() & (F.size(split_countries(F.col("countries"))) > 0))
+
+
 def latest_nonempty_version(versions: DataFrame, at_batch: int) -> DataFrame:
     """Snapshot guard for one batch: the newest non-empty snapshot at or before it.
 
     ``versions`` holds (version, area, countries); an empty snapshot is a
-    version whose rows carry no country. Returns (country_code, area).
+    version whose rows carry no country. Only the snapshot in force is
+    inverted. Returns (country_code, area).
+    """
+    newest = _published(versions.where(F.col("version") <= at_batch)).agg(F.max("version")).first()[0]
+    return invert_mapping(versions.where(F.col("version") == F.lit(newest)))
+
+
+def version_in_force(batches: DataFrame, versions: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """(batch, _version): for each distinct batch the newest non-empty version at or before it.
+
+    The published versions are one sorted list (one number per snapshot), looked up per batch.
     """
-    inv = invert_mapping(versions.where(F.col("version") <= at_batch), by=["version"])
-    newest = inv.agg(F.max("version").alias("version"))
-    return inv.join(newest, "version").select("country_code", "area")
+    known = _published(versions).agg(F.sort_array(F.collect_set(F.col("version").cast("long"))).alias("v"))
+    listed = batches.select(batch_col).distinct().withColumn("_known", known.scalar())
+    return listed.select(batch_col, F.array_max(F.filter("_known", lambda x: x <= F.col(batch_col))).alias("_version"))
 
 
 def enrich_area_as_of(records: DataFrame, versions: DataFrame, batch_col: str = "batch_id") -> DataFrame:
@@ -43,18 +59,12 @@ def enrich_area_as_of(records: DataFrame, versions: DataFrame, batch_col: str =
 
     In force = the newest non-empty snapshot whose version (publish batch) is
     <= the record's batch; empty snapshots leave the previous one in force.
-    Each non-empty snapshot covers batches [version, next non-empty version),
-    so one broadcast join on country with a span condition tags every record
-    in a single pass; records before the first snapshot get a NULL area.
+    The version is found once per distinct batch; records then meet it, and the mapping on
+    (version, country), in equi-joins. Records before the first snapshot get a NULL area.
     """
-    inv = invert_mapping(versions, by=["version"])
-    published = inv.select("version").distinct()
-    # One row per snapshot version (a dimension, not data): ordered in one partition.
-    spans = published.withColumn("_until", F.lead("version").over(Window.orderBy("version")))
-    dim = inv.join(spans, "version").select(
-        F.col("version").alias("_from"), "_until",
-        F.col("country_code").alias("_country"), F.col("area"))
-    b = F.col(batch_col)
-    cond = ((F.col("country_code") == F.col("_country")) & (b >= F.col("_from"))
-            & (F.col("_until").isNull() | (b < F.col("_until"))))
-    return join_dimension(records, dim, cond, "left").drop("_from", "_until", "_country")
+    # One row per batch, stored: its size is known before the join is planned.
+    force = checkpointed(version_in_force(records, versions, batch_col), "version-in-force")
+    dim = invert_mapping(versions, by=["version"]).select(
+        F.col("version").cast("long").alias("_version"), "country_code", "area")
+    tagged = join_dimension(records, force, batch_col, "left")
+    return join_dimension(tagged, dim, ["_version", "country_code"], "left").drop("_version")

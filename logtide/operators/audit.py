@@ -5,23 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtide.functions.json_items import one_json_value
 from logtide.functions.timefmt import parse_time_ms
-from logtide.schemas import AUDIT_LOG_SCHEMA, JSON_OPTIONS
+from logtide.schemas import AUDIT_PARSE_SCHEMA, CORRUPT_COLUMN, JSON_OPTIONS
 
 
 def parse_audit(messages: DataFrame) -> DataFrame:
-    """(key, value, ...) -> (key, ..., time_ms, type, area); username is dropped.
+    """(key, value, ...) -> (key, value, ..., fault, time_ms, type, area); username is dropped.
 
     A time that cannot be parsed (bad text, missing, lenient form, empty
-    message) becomes 0.
+    message) becomes 0. ``fault`` is ``empty`` or ``malformed`` (not one JSON
+    object, or text after it) for a message without fields, else NULL. The raw
+    text stays in ``value`` for the rejects.
     """
-    rec = F.from_json(F.col("value"), AUDIT_LOG_SCHEMA, JSON_OPTIONS)
-    keep = [c for c in messages.columns if c != "value"]
-    return messages.select(
-        *keep,
-        parse_time_ms(rec["dt"]).alias("time_ms"),
-        rec["type"].alias("type"),
-        rec["area"].alias("area"),
+    rec = F.from_json(F.col("value"), AUDIT_PARSE_SCHEMA, JSON_OPTIONS)
+    empty = F.col("value").isNull() | (F.trim(F.col("value")) == "")
+    parsed = messages.withColumn("_rec", rec)
+    broken = F.col("_rec").isNull() | F.col(f"_rec.{CORRUPT_COLUMN}").isNotNull() | ~one_json_value(F.col("value"))
+    fault = F.when(empty, F.lit("empty")).when(broken, F.lit("malformed"))
+    parsed = parsed.withColumn("fault", fault)
+    sound = F.col("fault").isNull()
+    return parsed.select(
+        *messages.columns, "fault",
+        F.when(sound, parse_time_ms(F.col("_rec.dt"))).otherwise(F.lit(0).cast("bigint")).alias("time_ms"),
+        F.when(sound, F.col("_rec.type")).alias("type"),
+        F.when(sound, F.col("_rec.area")).alias("area"),
     )
 
 
@@ -30,11 +38,16 @@ def _accepted():
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    """Rows the report can use: a parsed time (not 0) and both key fields."""
-    return parsed.where(_accepted())
+    """Rows the report can use: a parsed time (not 0) and both key fields, without the raw text."""
+    return parsed.where(_accepted()).drop("value", "fault")
+
+
+def reject_reason():
+    """Why the report cannot use a row; NULL when it can."""
+    return (F.when(F.col("fault").isNotNull(), F.col("fault")).when(F.col("time_ms") == 0, F.lit("bad_time"))
+            .when(F.col("type").isNull() | F.col("area").isNull(), F.lit("null_key")))
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    """Rows the report cannot use, with the reason."""
-    reason = F.when(F.col("time_ms") == 0, F.lit("bad_time")).otherwise(F.lit("null_key"))
-    return parsed.where(~_accepted()).withColumn("reason", reason)
+    """Rows the report cannot use, raw text kept, with the reason (empty, malformed, bad_time, null_key)."""
+    return parsed.where(~_accepted()).withColumn("reason", reject_reason()).drop("fault")

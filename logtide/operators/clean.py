@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logtide.functions.json_items import (
     item_double,
     item_string,
+    last_value_wins,
     parse_raw_log,
     quarantine_reason,
     set_item_keys,
@@ -19,7 +20,7 @@ from logtide.operators.area import enrich_area, enrich_area_as_of
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Add ``_rec`` (parsed struct) and ``reason`` (NULL when clean-able)."""
     rec = parse_raw_log(F.col("value"))
-    return messages.withColumn("_rec", rec).withColumn("reason", quarantine_reason(F.col("_rec")))
+    return messages.withColumn("_rec", rec).withColumn("reason", quarantine_reason(F.col("_rec"), F.col("value")))
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
@@ -29,14 +30,17 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 
 def flatten(parsed: DataFrame) -> DataFrame:
-    """One row per item, item order kept in ``item_pos``; an empty array emits nothing."""
+    """One row per item, item order kept in ``item_pos``; an empty array emits nothing.
+
+    Of a key repeated inside an item the last value counts.
+    """
     keep = [c for c in parsed.columns if c not in ("_rec", "value", "reason")]
     return parsed.where(F.col("reason").isNull()).select(
         *keep,
         F.col("_rec.dt").alias("dt"),
         F.col("_rec.countryCode").alias("country_code"),
         F.posexplode("_rec.data").alias("item_pos", "item"),
-    )
+    ).withColumn("item", last_value_wins(F.col("item")))
 
 
 def finish(items: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Registry of runnable queries: name -> (spark, sf_dir) -> DataFrame, with SQL oracles."""
+"""Registry of runnable queries: name -> (spark, sf_dir) -> DataFrame, with SQL oracles.
+
+Queries set the session's time zone to UTC and leave it so: their frames run later,
+and the text times of both logs are UTC.
+"""
 
 from __future__ import annotations
 
@@ -16,11 +20,11 @@ from logtide.operators import report as report_ops
 from logtide.plans import fixtures as fx
 from logtide.plans import oracles as o
 from logtide.schemas import REPORT_WINDOW_MS, SHORT_WINDOW_MS
-from logtide.session import new_work_dir, session_id, use_utc
-from logtide.sources.dimension import empty_snapshots, snapshot_table_provider
+from logtide.session import new_work_dir, query_run, session_id, use_utc
+from logtide.sources.dimension import empty_snapshots, live_table_provider, snapshot_table_provider
 from logtide.streaming import jobs
 from logtide.streaming.replay import replay
-from logtide.streaming.sinks import read_latest, write_by_type
+from logtide.streaming.sinks import TYPE_FOLDER, read_by_type, read_latest, write_by_type
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,7 +35,8 @@ def register(name: str, oracle: str | None = None):
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
-            return fn(spark, sf_dir)
+            with query_run(spark, name):
+                return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -73,15 +78,14 @@ def clean_flatten_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("clean_json_records", f"""
-WITH {o.ITEMS}
+WITH {o.DIRTY_ITEMS}
 SELECT i.key, i.item_pos,
-       CASE i.dirty_case WHEN 7 THEN 'area,dt,level,meta,score,type' WHEN 8 THEN 'area,dt,score,type'
-            ELSE 'area,dt,level,score,type' END AS keys,
+       CASE WHEN i.l_linenumber IS NULL THEN 'area,dt,type' WHEN i.dirty_case = 7 THEN 'area,dt,level,meta,score,type'
+            WHEN i.dirty_case = 8 THEN 'area,dt,score,type' ELSE 'area,dt,level,score,type' END AS keys,
        i.type, i.score, CASE WHEN i.dirty_case = 8 THEN NULL ELSE i.level END AS level,
        {o.AREA_OF_REGION} AS area, i.dt,
        CASE WHEN i.dirty_case = 7 THEN CAST(i.l_linenumber AS VARCHAR) END AS meta_line
-FROM items i JOIN region r ON i.n_regionkey = r.r_regionkey
-WHERE i.dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11)""")
+FROM good_items i JOIN region r ON i.n_regionkey = r.r_regionkey""")
 def clean_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean JSON records of the dirty log, read back field by field."""
     recs = clean_ops.clean_records(fx.raw_log(spark, sf_dir, dirty=True), _mapping(spark, sf_dir))
@@ -89,12 +93,11 @@ def clean_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("clean_overwrite_keys", f"""
-WITH {o.ITEMS}
+WITH {o.DIRTY_ITEMS}
 SELECT i.key, i.item_pos, CASE WHEN i.dirty_case = 5 THEN 'stale' END AS input_area,
        CASE WHEN i.dirty_case = 5 THEN 'stale' END AS input_dt,
        {o.AREA_OF_REGION} AS area, i.dt
-FROM items i JOIN region r ON i.n_regionkey = r.r_regionkey
-WHERE i.dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11)""")
+FROM good_items i JOIN region r ON i.n_regionkey = r.r_regionkey""")
 def clean_overwrite_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items that already hold area/dt get them overwritten; other keys stay."""
     items = clean_ops.flatten(clean_ops.parse_messages(fx.raw_log(spark, sf_dir, dirty=True)))
@@ -117,11 +120,8 @@ def clean_empty_and_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.select("key", "item_pos", "country_code", "area")
 
 
-@register("clean_quarantine", """
-SELECT CAST(o_orderkey AS VARCHAR) AS key,
-       CASE o_orderkey % 101 WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing_data' WHEN 3 THEN 'malformed'
-            WHEN 6 THEN 'duplicate_key' WHEN 9 THEN 'null_item' WHEN 10 THEN 'empty' WHEN 11 THEN 'malformed' END AS reason
-FROM orders WHERE o_orderkey % 101 IN (1, 2, 3, 6, 9, 10, 11)""")
+@register("clean_quarantine", f"""
+WITH {o.DIRTY_ITEMS} SELECT key, reason FROM messages JOIN faults USING (dirty_case)""")
 def clean_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that cannot be cleaned go to quarantine with a reason; the job goes on."""
     q = clean_ops.quarantine(clean_ops.parse_messages(fx.raw_log(spark, sf_dir, dirty=True)))
@@ -168,13 +168,18 @@ def audit_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_ops.accepted(_dirty_audit(spark, sf_dir)).select("key", "time_ms", "type", "area")
 
 
-@register("audit_rejects", f"""WITH {o.DIRTY_AUDIT}
-SELECT key, CASE WHEN time_ms = 0 THEN 'bad_time' ELSE 'null_key' END AS reason FROM parsed
-WHERE NOT (time_ms <> 0 AND type IS NOT NULL AND area IS NOT NULL)""")
+@register("audit_rejects", f"WITH {o.DIRTY_AUDIT} SELECT key, reason FROM rejected")
 def audit_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_ops.rejects(_dirty_audit(spark, sf_dir)).select("key", "reason")
 
 
+@register("audit_quarantine", f"WITH {o.DIRTY_AUDIT} SELECT key, value, reason FROM rejected WHERE fault IS NOT NULL")
+def audit_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit messages that are no sound JSON object, with their raw text."""
+    return audit_ops.rejects(_dirty_audit(spark, sf_dir)).where(F.col("reason").isin("empty", "malformed")).select(
+        "key", "value", "reason")
+
+
 @register("report_30m", f"WITH {o.DIRTY_AUDIT} {o.report(REPORT_WINDOW_MS, 'accepted')}")
 def report_30m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count per 30-minute window, type and area; time = latest event in the group."""
@@ -264,53 +269,57 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ sinks, quality
 
 @register("store_by_type", f"""
-WITH {o.ITEMS} SELECT type, count(*) AS n_records FROM items GROUP BY type""")
+WITH {o.ITEMS} SELECT i.type, i.key, i.item_pos, i.dt, i.score, i.level, {o.AREA_OF_REGION} AS area
+FROM items i JOIN region r ON i.n_regionkey = r.r_regionkey""")
 def store_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean records stored in one folder per type, read back from the store."""
+    """Clean records stored in one folder per type; each type read back from its own folder."""
     recs = clean_ops.clean_records(fx.raw_log(spark, sf_dir), _mapping(spark, sf_dir))
     path = new_work_dir(spark, "store-by-type")
     write_by_type(recs, path)
-    return spark.read.parquet(path).groupBy("type").agg(F.count(F.lit(1)).alias("n_records"))
+    types = [r[0] for r in spark.read.parquet(path).select("type", TYPE_FOLDER).groupBy(TYPE_FOLDER).agg(
+        F.first("type")).select("first(type)").collect()]  # one row per type
+    parts = [_reread(read_by_type(spark, path, t)) for t in types]
+    out = parts[0] if parts else _reread(spark.read.parquet(path))
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("type", "key", "item_pos", "dt", "score", "level", "area")
 
 
 @register("quality_counts", f"""
-WITH {o.ITEMS}, {o.DIRTY_AUDIT}, {o.VERSIONS}
-SELECT 'messages_' || CASE o_orderkey % 101 WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing_data' WHEN 3 THEN 'malformed'
-       WHEN 6 THEN 'duplicate_key' WHEN 9 THEN 'null_item' WHEN 10 THEN 'empty' WHEN 11 THEN 'malformed' ELSE 'ok' END
-       AS metric, count(*) AS value
-FROM orders GROUP BY 1
-UNION ALL SELECT 'items', count(*) FROM items WHERE dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11)
-UNION ALL SELECT 'unmapped_items', count(*) FROM items WHERE dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11) AND n_regionkey = 4
-UNION ALL SELECT 'unmapped_countries', count(DISTINCT country_code) FROM items
-          WHERE dirty_case NOT IN (1, 2, 3, 4, 6, 9, 10, 11) AND n_regionkey = 4
-UNION ALL SELECT 'rejected_' || CASE WHEN time_ms = 0 THEN 'bad_time' ELSE 'null_key' END, count(*) FROM parsed
-          WHERE NOT (time_ms <> 0 AND type IS NOT NULL AND area IS NOT NULL) GROUP BY 1
+WITH {o.DIRTY_ITEMS}, {o.DIRTY_AUDIT}, {o.VERSIONS}
+SELECT 'messages_' || coalesce(f.reason, 'ok') AS metric, count(*) AS value
+FROM messages m LEFT JOIN faults f USING (dirty_case) GROUP BY 1
+UNION ALL SELECT 'items', count(*) FROM good_items
+UNION ALL SELECT 'unmapped_items', count(*) FROM good_items WHERE n_regionkey = 4
+UNION ALL SELECT 'unmapped_countries', count(DISTINCT country_code) FROM good_items WHERE n_regionkey = 4
+UNION ALL SELECT 'rejected_' || reason, count(*) FROM rejected GROUP BY 1
 UNION ALL SELECT 'empty_snapshots', count(*) FROM (VALUES (0), (2), (3), (4), (6)) s(version)
           WHERE version NOT IN (SELECT version FROM published)""")
 def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data-quality counters as (metric, value) rows: quarantine reasons, items,
-    unmapped items and countries, audit rejects, empty mapping snapshots."""
+    unmapped items and countries, audit rejects, empty mapping snapshots.
+
+    One pass over the messages: a message has one country, so counts per reason
+    and country hold everything; the mapping meets those few rows.
+    """
     parsed = clean_ops.parse_messages(fx.raw_log(spark, sf_dir, dirty=True))
-    msgs = parsed.groupBy(F.concat(F.lit("messages_"), F.coalesce("reason", F.lit("ok"))).alias("metric")).agg(
-        F.count(F.lit(1)).alias("value"))
-    mapping = _mapping(spark, sf_dir, drop_region=4)
-    items = area_ops.enrich_area(clean_ops.flatten(parsed), mapping)
-    # One pass over the items: the left join leaves area NULL exactly for the
-    # countries a left_anti join against the mapping would return.
-    unmapped_country = F.when(F.col("area").isNull(), F.col("country_code"))
-    item_counts = items.agg(F.count(F.lit(1)).alias("items"),
-                            F.count_if(F.col("area").isNull()).alias("unmapped_items"),
-                            F.count_distinct(unmapped_country).alias("unmapped_countries")).select(
-        F.expr("stack(3, 'items', items, 'unmapped_items', unmapped_items, "
-               "'unmapped_countries', CAST(unmapped_countries AS BIGINT)) AS (metric, value)"))
+    items = F.when(F.col("reason").isNull(), F.size("_rec.data")).otherwise(0)
+    per = parsed.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason"), F.col("_rec.countryCode").alias("country_code")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(items.cast("long")).alias("items"))
+    per = area_ops.enrich_area(per, _mapping(spark, sf_dir, drop_region=4))
+    unmapped = F.col("area").isNull()
+    pair = lambda m, v: F.struct(m.alias("metric"), v.cast("long").alias("value"))
+    counted = per.select(F.explode(F.array(
+        pair(F.concat(F.lit("messages_"), F.col("reason")), F.col("n")),
+        pair(F.lit("items"), F.col("items")),
+        pair(F.lit("unmapped_items"), F.when(unmapped, F.col("items")).otherwise(0)),
+        pair(F.lit("unmapped_countries"), (unmapped & (F.col("items") > 0)).cast("int")))).alias("x")).select("x.*")
+    msgs = counted.groupBy("metric").agg(F.sum("value").alias("value"))
     rej = audit_ops.rejects(_dirty_audit(spark, sf_dir)).groupBy(
         F.concat(F.lit("rejected_"), F.col("reason")).alias("metric")).agg(F.count(F.lit(1)).alias("value"))
     empty = empty_snapshots(fx.mapping_versions(spark, sf_dir)).agg(F.count(F.lit(1)).alias("value")).select(
         F.lit("empty_snapshots").alias("metric"), "value")
-    out = msgs
-    for part in (item_counts, rej, empty):
-        out = out.unionByName(part)
-    return out
+    return msgs.unionByName(rej).unionByName(empty)
 
 
 # ------------------------------------------------------------ streaming jobs
@@ -319,7 +328,10 @@ _REPLAYS: dict[tuple, str] = {}
 
 
 def _replayed(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    """Run a stream replay once per session and input folder; return its output folder."""
+    """Run a stream replay once per session and input folder; return its output folder.
+
+    The folder's tables are taken not to change while the session lasts.
+    """
     key = (session_id(spark), sf_dir, name)
     if key not in _REPLAYS:
         _REPLAYS[key] = build()
@@ -328,7 +340,7 @@ def _replayed(spark: SparkSession, sf_dir: str, name: str, build) -> str:
 
 def _clean_stream_out(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
-        work = new_work_dir(spark, "clean-stream")
+        work = new_work_dir(spark, "clean-stream", keep=True)
         dim = f"{work}/dimension"
         fx.mapping_versions(spark, sf_dir).write.mode("overwrite").parquet(dim)
         provider = snapshot_table_provider(dim)
@@ -338,25 +350,65 @@ def _clean_stream_out(spark: SparkSession, sf_dir: str) -> str:
     return _replayed(spark, sf_dir, "clean", build)
 
 
+def _live_stream_out(spark: SparkSession, sf_dir: str) -> str:
+    def build() -> str:
+        work = new_work_dir(spark, "live-stream", keep=True)
+        live = f"{work}/live"
+        versions = fx.mapping_versions(spark, sf_dir)
+
+        def publish(batch: int) -> None:
+            """What keeps the live table: it holds the newest snapshot only, which may be empty."""
+            if batch in fx.VERSION_BATCHES:
+                versions.where((F.col("version") == batch) & F.col("area").isNotNull()).select(
+                    "area", "countries").write.mode("overwrite").parquet(live)
+
+        provider = live_table_provider(live, f"{work}/mapping-in-force")
+        return replay(spark, fx.raw_log(spark, sf_dir), work,
+                      lambda src, out, ckpt, trig: jobs.clean_job(src, provider, out, ckpt, trig), before=publish)
+
+    return _replayed(spark, sf_dir, "live", build)
+
+
+# Small, so that a replay of 8 batches goes through snapshots of its documents.
+REPLAY_COMPACT_EVERY = 3
+
+
 def _report_stream_out(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
-        work = new_work_dir(spark, "report-stream")
+        work = new_work_dir(spark, "report-stream", keep=True)
         return replay(spark, fx.stream_audit_log(spark, sf_dir).drop("event_id"), work,
-                      lambda src, out, ckpt, trig: jobs.report_job(src, out, ckpt, REPORT_WINDOW_MS, trig))
+                      lambda src, out, ckpt, trig: jobs.report_job(src, out, ckpt, REPORT_WINDOW_MS, trig,
+                                                                   compact_every=REPLAY_COMPACT_EVERY))
 
     return _replayed(spark, sf_dir, "report", build)
 
 
-@register("stream_clean", f"""
+_STREAM_ITEMS = f"""
 WITH {o.ITEMS}, {o.VERSIONS}
-SELECT i.key, i.item_pos, i.batch_id, i.country_code, v.area, i.type
+SELECT i.key, i.item_pos, i.batch_id, i.country_code, v.area, i.type, i.dt, i.score, i.level
 FROM items i JOIN inforce f ON i.batch_id = f.batch_id
-LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code""")
+LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code"""
+
+
+def _stream_records(spark: SparkSession, out: str) -> DataFrame:
+    """What the clean job wrote: all fields but the country read back from the JSON record."""
+    rows = spark.read.parquet(f"{out}/clean")
+    back = F.from_json("record", "type string, score double, level string, area string, dt string")
+    return rows.select("key", "item_pos", F.col("batch_id").cast("int").alias("batch_id"), "country_code",
+                       back["area"].alias("area"), back["type"].alias("type"), back["dt"].alias("dt"),
+                       back["score"].alias("score"), back["level"].alias("level"))
+
+
+@register("stream_clean", _STREAM_ITEMS)
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean job as a stream: one micro-batch per order year, mapping re-read per batch."""
-    out = _clean_stream_out(spark, sf_dir)
-    return spark.read.parquet(f"{out}/clean").select(
-        "key", "item_pos", F.col("batch_id").cast("int").alias("batch_id"), "country_code", "area", "type")
+    return _stream_records(spark, _clean_stream_out(spark, sf_dir))
+
+
+@register("stream_clean_live", _STREAM_ITEMS)
+def stream_clean_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a live mapping table that holds the current mapping only, and is empty at times."""
+    return _stream_records(spark, _live_stream_out(spark, sf_dir))
 
 
 _STREAM_FIRINGS = f"WITH {o.STREAM_AUDIT}, {o.ledger_rows('src', REPORT_WINDOW_MS)} {o.FIRED}"
@@ -385,6 +437,31 @@ SELECT replace(time, ' ', '_') || '-' || type || '-' || area AS doc_id, time, ty
        arg_max(count, fire_batch) AS count
 FROM f2 GROUP BY time, type, area""")
 def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search documents after the stream's keyed upserts (last write per id)."""
+    """Search documents after the stream's keyed upserts (last write per id): snapshot and later firings."""
     out = _report_stream_out(spark, sf_dir)
-    return read_latest(spark, f"{out}/documents", "doc_id").select("doc_id", "time", "type", "area", "count")
+    return read_latest(spark, f"{out}/firings", "doc_id").select("doc_id", "time", "type", "area", "count")
+
+
+@register("stream_metrics", f"""
+WITH {o.ITEMS}, {o.VERSIONS}, {o.STREAM_AUDIT}, {o.ledger_rows('src', REPORT_WINDOW_MS)} {o.FIRED},
+mapped AS (SELECT i.batch_id, v.area FROM items i JOIN inforce f ON i.batch_id = f.batch_id
+           LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code)
+SELECT 'clean' AS job, CAST(batch_id AS BIGINT) AS batch_id, 'items' AS metric, count(*) AS value FROM mapped GROUP BY ALL
+UNION ALL SELECT 'clean', batch_id, 'unmapped_items', count(*) FILTER (area IS NULL) FROM mapped GROUP BY batch_id
+UNION ALL SELECT 'clean', batch_id, 'quarantined', 0 FROM mapped GROUP BY batch_id
+UNION ALL SELECT 'report', batch_id, 'messages', count(*) FROM src GROUP BY batch_id
+UNION ALL SELECT 'report', batch_id, 'rejected', 0 FROM src GROUP BY batch_id
+UNION ALL SELECT 'report', batch_id, 'late', count(*) FILTER (is_late) FROM cls GROUP BY batch_id
+UNION ALL SELECT 'report', b.batch_id, 'fired_windows', count(f.fire_batch)
+          FROM (SELECT DISTINCT batch_id FROM src) b LEFT JOIN firings f ON f.fire_batch = b.batch_id GROUP BY b.batch_id""")
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress counters of both streaming jobs, one row per batch and counter."""
+    clean = spark.read.parquet(f"{_clean_stream_out(spark, sf_dir)}/metrics")
+    report = spark.read.parquet(f"{_report_stream_out(spark, sf_dir)}/metrics")
+
+    def long_form(df: DataFrame, job: str, names: list[str]) -> DataFrame:
+        return df.unpivot("batch_id", names, "metric", "value").select(
+            F.lit(job).alias("job"), F.col("batch_id").cast("long").alias("batch_id"), "metric", "value")
+
+    return long_form(clean, "clean", ["items", "unmapped_items", "quarantined"]).unionByName(
+        long_form(report, "report", ["messages", "rejected", "late", "fired_windows"]))

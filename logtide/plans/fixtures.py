@@ -1,6 +1,6 @@
 """Log inputs derived from the driver's tables, so their size follows the tables.
 
-* raw log: one nested JSON message per order; items are its line items.
+* raw log: nested JSON messages of up to two line numbers of an order; items are its line items.
 * dirty raw log: the same with injected faults, chosen by ``o_orderkey % 101``.
 * area mapping (and a versioned history of it) from region and nation.
 * audit log: one flat JSON message per event; dirty variant by ``event_id % 97``.
@@ -18,14 +18,12 @@ from logtide.operators.joins import join_dimension
 from logtide.schemas import AREA_PREFIX, TIME_PATTERN
 from logtide.sources.tables import read_table
 
-# ---------------------------------------------------------------- FIXED VALUES
 # Audit-log user names are this prefix followed by 1..5.
-USER_PREFIX = "shenhe"
-# ------------------------------------------------------------ end FIXED VALUES
+USER_PREFIX = "user"
 
 DIRTY_MOD = 101
-# Largest number of items in one raw-log message.
-MAX_ITEMS_PER_MESSAGE = 1000
+# Line numbers that share a raw-log message.
+LINES_PER_MESSAGE = 2
 AUDIT_DIRTY_MOD = 97
 # Publish batch of each mapping snapshot; 3 is the empty one.
 VERSION_BATCHES = (0, 2, 3, 4, 6)
@@ -56,20 +54,19 @@ def _item_text(dirty: bool) -> Column:
 
 
 def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    """Raw nested logs: (key, value, batch_id); batch = order year - 1995."""
+    """Raw nested logs: (key, value, batch_id); batch = order year - 1995.
+
+    One rule for orders of every size: a message holds the items of two
+    neighbouring line numbers, keyed ``order-part``; an order without items is
+    one message (part 0) with an empty list. The parts of a large order are
+    grouped in different tasks.
+    """
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag",
                     "l_discount", "l_linestatus")
-    # Rank items within their order (line numbers may repeat; the other fields
-    # break the tie, and items equal in all of them are identical). The window
-    # shares the order-key exchange with the grouping below and is sort-based,
-    # so a huge order spills instead of being held in memory; messages carry at
-    # most MAX_ITEMS_PER_MESSAGE items, a larger order becomes several messages.
-    in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_returnflag", "l_discount",
-                                                        "l_linestatus")
-    ranked = li.withColumn("_rn", F.row_number().over(in_order) - 1)
-    items = ranked.select("l_orderkey", F.floor(F.col("_rn") / MAX_ITEMS_PER_MESSAGE).alias("_part"),
-                          F.struct((F.col("_rn") % MAX_ITEMS_PER_MESSAGE).alias("pos"),
-                                   _item_text(dirty).alias("t")).alias("it"))
+    part = F.floor((F.col("l_linenumber") - 1) / LINES_PER_MESSAGE).cast("long")
+    # Line numbers may repeat; the other fields break the tie, and items equal in all are identical.
+    items = li.select("l_orderkey", part.alias("_part"), F.struct(
+        "l_linenumber", "l_returnflag", "l_discount", "l_linestatus", _item_text(dirty).alias("t")).alias("it"))
     per_order = items.groupBy("l_orderkey", "_part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("it")), lambda s: s["t"]), ",").alias("items"))
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
@@ -77,10 +74,7 @@ def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     o = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     o = join_dimension(o, nation, o.c_nationkey == nation.n_nationkey, "left")
-    # Hash-partition orders on the join key: the same exchange a sort-merge join
-    # would add, and it keeps the message build and later parse spread over
-    # tasks even when the item lists end up broadcast.
-    o = o.repartition("o_orderkey").join(per_order, F.col("o_orderkey") == per_order.l_orderkey, "left")
+    o = o.join(per_order, F.col("o_orderkey") == per_order.l_orderkey, "left")
     dt = F.date_format(F.col("o_orderdate"), TIME_PATTERN)
     head = F.concat(F.lit('{"dt":'), _q(dt), F.lit(',"countryCode":'), _q(F.col("n_name")))
     data = F.coalesce(F.col("items"), F.lit(""))
@@ -100,12 +94,12 @@ def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
             .when(case == 9, plus("null"))
             .when(case == 10, F.lit(""))
             .when(case == 11, plus("1"))
+            .when(case == 12, F.concat(F.col("v"), F.lit(" trailing")))
+            .when(case == 13, F.concat(F.col("v"), F.col("v")))
             .otherwise(F.col("v"))
         )
         o = o.withColumn("v", F.concat(head, F.lit(',"data":['), data, F.lit("]}")))
-    key = F.col("o_orderkey").cast("string")
-    key = F.when(F.coalesce(F.col("_part"), F.lit(0)) == 0, key).otherwise(
-        F.concat(key, F.lit("#"), F.col("_part").cast("string")))
+    key = F.concat_ws("-", F.col("o_orderkey").cast("string"), F.coalesce(F.col("_part"), F.lit(0)).cast("string"))
     return o.select(
         key.alias("key"),
         value.alias("value"),
@@ -119,12 +113,9 @@ def _region_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_dimension(nation, region, nation.n_regionkey == region.r_regionkey, "inner")
 
 
-def _group_mapping(pairs: DataFrame, trailing_comma: Column | None = None) -> DataFrame:
+def _group_mapping(pairs: DataFrame) -> DataFrame:
     """(area, country) pairs -> (area, "C1,C2,...") sorted by country."""
-    g = pairs.groupBy("area").agg(F.array_join(F.array_sort(F.collect_list("country")), ",").alias("countries"))
-    if trailing_comma is not None:
-        g = g.withColumn("countries", F.when(trailing_comma, F.concat("countries", F.lit(","))).otherwise(F.col("countries")))
-    return g
+    return pairs.groupBy("area").agg(F.array_join(F.array_sort(F.collect_list("country")), ",").alias("countries"))
 
 
 def area_mapping(spark: SparkSession, sf_dir: str, drop_region: int | None = None,
@@ -201,7 +192,7 @@ def _audit_text(dt: Column, type_: Column, username: Column, area: Column, with_
 def audit_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Audit messages (key, value) per event; dirty cases by event_id % 97:
     1 bad dt, 2 empty message, 3 no dt, 4 lenient dt, 5 month 13, 6 null type,
-    7 the epoch instant (parses to 0)."""
+    7 the epoch instant (parses to 0), 8 truncated, 9 an array, 10 text after the object."""
     a = _audit_fields(spark, sf_dir)
     if not dirty:
         value = _audit_text(F.col("dt"), F.col("type"), F.col("username"), F.col("area"))
@@ -211,8 +202,10 @@ def audit_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFram
               .when(case == 5, F.lit("2019-13-01 00:00:00")).when(case == 7, F.lit("1970-01-01 00:00:00"))
               .otherwise(F.col("dt")))
         type_ = F.when(case == 6, F.lit(None).cast("string")).otherwise(F.col("type"))
-        value = F.when(case == 2, F.lit("")).otherwise(
-            _audit_text(dt, type_, F.col("username"), F.col("area"), with_dt=case != 3))
+        text = _audit_text(dt, type_, F.col("username"), F.col("area"), with_dt=case != 3)
+        value = (F.when(case == 2, F.lit("")).when(case == 8, F.substr(text, F.lit(1), F.length(text) - 1))
+                 .when(case == 9, F.concat(F.lit("["), text, F.lit("]"))).when(case == 10, F.concat(text, F.lit(" x")))
+                 .otherwise(text))
     return a.select(F.col("event_id").cast("string").alias("key"), value.alias("value"), "event_id")
 
 
@@ -243,7 +236,10 @@ def compressed_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_audit_log(spark: SparkSession, sf_dir: str, n_batches: int = 8) -> DataFrame:
     """Audit log cut into ``n_batches`` arrival batches by event id; every 50th
-    event arrives one and a half batches late (clamped to the last batch)."""
+    event arrives one and a half batches late (clamped to the last batch).
+
+    The number of batches is fixed, so a micro-batch grows with the table: a
+    shape of this fixture, not of the job, whose batches a trigger cuts."""
     a = audit_log(spark, sf_dir)
     top = read_table(spark, sf_dir, "events", "event_id").agg(F.max("event_id")).first()[0]
     span = max(1, -(-(int(top) + 1) // n_batches))

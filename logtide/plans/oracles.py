@@ -6,20 +6,37 @@ from the base tables, then each oracle applies the rule in plain SQL.
 
 from __future__ import annotations
 
-# Clean raw log, one row per line item (orders without items have none).
+# Clean raw log: one row per message, and one row per line item (orders without items have none).
 ITEMS = """
-items AS (
-  SELECT CAST(o.o_orderkey AS VARCHAR) AS key,
-         CAST(row_number() OVER (PARTITION BY o.o_orderkey ORDER BY l.l_linenumber, l.l_returnflag, l.l_discount, l.l_linestatus) - 1 AS INTEGER) AS item_pos,
-         strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt,
-         n.n_name AS country_code, n.n_nationkey, n.n_regionkey,
-         l.l_returnflag AS type, l.l_discount AS score, l.l_linestatus AS level, l.l_linenumber,
-         o.o_orderkey % 101 AS dirty_case,
+messages AS (
+  SELECT o.o_orderkey, p.part, CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(coalesce(p.part, 0) AS VARCHAR) AS key,
+         o.o_orderkey % 101 AS dirty_case, coalesce(p.n, 0) AS n,
+         strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt, n.n_name AS country_code, n.n_regionkey,
          CAST(year(o.o_orderdate) - 1995 AS INTEGER) AS batch_id
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN lineitem l ON l.l_orderkey = o.o_orderkey)"""
+  LEFT JOIN (SELECT l_orderkey, (l_linenumber - 1) // 2 AS part, count(*) AS n FROM lineitem GROUP BY ALL) p
+         ON p.l_orderkey = o.o_orderkey),
+items AS (
+  SELECT m.key,
+         CAST(row_number() OVER (PARTITION BY m.key ORDER BY l.l_linenumber, l.l_returnflag, l.l_discount, l.l_linestatus) - 1 AS INTEGER) AS item_pos,
+         m.dt, m.country_code, m.n_regionkey,
+         l.l_returnflag AS type, l.l_discount AS score, l.l_linestatus AS level, l.l_linenumber, m.dirty_case, m.batch_id
+  FROM messages m
+  JOIN lineitem l ON l.l_orderkey = m.o_orderkey AND (l.l_linenumber - 1) // 2 = m.part)"""
+
+# The dirty raw log: faults by order key modulo 101, and what is left of its items. Case 6 adds an
+# item whose repeated key takes its last value.
+DIRTY_ITEMS = ITEMS + """,
+faults(dirty_case, reason) AS (VALUES (1, 'malformed'), (2, 'missing_data'), (3, 'malformed'), (9, 'null_item'),
+  (10, 'empty'), (11, 'malformed'), (12, 'malformed'), (13, 'malformed')),
+good_items AS (
+  SELECT key, item_pos, dt, country_code, n_regionkey, type, score, level, l_linenumber, dirty_case FROM items
+  WHERE dirty_case <> 4 AND dirty_case NOT IN (SELECT dirty_case FROM faults)
+  UNION ALL
+  SELECT key, CAST(n AS INTEGER), dt, country_code, n_regionkey, 'E', NULL, NULL, NULL, dirty_case FROM messages
+  WHERE dirty_case = 6)"""
 
 AREA_OF_REGION = "'AREA_' || r.r_name"
 
@@ -28,25 +45,33 @@ AUDIT = """
 audit0 AS (
   SELECT e.event_id, CAST(e.event_id AS VARCHAR) AS key,
          strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS dt0, e.event_type,
-         'AREA_' || r.r_name AS area0
+         'AREA_' || r.r_name AS area0, 'user' || CAST(e.user_id % 5 + 1 AS VARCHAR) AS user0
   FROM events e LEFT JOIN region r ON e.user_id % 5 = r.r_regionkey)"""
 
-# Dirty audit log, parsed: time_ms is 0 when the time text is not strict.
+# Dirty audit log, parsed: time_ms is 0 when the time text is not strict or there is no sound message.
 DIRTY_AUDIT = AUDIT + """,
 audit1 AS (
   SELECT event_id, key, event_id % 97 AS c,
+         CASE event_id % 97 WHEN 2 THEN 'empty' WHEN 8 THEN 'malformed' WHEN 9 THEN 'malformed' WHEN 10 THEN 'malformed' END AS fault,
          CASE event_id % 97 WHEN 1 THEN 'bad' WHEN 3 THEN NULL WHEN 4 THEN '2019-1-1 1:1:1'
               WHEN 5 THEN '2019-13-01 00:00:00' WHEN 7 THEN '1970-01-01 00:00:00' ELSE dt0 END AS dt,
-         CASE WHEN event_id % 97 = 6 THEN NULL ELSE event_type END AS type, area0
+         CASE WHEN event_id % 97 = 6 THEN NULL ELSE event_type END AS type, area0, user0
   FROM audit0),
+texts AS (
+  SELECT *, '{' || CASE WHEN c = 3 THEN '' ELSE '"dt":"' || dt || '",' END || '"type":' || coalesce('"' || type || '"', 'null')
+            || ',"username":"' || user0 || '","area":"' || area0 || '"}' AS text FROM audit1),
 parsed AS (
-  SELECT key, event_id,
-         CASE WHEN c = 2 THEN CAST(0 AS BIGINT)
+  SELECT key, event_id, fault,
+         CASE c WHEN 2 THEN '' WHEN 8 THEN left(text, length(text) - 1) WHEN 9 THEN '[' || text || ']' WHEN 10 THEN text || ' x' ELSE text END AS value,
+         CASE WHEN fault IS NOT NULL THEN CAST(0 AS BIGINT)
               ELSE coalesce(CASE WHEN regexp_full_match(dt, '\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}')
                                  THEN epoch_ms(try_strptime(dt, '%Y-%m-%d %H:%M:%S')) END, CAST(0 AS BIGINT)) END AS time_ms,
-         CASE WHEN c = 2 THEN NULL ELSE type END AS type,
-         CASE WHEN c = 2 THEN NULL ELSE area0 END AS area
-  FROM audit1),
+         CASE WHEN fault IS NULL THEN type END AS type,
+         CASE WHEN fault IS NULL THEN area0 END AS area
+  FROM texts),
+rejected AS (
+  SELECT *, coalesce(fault, CASE WHEN time_ms = 0 THEN 'bad_time' ELSE 'null_key' END) AS reason FROM parsed
+  WHERE NOT (time_ms <> 0 AND type IS NOT NULL AND area IS NOT NULL)),
 accepted AS (SELECT * FROM parsed WHERE time_ms <> 0 AND type IS NOT NULL AND area IS NOT NULL)"""
 
 FMT = "strftime(make_timestamp(CAST({ms} AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S')"

@@ -59,6 +59,8 @@ AUDIT_LOG_SCHEMA = T.StructType(
     ]
 )
 
+AUDIT_PARSE_SCHEMA = T.StructType([*AUDIT_LOG_SCHEMA.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+
 # Text records as a message source delivers them (key may be null).
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]

@@ -1,8 +1,10 @@
-"""Area-mapping dimension provider: a snapshot table re-read at every micro-batch.
+"""Area-mapping dimension providers, asked once in every micro-batch.
 
-Snapshots are rows (version, area, countries); version is the batch at which
-the snapshot was taken. An empty snapshot is a version without countries and
-never replaces the mapping in force.
+* a table of snapshots (version, area, countries): the version is the batch at
+  which a snapshot was taken;
+* a live table (area, countries) that holds the current mapping only.
+
+With both, an empty snapshot never replaces the mapping in force.
 """
 
 from __future__ import annotations
@@ -13,9 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.operators.area import invert_mapping, latest_nonempty_version
+from logtide.streaming.sinks import batch_ids, expire, read_batch, write_batch
 
 Provider = Callable[[SparkSession, int], DataFrame]
 
+# Mappings of earlier batches that the live provider keeps.
+KEEP_MAPPINGS = 3
+
 
 def snapshot_table_provider(path: str) -> Provider:
     """Provider reading the snapshot table at ``path`` on each call."""
@@ -26,12 +32,24 @@ def snapshot_table_provider(path: str) -> Provider:
     return provide
 
 
-def static_provider(mapping: DataFrame) -> Provider:
-    """Provider for a fixed mapping (area, countries)."""
-    inverted = invert_mapping(mapping)
+def live_table_provider(path: str, state: str) -> Provider:
+    """Provider reading the current mapping (area, countries) at ``path`` on each call.
+
+    The mapping that a batch used is stored under ``state``; while the table is
+    empty, the newest stored one stays in force, also after a restart. A batch
+    that is run again uses the mapping of its first run.
+    """
 
     def provide(spark: SparkSession, batch_id: int) -> DataFrame:
-        return inverted
+        kept = batch_ids(spark, state)
+        if batch_id not in kept:
+            now = invert_mapping(spark.read.parquet(path))
+            before = [b for b in kept if b < batch_id]
+            if now.isEmpty() and before:
+                now = read_batch(spark, state, max(before)).drop("batch_id")
+            write_batch(now, state, batch_id)
+            expire(spark, state, batch_id - KEEP_MAPPINGS)
+        return read_batch(spark, state, batch_id).drop("batch_id")
 
     return provide
 
@@ -40,7 +58,3 @@ def empty_snapshots(versions: DataFrame) -> DataFrame:
     """Versions that hold no country at all (kept out of force by the guard)."""
     inv = invert_mapping(versions, by=["version"]).select("version").distinct()
     return versions.select("version").distinct().join(inv, "version", "left_anti")
-
-
-def snapshot_sizes(versions: DataFrame) -> DataFrame:
-    return invert_mapping(versions, by=["version"]).groupBy("version").agg(F.count(F.lit(1)).alias("countries"))

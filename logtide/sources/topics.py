@@ -11,14 +11,6 @@ from pyspark.sql import functions as F
 
 from logtide.schemas import MESSAGE_SCHEMA
 
-# ---------------------------------------------------------------- FIXED VALUES
-# Topic names the two jobs read and write.
-RAW_LOG_TOPIC = "allData"
-CLEAN_TOPIC = "allDataClean"
-AUDIT_TOPIC = "auditLog"
-LATE_TOPIC = "lateLog"
-# ------------------------------------------------------------ end FIXED VALUES
-
 
 def read_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None,
                starting_offsets: str = "latest") -> DataFrame:

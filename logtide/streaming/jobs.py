@@ -9,6 +9,7 @@ replayed after a failure produces exactly the same files.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,10 +22,12 @@ from logtide.operators.area import enrich_area
 from logtide.operators.lateness import with_window
 from logtide.schemas import ALLOWED_LATENESS_MS, OUT_OF_ORDERNESS_MS, REPORT_WINDOW_MS
 from logtide.sources.dimension import Provider
-from logtide.streaming.sinks import compact, read_store, upsert, write_batch
+from logtide.streaming.sinks import TYPE_FOLDER, by_type, compact, expire, read_batch, upsert, write_batch
 
-# Document snapshots are compacted every this many batches.
+# Firings are compacted into a snapshot of documents every this many batches.
 COMPACT_EVERY = 100
+# Batches whose state is kept; a batch that is run again needs the one before it.
+KEEP_STATE = 3
 
 
 def _start(source: DataFrame, fn, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -46,12 +49,14 @@ def clean_batch(spark: SparkSession, messages: DataFrame, batch_id: int, provide
         items = enrich_area(clean_ops.flatten(parsed), country_area).observe(
             obs, F.count(F.lit(1)).alias("items"),
             F.count_if(F.col("area").isNull()).alias("unmapped_items"))
-        write_batch(clean_ops.finish(items), f"{out}/clean", batch_id, partition_by=["type"])
+        write_batch(by_type(clean_ops.finish(items)), f"{out}/clean", batch_id, partition_by=[TYPE_FOLDER])
+        bad_obs = Observation(f"quarantine_{batch_id}")
         q = clean_ops.quarantine(parsed).select("key", "value", "reason")
-        write_batch(q, f"{out}/quarantine", batch_id)
+        write_batch(q.observe(bad_obs, F.count(F.lit(1)).alias("quarantined")), f"{out}/quarantine", batch_id)
         m = obs.get
         metrics = spark.createDataFrame(
-            [(int(m.get("items", 0)), int(m.get("unmapped_items", 0)))], "items long, unmapped_items long")
+            [(int(m.get("items", 0)), int(m.get("unmapped_items", 0)), int(bad_obs.get.get("quarantined", 0)))],
+            "items long, unmapped_items long, quarantined long")
         write_batch(metrics, f"{out}/metrics", batch_id)
     finally:
         parsed.unpersist()
@@ -68,21 +73,31 @@ def clean_job(source: DataFrame, provider: Provider, out: str, checkpoint: str,
 
 
 def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Rows the previous micro-batch stored (batch ids are consecutive)."""
+    """Rows the previous micro-batch stored (batch ids are consecutive); None before the first.
+
+    They must be there: without them, open windows and the watermark would be lost in silence.
+    """
     if batch_id == 0:
         return None
-    return read_store(spark, f"{path}/batch_id={batch_id - 1}")
+    try:
+        return read_batch(spark, path, batch_id - 1).drop("batch_id")
+    except AnalysisException as err:
+        raise RuntimeError(f"state of batch {batch_id - 1} under {path} is missing or unreadable; "
+                           f"batch {batch_id} cannot go on without it") from err
 
 
 def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: str,
                  size_ms: int = REPORT_WINDOW_MS, out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
-                 lateness_ms: int = ALLOWED_LATENESS_MS, compact_every: int = COMPACT_EVERY) -> None:
-    """One micro-batch of the report job: rejects, ledger, late rows, firings, documents.
+                 lateness_ms: int = ALLOWED_LATENESS_MS, compact_every: int = COMPACT_EVERY,
+                 keep_firings: bool = True) -> None:
+    """One micro-batch of the report job: rejects, late rows, firings, state, metrics.
 
     State between batches is two small tables written by the previous batch:
-    its ledger row (max event time so far) and the live windows (counts of
-    windows not yet past their lateness). Reading only batch N-1's state keeps
-    the work per batch bounded by the live windows, not by the stream's age.
+    its metrics row (which holds the max event time so far) and the live windows
+    (counts of windows not yet past their lateness). Reading only batch N-1's
+    state keeps the work per batch bounded by the live windows, not by the
+    stream's age. Firings carry their document id and are the log of keyed
+    upserts at the same time.
     """
     parsed = audit_ops.parse_audit(messages).persist()  # feeds rows and rejects
     try:
@@ -99,11 +114,10 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
         rows = with_window(audit_ops.accepted(parsed), size_ms)
 
         # Watermark before this batch: max event time of earlier batches.
-        prev_ledger = _previous(spark, f"{out}/ledger", batch_id)
-        prev = prev_ledger.first()["upto"] if prev_ledger is not None else None
+        prev_metrics = _previous(spark, f"{out}/metrics", batch_id)
+        prev = prev_metrics.first()["upto"] if prev_metrics is not None else None
         known = [v for v in (prev, mx) if v is not None]
         upto = max(known) if known else None
-        write_batch(spark.createDataFrame([(mx, upto)], "mx long, upto long"), f"{out}/ledger", batch_id)
         wm_before = max(prev or 0, 0) - out_of_orderness_ms
         wm_after = max(upto or 0, 0) - out_of_orderness_ms
 
@@ -129,13 +143,11 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
         fired = totals.where(fires).select(
             "window_start_ms", "type", "area", F.lit(batch_id).cast("long").alias("fire_batch"),
             F.col("n").cast("long").alias("count"), format_time_ms(F.col("mx")).alias("time"))
+        fired = fired.withColumn("doc_id", doc_id(F.col("time"), F.col("type"), F.col("area")))
         fired_obs = Observation(f"report_fired_{batch_id}")
-        write_batch(fired.observe(fired_obs, F.count(F.lit(1)).alias("fired")), f"{out}/firings", batch_id)
-        docs = spark.read.parquet(f"{out}/firings/batch_id={batch_id}").select(
-            doc_id(F.col("time"), F.col("type"), F.col("area")).alias("doc_id"), "time", "type", "area", "count")
-        upsert(docs, f"{out}/documents", batch_id)
+        upsert(fired.observe(fired_obs, F.count(F.lit(1)).alias("fired")), f"{out}/firings", batch_id)
         if compact_every and batch_id % compact_every == compact_every - 1:
-            compact(spark, f"{out}/documents", "doc_id", batch_id)
+            compact(spark, f"{out}/firings", "doc_id", batch_id, keep_log=keep_firings)
         # Windows past their lateness can never change again: drop them from state.
         live = totals.where(end1 + F.lit(lateness_ms) > F.lit(wm_after)).select(*keys, "n", "mx")
         write_batch(live, f"{out}/state", batch_id)
@@ -143,19 +155,26 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
 
         metrics = spark.createDataFrame(
             [(int(seen.get("messages", 0)), int(seen.get("rejected", 0)), int(late_obs.get.get("late", 0)),
-              int(fired_obs.get.get("fired", 0)), wm_after)],
-            "messages long, rejected long, late long, fired_windows long, watermark_ms long")
+              int(fired_obs.get.get("fired", 0)), wm_after, mx, upto)],
+            "messages long, rejected long, late long, fired_windows long, watermark_ms long, mx long, upto long")
         write_batch(metrics, f"{out}/metrics", batch_id)
+        expire(spark, f"{out}/state", batch_id - KEEP_STATE)
     finally:
         parsed.unpersist()
 
 
 def report_job(source: DataFrame, out: str, checkpoint: str, size_ms: int = REPORT_WINDOW_MS,
-               trigger: dict | None = None) -> StreamingQuery:
-    """Audit stream -> firings, documents (keyed upserts), late rows, rejects."""
+               trigger: dict | None = None, out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
+               lateness_ms: int = ALLOWED_LATENESS_MS, compact_every: int = COMPACT_EVERY,
+               keep_firings: bool = True) -> StreamingQuery:
+    """Audit stream -> firings (with document ids; keyed upserts), late rows, rejects.
+
+    ``keep_firings=False`` keeps firings only until a snapshot of the documents replaces them.
+    """
 
     def run(df: DataFrame, batch_id: int) -> None:
-        report_batch(df.sparkSession, df, batch_id, out, size_ms)
+        report_batch(df.sparkSession, df, batch_id, out, size_ms, out_of_orderness_ms, lateness_ms, compact_every,
+                     keep_firings)
 
     return _start(source, run, checkpoint, trigger)
 

@@ -20,14 +20,22 @@ JobFactory = Callable[[DataFrame, str, str, dict], StreamingQuery]
 
 
 def replay(spark: SparkSession, messages: DataFrame, work: str, job: JobFactory,
-           batch_col: str = "batch_id") -> str:
-    """Run ``job`` over ``messages`` batch by batch; returns the output folder."""
+           batch_col: str = "batch_id", before: Callable[[int], None] | None = None) -> str:
+    """Run ``job`` over ``messages`` batch by batch; returns the output folder.
+
+    Batch ids must be 0, 1, 2, ... without a gap, since they stand for the
+    engine's own numbers of micro-batches. ``before`` is called ahead of each.
+    """
     held = f"{work}/held"
     messages.select("key", "value", batch_col).write.mode("overwrite").partitionBy(batch_col).parquet(held)
     kept = spark.read.parquet(held)
     batch_ids = [r[0] for r in kept.select(batch_col).distinct().orderBy(batch_col).collect()]
+    if batch_ids != list(range(len(batch_ids))):
+        raise ValueError(f"batch ids must run from 0 without a gap, got {batch_ids[:10]}")
     src, out, ckpt = f"{work}/src", f"{work}/out", f"{work}/checkpoint"
     for b in batch_ids:
+        if before:
+            before(b)
         stage(kept.where(F.col(batch_col) == b), src)
         q = job(read_staged(spark, src), out, ckpt, {"availableNow": True})
         q.awaitTermination()

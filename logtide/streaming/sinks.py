@@ -2,14 +2,34 @@
 
 A micro-batch writes only into folders named by its batch id, in overwrite
 mode, so a batch replayed after a failure replaces its own output and the
-result is the same as one clean run.
+result is the same as one clean run. Readers open the folders they need by
+name; a folder that must be there and is not is an error, never an empty state.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from logtide.session import delete_path
+
+# Partition column of the store by type: a copy of the type that keeps null and empty apart.
+TYPE_FOLDER = "type_folder"
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers N of the folders ``path/<prefix>N`` (one listing of names); none where the path is missing."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].lstrip("-").isdigit())
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Batches that have written under ``path``."""
+    return _numbered(spark, path, "batch_id=")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
@@ -20,23 +40,43 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]
     w.parquet(f"{path}/batch_id={batch_id}")
 
 
+def read_batch(spark: SparkSession, path: str, *batches: int) -> DataFrame:
+    """Rows that the named batches wrote, with ``batch_id``; a missing batch is an error."""
+    return spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in batches])
+
+
+def expire(spark: SparkSession, path: str, upto: int) -> None:
+    """Delete the folders of batches up to ``upto``."""
+    for b in batch_ids(spark, path):
+        if b <= upto:
+            delete_path(spark, f"{path}/batch_id={b}")
+
+
+def type_folder(type_: Column) -> Column:
+    """Folder name of a type. The prefix keeps ``01`` a text, and an empty type apart from none."""
+    return F.coalesce(F.concat(F.lit("type_"), type_), F.lit("none"))
+
+
+def by_type(df: DataFrame) -> DataFrame:
+    return df.withColumn(TYPE_FOLDER, type_folder(F.col("type")))
+
+
 def write_by_type(df: DataFrame, path: str, mode: str = "overwrite",
                   max_records_per_file: int = 5_000_000) -> None:
-    """Store records separately by type: one folder per type value.
+    """Store records separately by type: one folder per type value; ``type`` stays a data column.
 
     No shuffle on type first: types are few and one may hold a large share of
     the rows, so each task writes its own rows (at most one open file per
     type), with files capped in size.
     """
-    (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("type").parquet(path))
+    (by_type(df).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(TYPE_FOLDER).parquet(path))
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def read_by_type(spark: SparkSession, path: str, type_: str | None) -> DataFrame:
+    """Records of one type (None: without a type), read from its folder alone."""
+    folder = type_folder(F.lit(type_).cast("string"))
+    return spark.read.parquet(path).where(F.col(TYPE_FOLDER) == folder).drop(TYPE_FOLDER)
 
 
 def _snapshot_dir(path: str) -> str:
@@ -48,42 +88,46 @@ def _latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn")
 
 
+def _upto(spark: SparkSession, path: str, batch: int | None) -> DataFrame | None:
+    """All rows a reader at ``batch`` needs: the newest snapshot before it and the log after that."""
+    snaps = [n for n in _numbered(spark, _snapshot_dir(path), "upto=") if batch is None or n < batch]
+    log = [b for b in batch_ids(spark, path) if (not snaps or b > snaps[-1]) and (batch is None or b <= batch)]
+    rows = spark.read.parquet(f"{_snapshot_dir(path)}/upto={snaps[-1]}") if snaps else None
+    if log:
+        fresh = read_batch(spark, path, *log)
+        rows = rows.unionByName(fresh) if rows is not None else fresh
+    return rows
+
+
 def read_latest(spark: SparkSession, path: str, key: str, order: str = "batch_id") -> DataFrame | None:
-    """Current state of a keyed upsert log: the last written row per key.
+    """Current state of a keyed upsert log: the last written row per key; None where nothing was written.
 
-    Reads the newest compacted snapshot (if any) plus only the log batches
-    written after it.
+    Reads the newest snapshot and the log batches after it, by name: the cost
+    follows the keys and recent batches, and batches up to the snapshot may be gone.
     """
-    log = read_store(spark, path)
-    if log is None:
-        return None
-    snaps = read_store(spark, _snapshot_dir(path))
-    if snaps is not None:
-        upto = snaps.agg(F.max("upto")).first()[0]
-        snap = snaps.where(F.col("upto") == upto).drop("upto")
-        log = snap.unionByName(log.where(F.col(order) > upto))
-    return _latest_per_key(log, key, order)
-
-
-def compact(spark: SparkSession, path: str, key: str, upto_batch: int, order: str = "batch_id") -> None:
-    """Write the latest row per key over batches <= ``upto_batch`` as a snapshot.
-
-    Later reads start from the snapshot, so their cost follows the number of
-    keys plus recent batches, not the whole history. Idempotent per
-    ``upto_batch``; old log batches can then be expired by the operator.
+    rows = _upto(spark, path, None)
+    return None if rows is None else _latest_per_key(rows, key, order)
+
+
+def compact(spark: SparkSession, path: str, key: str, upto_batch: int, order: str = "batch_id",
+            keep_log: bool = False) -> None:
+    """Write the latest row per key over batches <= ``upto_batch`` as a snapshot, then expire what it
+    replaces (older snapshots, and the log unless ``keep_log``).
+
+    Idempotent per ``upto_batch``: the snapshot before, and the log after it,
+    stay until the next compaction, so a batch that is run again finds them.
     """
-    log = read_store(spark, path)
-    if log is None:
-        return
-    snaps = read_store(spark, _snapshot_dir(path))
-    base = log.where(F.col(order) <= upto_batch)
-    if snaps is not None:
-        prev = snaps.where(F.col("upto") < upto_batch).agg(F.max("upto")).first()[0]
-        if prev is not None:
-            base = snaps.where(F.col("upto") == prev).drop("upto").unionByName(
-                log.where((F.col(order) > prev) & (F.col(order) <= upto_batch)))
-    latest = _latest_per_key(base, key, order)
-    latest.write.mode("overwrite").parquet(f"{_snapshot_dir(path)}/upto={upto_batch}")
+    rows = _upto(spark, path, upto_batch)
+    if rows is None:
+        raise RuntimeError(f"nothing to compact under {path}: neither a snapshot nor a batch up to {upto_batch}")
+    target = _snapshot_dir(path)
+    _latest_per_key(rows, key, order).write.mode("overwrite").parquet(f"{target}/upto={upto_batch}")
+    before = [n for n in _numbered(spark, target, "upto=") if n < upto_batch]
+    if before and not keep_log:
+        expire(spark, path, before[-1])
+    if before:
+        for n in before[:-1]:
+            delete_path(spark, f"{target}/upto={n}")
 
 
 def upsert(df: DataFrame, path: str, batch_id: int) -> None:

@@ -2,7 +2,7 @@
 
 from logtide.plans.catalog import QUERIES
 from logtide.session import new_work_dir
-from logtide.streaming.sinks import write_by_type
+from logtide.streaming.sinks import read_by_type, write_by_type
 
 
 def plan(df):
@@ -22,13 +22,15 @@ def test_report_scan_reads_only_needed_columns_and_combines_map_side(spark, sf00
     assert p.count("HashAggregate") >= 2  # partial + final
 
 
-def test_store_by_type_read_prunes_partitions(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "type string, v int")
+def test_store_by_type_read_prunes_partitions_and_keeps_types(spark):
+    rows = [("a", 1), ("01", 2), ("a", 3), ("1", 4), ("", 5), (None, 6)]
     path = new_work_dir(spark, "test-store")
-    write_by_type(df, path)
-    read = spark.read.parquet(path).where("type = 'a'")
-    assert "PartitionFilters: [isnotnull(type" in plan(read)
-    assert sorted(r.v for r in read.collect()) == [1, 3]
+    write_by_type(spark.createDataFrame(rows, "type string, v int"), path)
+    read = read_by_type(spark, path, "a")
+    assert "PartitionFilters: [isnotnull(type_folder" in plan(read)
+    for t in {t for t, _ in rows}:
+        got = sorted((r.type, r.v) for r in read_by_type(spark, path, t).collect())
+        assert got == sorted((x, v) for x, v in rows if x == t)
 
 
 def test_lateness_rows_meet_schedule_in_broadcast_join(spark, sf001):
@@ -37,6 +39,7 @@ def test_lateness_rows_meet_schedule_in_broadcast_join(spark, sf001):
     assert "BroadcastHashJoin [window_end_ms" in p
 
 
-def test_version_join_is_one_broadcast_pass(spark, sf001):
+def test_version_join_has_no_range_condition_and_no_window(spark, sf001):
     p = plan(QUERIES["area_as_of_version"](spark, sf001))
-    assert "BroadcastHashJoin [country_code" in p and "_until" in p
+    assert "BroadcastHashJoin [batch_id" in p and "BroadcastHashJoin [_version" in p
+    assert "Window" not in p and "NestedLoop" not in p and "Cartesian" not in p

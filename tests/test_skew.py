@@ -38,7 +38,7 @@ def test_hot_country_clean_keeps_every_item(spark):
              % ("US" if i % 3 == 0 else "TW")) for i in range(n)]
     msgs = spark.createDataFrame(vals, "key string, value string").repartition(8)
     mapping = area_ops.invert_mapping(spark.createDataFrame(
-        [("AREA_US", "US"), ("AREA_CT", "TW,HK")], "area string, countries string"))
+        [("AREA_NORTH", "US"), ("AREA_EAST", "TW,MN")], "area string, countries string"))
     out = clean_ops.clean_records(msgs, mapping)
     counts = {r.area: r["count"] for r in out.groupBy("area").count().collect()}
-    assert counts == {"AREA_US": 2 * (n // 3), "AREA_CT": 2 * (n - n // 3)}
+    assert counts == {"AREA_NORTH": 2 * (n // 3), "AREA_EAST": 2 * (n - n // 3)}

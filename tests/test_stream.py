@@ -2,15 +2,16 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from logtide.operators import audit as audit_ops
 from logtide.operators import lateness
 from logtide.session import new_work_dir
-from logtide.sources.dimension import snapshot_table_provider
+from logtide.sources.dimension import live_table_provider, snapshot_table_provider
 from logtide.streaming import jobs
 from logtide.streaming.replay import replay
-from logtide.streaming.sinks import read_latest
+from logtide.streaming.sinks import batch_ids, compact, expire, read_latest
 from test_lateness import HALF_HOUR, HAND_MADE
 
 
@@ -37,20 +38,21 @@ def test_report_stream_equals_batch_replay(spark):
     assert got == want and len(got) == 3
     late = [r.line for r in spark.read.parquet(f"{out}/late").collect()]
     assert late == [f"{HAND_MADE[5][1]}\tshelf\tA"]
-    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/documents", "doc_id").collect())
+    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/firings", "doc_id").collect())
     assert docs == [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
 
 
 def test_report_batch_replayed_gives_same_files(spark):
     msgs = audit_messages(spark, HAND_MADE)
-    out = new_work_dir(spark, "test-idempotent")
-    for b in range(5):
-        jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR)
-    first = sorted(tuple(r) for r in spark.read.parquet(f"{out}/firings").collect())
+
+    def run(batches):
+        out = new_work_dir(spark, "test-idempotent")
+        for b in batches:
+            jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR)
+        return sorted(tuple(r) for r in spark.read.parquet(f"{out}/firings").collect())
+
     # a failure after batch 2 makes the engine run batch 2 again, then go on
-    jobs.report_batch(spark, msgs.where(F.col("batch_id") == 2).drop("batch_id"), 2, out, HALF_HOUR)
-    again = sorted(tuple(r) for r in spark.read.parquet(f"{out}/firings").collect())
-    assert first == again
+    assert run([0, 1, 2, 2, 3, 4]) == run(range(5))
 
 
 def test_clean_stream_rereads_dimension_each_batch(spark):
@@ -70,6 +72,7 @@ def test_clean_stream_rereads_dimension_each_batch(spark):
     assert q == [("3", "malformed")]
     m = {r.batch_id: (r.items, r.unmapped_items) for r in spark.read.parquet(f"{out}/metrics").collect()}
     assert m == {0: (2, 0), 1: (2, 0), 2: (2, 0)}
+    assert {r.batch_id: r.quarantined for r in spark.read.parquet(f"{out}/metrics").collect()} == {0: 0, 1: 0, 2: 1}
 
 
 def test_empty_micro_batch_keeps_state(spark):
@@ -102,9 +105,12 @@ def test_builtin_watermark_path_emits_closed_windows_once(spark):
              .trigger(availableNow=True).start())
         q.awaitTermination()
     got = spark.read.parquet(f"{work}/out").select("window.start", "count").collect()
-    # Emitted once each, no refinement; the first window's count depends on the
-    # engine's one-batch lag, so only the shape is asserted here.
-    assert len(got) == len({r.start for r in got}) >= 1
+    # Every window comes once, never refined, with no more rows than it has in all.
+    whole = rows.groupBy(F.window(F.timestamp_millis("time_ms"), f"{HALF_HOUR} milliseconds").start.alias("start")).count().collect()
+    whole = {r.start: r["count"] for r in whole}
+    assert got and len(got) == len({r.start for r in got})
+    assert all(0 < r["count"] <= whole[r.start] for r in got)
+    assert min(whole) in {r.start for r in got}
 
 
 def test_report_stream_metrics(spark):
@@ -139,7 +145,98 @@ def test_report_job_compacts_documents(spark):
     for b in range(5):
         jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR,
                           compact_every=2)
-    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/documents", "doc_id").collect())
+    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/firings", "doc_id").collect())
     assert docs == [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
-    snaps = sorted({r.upto for r in spark.read.parquet(f"{out}/documents_snapshot").collect()})
+    snaps = sorted({r.upto for r in spark.read.parquet(f"{out}/firings_snapshot").collect()})
     assert snaps == [1, 3]
+    assert batch_ids(spark, f"{out}/firings") == [0, 1, 2, 3, 4]
+
+
+def test_expired_log_is_read_and_compacted_from_the_snapshot(spark):
+    msgs = audit_messages(spark, HAND_MADE)
+    out = new_work_dir(spark, "test-expired")
+    for b in range(5):
+        jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR,
+                          compact_every=2, keep_firings=False)
+    assert batch_ids(spark, f"{out}/firings") == [2, 3, 4]
+    want = [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
+    docs = lambda: sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/firings", "doc_id").collect())
+    assert docs() == want
+    expire(spark, f"{out}/firings", 3)
+    assert docs() == want
+    compact(spark, f"{out}/firings", "doc_id", 4)
+    assert docs() == want
+    expire(spark, f"{out}/firings", 4)
+    assert docs() == want
+    assert read_latest(spark, f"{out}/nowhere", "doc_id") is None
+    with pytest.raises(RuntimeError, match="nothing to compact"):
+        compact(spark, f"{out}/nowhere", "doc_id", 4)
+
+
+def test_missing_state_is_an_error(spark):
+    msgs = audit_messages(spark, HAND_MADE)
+    out = new_work_dir(spark, "test-missing-state")
+    jobs.report_batch(spark, msgs.where("batch_id = 0").drop("batch_id"), 0, out, HALF_HOUR)
+    expire(spark, f"{out}/state", 0)
+    with pytest.raises(RuntimeError, match="state of batch 0"):
+        jobs.report_batch(spark, msgs.where("batch_id = 1").drop("batch_id"), 1, out, HALF_HOUR)
+
+
+def test_live_mapping_keeps_the_last_one_that_was_not_empty(spark):
+    work = new_work_dir(spark, "test-live")
+
+    def publish(rows):
+        spark.createDataFrame(rows, "area string, countries string").write.mode("overwrite").parquet(f"{work}/live")
+
+    def provide(batch):  # a new provider each time, as after a restart
+        return sorted(tuple(r) for r in live_table_provider(f"{work}/live", f"{work}/state")(spark, batch).select(
+            "country_code", "area").collect())
+
+    publish([])
+    assert provide(0) == []
+    publish([("A", "US,TW")])
+    assert provide(7) == [("TW", "A"), ("US", "A")]
+    publish([])
+    assert provide(8) == [("TW", "A"), ("US", "A")]
+    publish([("B", "US")])
+    assert provide(8) == [("TW", "A"), ("US", "A")]  # run again: as before
+    assert provide(9) == [("US", "B")]
+
+
+def test_replay_refuses_gaps(spark):
+    msgs = spark.createDataFrame([("0", "x", 0), ("1", "y", 2)], "key string, value string, batch_id long")
+    with pytest.raises(ValueError, match="gap"):
+        replay(spark, msgs, new_work_dir(spark, "test-gap"), lambda *a: None)
+
+
+def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
+    from logtide import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "local-cluster[2,1,1024]"}.get(key, default)
+
+    class Fake:
+        conf = Conf()
+
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake())
+
+
+def test_repeated_queries_leave_no_growing_set_of_folders(spark, sf001):
+    import os
+
+    from logtide.plans.catalog import QUERIES
+    from logtide.session import KEEP_RUNS, shared_dir
+
+    count = lambda: len(os.listdir(shared_dir(spark)))
+    sizes = []
+    for _ in range(KEEP_RUNS + 2):
+        QUERIES["late_rows"](spark, sf001)
+        sizes.append(count())
+    assert sizes[-1] == sizes[-2]
