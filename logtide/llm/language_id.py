@@ -75,11 +75,11 @@ def _subwords(text: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Subword counts of whole texts: at most one entry per bucket."""
+    """Subwords of whole texts and their shares, packed: at most one entry per bucket."""
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         data = _folded(data) if len(data) else data
-        ids, counts = [], []
+        packed, counts = [], []
         for a, b in zip(offsets[:-1], offsets[1:], strict=True):
             total = np.zeros(1 << BITS, np.int64)
             for s in range(a, b, SPAN):
@@ -89,11 +89,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     total += np.bincount(h[:SPAN], minlength=1 << BITS)
             total[0] = 0
             at = np.flatnonzero(total)
-            ids.append(at.astype(np.int32))
-            counts.append(total[at].astype(np.float32))
+            packed.append(at.astype(np.int32).tobytes())
+            counts.append((total[at] / max(1, total.sum())).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("lang"), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
-            ["id", "lang", "subwords", "counts"])
+            [batch.column("id"), batch.column("lang"), pa.array(packed, pa.binary()), pa.array(counts, pa.binary())],
+            ["id", "lang", "subwords", "shares"])
 
 
 def labelled_sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> list:
@@ -106,7 +106,7 @@ def labelled_sample(labelled: DataFrame, per_language: int, id_col: str, text_co
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, per_language / n))])
     draw = F.pmod(F.xxhash64(F.col("id"), F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = rows.where(draw < F.element_at(share, F.col("lang")))
-    got = picked.mapInArrow(_features, "id long, lang string, subwords array<int>, counts array<float>").collect()
+    got = picked.mapInArrow(_features, "id long, lang string, subwords binary, shares binary").collect()
     key = lambda r: ((r["id"] or 0) * 2654435761 % (1 << 32), r["id"] or 0, r["lang"], len(r["subwords"]))
     return sorted((r for r in got if r["subwords"]), key=key)
 
@@ -116,7 +116,7 @@ def train(sample: list, alpha: float = ALPHA) -> Model:
     languages = sorted({r["lang"] for r in sample})
     index = {x: i for i, x in enumerate(languages)}
     c = len(languages)
-    rows = [(np.asarray(r["subwords"]), np.asarray(r["counts"], np.float64) / sum(r["counts"]), index[r["lang"]]) for r in sample]
+    rows = [(np.frombuffer(r["subwords"], np.int32), np.frombuffer(r["shares"], np.float32), index[r["lang"]]) for r in sample]
     fit, held = [r for i, r in enumerate(rows) if i % 5], rows[::5]
     rng = np.random.default_rng(7)
     emb = rng.normal(0, 0.1, (1 << BITS, DIM))
