@@ -67,7 +67,7 @@ def item_double(item: Column, key: str) -> Column:
 def set_item_keys(item: Column, area: Column, dt: Column) -> Column:
     """Put area and dt on the item, overwriting keys of the same name; other keys stay.
 
-    Null values are left out, as the reference serialiser does.
+    Null values are left out at the item's own level; inside nested values they stay.
     """
     keep = F.map_filter(
         item,

@@ -13,8 +13,8 @@ from logtide.session import checkpointed
 def invert_mapping(mapping: DataFrame, *, by: list[str] | None = None) -> DataFrame:
     """(area, countries "PK,SA,KW") -> (country_code, area), one row per country.
 
-    A country listed under two areas takes the greatest area name (the
-    reference leaves this to hash order). ``by`` keeps extra grouping columns,
+    A country listed under two areas takes the greatest area name (any fixed
+    choice would do). ``by`` keeps extra grouping columns,
     e.g. a snapshot version.
     """
     by = by or []

@@ -170,7 +170,7 @@ def firing_documents(fired: DataFrame) -> DataFrame:
     """Keyed upsert of firings into documents: the last write per id wins.
 
     The id holds the latest event time, so a refinement that raises it makes
-    a new document and leaves the old one, as the reference does.
+    a new document and leaves the old one.
     """
     docs = fired.withColumn("doc_id", doc_id(F.col("time"), F.col("type"), F.col("area")))
     return docs.groupBy("doc_id", "time", "type", "area").agg(
