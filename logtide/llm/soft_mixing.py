@@ -65,7 +65,8 @@ def domain_posteriors_model(docs: DataFrame, labelled: DataFrame, id_col: str, t
     share = F.create_map(*[F.lit(x) for d in domains for x in (d, min(1.0, per_domain / totals[d]))])
     draw = F.pmod(F.xxhash64("id", F.lit("domain sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = label.where(draw < F.element_at(share, F.col("domain")))
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(picked, "id")
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    rows = rows.join(F.broadcast(picked), "id")  # about per_domain rows of each domain
     words, bones = features(F.col("text"))
     rows = rows.select("domain", words.alias("words"), bones.alias("bones"))
     tagged = F.array_distinct(F.concat("words", F.transform("bones", lambda b: F.concat(F.lit(_SKELETON), b)), F.array(shape("words"))))
