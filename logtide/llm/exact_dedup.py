@@ -80,7 +80,7 @@ def build_directory(keys: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def _bucket_of(keys: DataFrame, directory: DataFrame) -> DataFrame:
     """Bucket (depth, prefix) of every row: one equi-join on the prefixes at the depths in use."""
-    depths = sorted(r[0] for r in directory.select("depth").distinct().collect())  # at most 64 values
+    depths = sorted(r[0] for r in directory.select("depth").distinct().collect()) or [0]  # at most 65 values
     tries = keys.withColumn("try", F.explode(F.array(*[
         F.struct(F.lit(d).alias("depth"), _prefix("key", d).alias("prefix")) for d in depths])))
     tries = tries.select("*", F.col("try.depth").alias("depth"), F.col("try.prefix").alias("prefix")).drop("try")
