@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ from logtide.llm.common import stored, text_of, with_python
 #: Text in a block of documents, and codes in a task of the model (both set how many there are).
 BLOCK_BYTES, TASK_CODES = 20 << 20, 400_000
 #: Bytes of text whose codes are held at once; places in it fit into 24 bits.
-SPAN = 1 << 22
+SPAN = 1 << 20
 ORDERS, END = 5, 255
 #: Key of the end of a text among the words; words have negative keys, codes are not negative.
 END_KEY = -(1 << 63)
@@ -54,12 +55,27 @@ GATES = 8 * (len(OFTEN_LONG) + 1) * (len(OFTEN_SHORT) + 1)
 
 # ------------------------------------------------------------------- bytes of a batch
 
+def _slices(rows: pa.RecordBatch | pa.Table) -> Iterator[pa.RecordBatch | pa.Table]:
+    """Runs of rows with up to four spans of text, or single rows with more."""
+    at, held = 0, 0
+    sizes = pc.fill_null(pc.binary_length(rows.column("text")), 0).to_pylist()
+    for i, size in enumerate(sizes):
+        if i > at and held + size > 4 * SPAN:
+            yield rows.slice(at, i - at)
+            at, held = i, 0
+        held += size
+    if at < len(sizes):
+        yield rows.slice(at)
+
+
 def _framed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, starts): four end bytes before each text and one after it, texts one after another."""
     n = len(offsets) - 1
     out = np.full(len(data) + 5 * n, END, np.uint8)
-    out[np.arange(len(data)) + 4 + 5 * np.repeat(np.arange(n), np.diff(offsets))] = data
-    return out, offsets + 5 * np.arange(n + 1)
+    starts = offsets + 5 * np.arange(n + 1)
+    for at, a, b in zip(starts[:-1].tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        out[at + 4:at + 4 + b - a] = data[a:b]
+    return out, starts
 
 
 def _codes(framed: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -111,25 +127,25 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield close()
                 keys, counts, held = [], [], 0
             now = int(block[a])
-            rows = whole.slice(a, b - a)
-            train = rows.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
-            data, offsets = text_bytes(rows.column("text"))
-            framed, starts = _framed(data, offsets)
-            for code, place in _codes(framed, starts):
-                at = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
-                if len(at):
-                    own = train[np.searchsorted(starts, place, "right") - 1]
-                    keys.append(code[at])
-                    counts.append(np.add.reduceat(own, at))
-            words, first = _word_keys(data, offsets)
-            own = np.repeat(train, np.diff(first))
-            k, c = _summed([words, np.full(1, END_KEY)], [own, np.full(1, train.sum())])
-            keys.append(k)
-            counts.append(c)
-            held += len(data)
-            if len(keys) > 64:
-                k, c = _summed(keys, counts)
-                keys, counts = [k], [c]
+            for rows in _slices(whole.slice(a, b - a)):
+                train = rows.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
+                data, offsets = text_bytes(rows.column("text"))
+                framed, starts = _framed(data, offsets)
+                for code, place in _codes(framed, starts):
+                    at = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+                    if len(at):
+                        own = train[np.searchsorted(starts, place, "right") - 1]
+                        keys.append(code[at])
+                        counts.append(np.add.reduceat(own, at))
+                words, first = _word_keys(data, offsets)
+                own = np.repeat(train, np.diff(first))
+                k, c = _summed([words, np.full(1, END_KEY)], [own, np.full(1, train.sum())])
+                keys.append(k)
+                counts.append(c)
+                held += len(data)
+                if len(keys) > 32:
+                    k, c = _summed(keys, counts)
+                    keys, counts = [k], [c]
     if keys:
         yield close()
 
@@ -329,8 +345,7 @@ def _total(all_train: int, distinct: int):
         order = np.argsort(keys, kind="stable")
         keys, values = keys[order], values[order]
         out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
-        for at in range(0, docs.num_rows, 1024):
-            rows = docs.slice(at, 1024)
+        for rows in _slices(docs):
             data, offsets = text_bytes(rows.column("text"))
             n = len(offsets) - 1
             framed, starts = _framed(data, offsets)
