@@ -6,7 +6,8 @@ language off the average. Embeddings and softmax are trained together by stochas
 gradient descent in numpy on a bounded sample of labelled rows: about
 ``per_language`` rows of each language, chosen by a hash. Four fifths of the sample
 train; the rest sets the softmax temperature and the rejection level, the
-confidence below which a share ``alpha`` of rightly predicted texts falls.
+confidence below which a share ``alpha`` of rightly predicted texts falls at most (split
+conformal, so a calibration set under 1 / ``alpha`` texts rejects nothing but texts without a letter).
 
 Prediction is one pass over the table without a shuffle. As average and softmax are both
 linear up to the logits, the model ships as one (bucket x language) table.
@@ -156,8 +157,11 @@ def train(sample: list, alpha: float = ALPHA) -> Model:
         best = float(min(np.geomspace(0.25, 8, 41), key=loss))
         p = confidence(best)
         right = p.argmax(1) == truth
-        if right.any():
-            level = float(np.quantile(p.max(1)[right], alpha))
+        # Split conformal: the k-th smallest confidence of n right predictions rejects a share of alpha at
+        # most; too few of them to support any level reject nothing.
+        sure = np.sort(p.max(1)[right])
+        k = int(alpha * (len(sure) + 1))
+        level = float(sure[k - 1]) if k else 0.0
     return Model(languages, table.astype(np.float32), bias, best, level)
 
 
