@@ -70,8 +70,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], i
     share = F.create_map(*[F.lit(x) for k, n in sorted(totals.items()) for x in (k, min(1.0, per_combination / n))])
     draw = F.pmod(F.xxhash64("id", F.lit("toxicity sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = y.where(draw < F.element_at(share, F.col("y")))
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(picked, "id").select(
-        F.col("id").cast("long").alias("id"), "y", "text")
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    # The sample holds about per_combination rows for each of at most 2**categories combinations.
+    rows = rows.join(F.broadcast(picked), "id").select(F.col("id").cast("long").alias("id"), "y", "text")
     got = rows.mapInArrow(_presence, "id long, y string, words binary").collect()
     return sorted(got, key=lambda r: ((r["id"] or 0) * 2654435761 % (1 << 32), r["id"] or 0, bytes(r["words"])))
 
