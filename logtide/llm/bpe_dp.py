@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtide.llm.bpe_pieces import Cutter
+from logtide.llm.bpe_pieces import Cutter, packed
 from logtide.llm.common import with_python
 
 #: Bounds of a worker's dictionaries; a full one starts anew.
-MOST_PAIRS, MOST_WORDS = 300_000, 200_000
+MOST_PAIRS, MOST_WORDS = 300_000, 50_000
+#: Letters up to here are letters in every version of Unicode.
+_LAST_LATIN = "\u024f"
 BLOCK_ROWS = 256
 
 
@@ -66,13 +68,15 @@ class PrefixBpe:
                 sound.add(t)
             if t in sound:
                 self.whole[text] = t
+        # Single bytes always match, so the automaton leaves them out.
         self.matches = ahocorasick.Automaton()
         for text, t in self.whole.items():
-            self.matches.add_word(text, (t, len(text)))
+            if len(text) > 1:
+                self.matches.add_word(text, (t, len(text)))
         self.matches.make_automaton()
-        self.bytes = {t: bytes(chars[c] for c in text) if all(c in chars for c in text) else text.encode() for text, t in vocab.items()}
-        self.bytes |= {t: text.encode() for text, t in self.special.items()}
         self.words: dict[str, list[int]] = {}
+        self.characters = byte_characters()
+        self.space = self.characters[32]
 
     def _stand(self, a: int, b: int, limit: int) -> bool:
         """Whether tokens ``a`` and ``b`` are still unmerged neighbours when the merge of rank ``limit`` comes.
@@ -105,13 +109,23 @@ class PrefixBpe:
         """Ids of one pre-token, given in byte characters."""
         if word in self.whole:
             return [self.whole[word]]
-        n = len(word)
-        last, before = [-1] * (n + 1), [0] * (n + 1)
+        n, single = len(word), self.whole
+        last, before, done = [-1] * (n + 1), [0] * (n + 1), 0
         for end, (t, size) in self.matches.iter(word):  # ends ascend, longest first
-            if last[end + 1] < 0:
-                i = end + 1 - size
-                if not i or self.compatible(last[i], t):
-                    last[end + 1], before[end + 1] = t, i
+            end += 1
+            if last[end] >= 0:
+                continue
+            while done < end - 1:  # prefixes that no longer token ends: their last byte does
+                done += 1
+                if last[done] < 0:
+                    last[done], before[done] = single[word[done - 1]], done - 1
+            i = end - size
+            if not i or self.compatible(last[i], t):
+                last[end], before[end] = t, i
+        while done < n:
+            done += 1
+            if last[done] < 0:
+                last[done], before[done] = single[word[done - 1]], done - 1
         out, at = [], n
         while at:
             out.append(last[at])
@@ -119,7 +133,16 @@ class PrefixBpe:
         return out[::-1]
 
     def encode_piece(self, pre_tokenize, text: str) -> bytes:
-        """Ids of a piece of text, as little-endian 32-bit numbers."""
+        """Packed ids of a piece of text."""
+        core, end = (text[:-1], text[-1]) if text[-1:] in (".", ",") else (text, "")
+        bare = core[1:] if core[:1] == " " else core
+        if bare.isalpha() and (bare.isascii() or max(bare) <= _LAST_LATIN):
+            # Latin letters after at most one space are one pre-token, a full stop or comma another.
+            if bare.isascii():
+                found = self.encode_word(self.space + bare if len(bare) < len(core) else bare)
+            else:
+                found = self.encode_word("".join([self.characters[b] for b in core.encode()]))
+            return packed(found + self.encode_word(end) if end else found)
         ids: list[int] = []
         for word, _ in pre_tokenize(text):
             got = self.words.get(word)
@@ -130,10 +153,23 @@ class PrefixBpe:
                         self.words.clear()
                     self.words[word] = got
             ids += got
-        return np.array(ids, "<u4").tobytes()
+        return packed(ids)
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of every id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    chars = {c: b for b, c in enumerate(byte_characters())}
+    of = {t: bytes(chars[c] for c in text) if all(c in chars for c in text) else text.encode()
+          for text, t in spec["model"]["vocab"].items()}
+    of |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+    return [of.get(i, b"") for i in range(max(of) + 1)]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+
+@lru_cache(maxsize=2)
+def _decoder(path: str) -> list[bytes]:
+    return token_bytes(path)
 
 
 @lru_cache(maxsize=2)
@@ -143,7 +179,7 @@ def _coder(path: str) -> tuple[PrefixBpe, Cutter]:
 
     bpe = PrefixBpe(path)
     cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-    return bpe, Cutter(lambda text: bpe.encode_piece(cut, text), {x: np.array([t], "<u4").tobytes() for x, t in bpe.special.items()})
+    return bpe, Cutter(lambda piece: bpe.encode_piece(cut, piece), {x: packed([t]) for x, t in bpe.special.items()})
 
 
 def id_lists(parts: list[bytes]) -> pa.ListArray:
@@ -158,7 +194,7 @@ def _encode(path: str, text_col: str):
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
-                ids = id_lists([b"".join(cutter.parts(x or "")) for x in batch.column(text_col).to_pylist()])
+                ids = id_lists(cutter.encode([x or "" for x in batch.column(text_col).to_pylist()]))
                 keep = [c for c in batch.schema.names if c != text_col]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
 
@@ -167,11 +203,11 @@ def _encode(path: str, text_col: str):
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, _ = _coder(path)
+        of = _decoder(path)
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
-                texts = [bpe.decode(x or []).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
+                texts = [b"".join(map(of.__getitem__, x or ())).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return run

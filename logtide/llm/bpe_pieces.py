@@ -3,64 +3,81 @@
 Byte-level BPE merges inside pre-tokens only. Where every run of white space is one
 space or one line break between other characters, a pre-token starts at each space and a
 line break is one of its own, so a text is its lines, and a line its first word and its further
-words with the space in front. These pieces repeat, so their ids are looked up in
-a dictionary; texts with other white space are one piece per line run and encoded whole.
+words with the space in front. These pieces repeat, so their ids are looked up in a
+dictionary. A text with other white space is one piece.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Callable
 
-#: White space other than lone spaces and line breaks (a superset of Unicode's).
-_ODD = re.compile(r"[^\S \n]|\s\s")
-#: Most pieces a dictionary holds before it starts anew.
-MOST = 400_000
+# White space in any other form than lone spaces and line breaks (a superset of Unicode's).
+_ODD_ASCII = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+_ODD_WIDE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: Pieces of a generation, and characters up to which a piece is kept.
+MOST, LONGEST = 250_000, 64
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit numbers in the machine's byte order (little-endian on all platforms of the libraries used)."""
+    return array("I", ids).tobytes()
+
+
+def odd(text: str) -> bool:
+    return any(x in text for x in _ODD_ASCII) or not text.isascii() and any(x in text for x in _ODD_WIDE)
 
 
 class Pieces(dict):
-    """piece -> what ``encode(piece)`` returns; emptied when it holds ``MOST`` pieces."""
+    """piece -> packed ids, for the pieces of the last one to two generations.
 
-    def __init__(self, encode, prefix: str = ""):
+    A generation ends when it holds ``MOST`` pieces. The one before stays at hand and its pieces
+    move on when they come up again, so frequent pieces are encoded once and memory stays bounded.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], prefix: str = ""):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.encode, self.prefix, self.older = encode, prefix, {}
 
-    def __missing__(self, piece: str):
-        if len(self) >= MOST:
-            self.clear()
-        got = self.encode(self.prefix + piece)
-        if len(piece) <= 64:
+    def __missing__(self, piece: str) -> bytes:
+        got = self.older.get(piece)
+        if got is None:
+            got = self.encode(self.prefix + piece) if piece or self.prefix else b""
+        if len(piece) <= LONGEST:
+            if len(self) >= MOST:
+                self.older = dict(self)
+                self.clear()
             self[piece] = got
         return got
 
 
 class Cutter:
-    """Looks up a text's pieces: ``encode`` maps a string to bytes that may be joined."""
+    """Encodes texts; ``encode`` maps a piece to packed ids, ``special`` holds strings with fixed ones."""
 
-    def __init__(self, encode, special: dict[str, bytes]):
-        self.encode, self.special = encode, special
+    def __init__(self, encode: Callable[[str], bytes], special: dict[str, bytes]):
+        self.piece, self.special = encode, special
         self.first, self.next = Pieces(encode), Pieces(encode, " ")
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
-    def parts(self, text: str) -> list[bytes]:
-        if self.marks and self.marks.search(text):
-            out = []
-            for i, x in enumerate(self.marks.split(text)):
-                out += [self.special[x]] if i % 2 else self.plain(x)
-            return out
-        return self.plain(text)
-
-    def plain(self, text: str) -> list[bytes]:
-        if not text:
-            return []
-        if _ODD.search(text):
-            return [self.encode(text)]
-        out, first, rest = [], self.first, self.next
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
+        return [self._one(x) for x in texts]
+
+    def _one(self, text: str) -> bytes:
+        if self.marks and any(x in text for x in self.special):
+            return b"".join([self.special[x] if i % 2 else self._plain(x) for i, x in enumerate(self.marks.split(text))])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        if odd(text):
+            return self.piece(text)
+        out, first, later = [], self.first, self.next.__getitem__
         for i, line in enumerate(text.split("\n")):
             if i:
                 out.append(first["\n"])
             words = line.split(" ")
-            if words[0]:
-                out.append(first[words[0]])
+            out.append(first[words[0]])
             if len(words) > 1:
-                out += map(rest.__getitem__, words[1:])
-        return out
+                out += map(later, words[1:])
+        return b"".join(out)

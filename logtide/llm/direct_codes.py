@@ -19,6 +19,7 @@ with the part, and within it with the segment.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,12 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.bpe_pieces import Cutter
+from logtide.llm.bpe_pieces import Cutter, packed
 from logtide.llm.common import stored, text_of, with_python
 
 MAGIC, BLOCK = b"DACS", 512
 #: A segment closes when it holds this many ids; a document is never cut.
 SEGMENT_IDS = 1 << 19
+BLOCK_ROWS = 256
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -108,16 +110,18 @@ class Segment:
 
 @lru_cache(maxsize=2)
 def _cutter(path: str) -> Cutter:
+    # Spark has one Python worker for each core; the library's own threads would only add to them.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return Cutter(lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), {})
+    return Cutter(lambda piece: packed(tokenizer.encode(piece, add_special_tokens=False).ids), {})
 
 
 def _write(path: str, end_id: int, segment_ids: int):
-    end = np.array([end_id], "<u4").tobytes()
+    end = packed([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, part = _cutter(path), TaskContext.get().partitionId()
@@ -131,14 +135,15 @@ def _write(path: str, end_id: int, segment_ids: int):
                 "before": pa.array([before], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
         for batch in batches:
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
-                ids = b"".join(cutter.parts(text.as_py())) + end
-                docs.append(doc)
-                parts.append(ids)
-                held += len(ids) // 4
-                if held >= segment_ids:
-                    yield close()
-                    docs, parts, number, before, held = [], [], number + 1, before + held, 0
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                rows = batch.slice(at, BLOCK_ROWS)
+                for doc, ids in zip(rows.column("id").to_pylist(), cutter.encode(rows.column("text").to_pylist()), strict=True):
+                    docs.append(doc)
+                    parts.append(ids + end)
+                    held += len(ids) // 4 + 1
+                    if held >= segment_ids:
+                        yield close()
+                        docs, parts, number, before, held = [], [], number + 1, before + held, 0
         if docs:
             yield close()
 
