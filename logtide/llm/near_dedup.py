@@ -17,12 +17,16 @@ time doubles and drawing goes on. All draws are hashes, so equal multisets agree
 
 Links. Texts with equal multisets are one class and go on as one representative. Bands
 of ``r`` registers put representatives into buckets. No bucket is expanded into all its
-pairs: its smallest id is the pivot and every member is compared with it exactly. Where
-a member is not linked to the pivot, others of the bucket may still be linked to it. 1 -
-likeness is a metric, so only members whose distance to the pivot differs by 0.2 or less can
-be; members are put into rings of that width by their distance, and a member beyond the first
-ring is paired with its own and the next smaller ring only. Pairs that signatures put
-under ``estimate_floor`` are not compared (the estimate's standard error is 0.035 at 0.8).
+pairs. What a text can share is bounded by its weight without the shingles that no other
+candidate has; members that fall short of the bucket's lightest member drop out. The member
+with the least weight of its own is the pivot, and every member is compared with it exactly.
+Two further members may be linked although the pivot links neither; they are compared if
+
+* the pivots' links leave them in different groups (else a link would change nothing),
+* their distances to the pivot differ by 0.2 or less, as 1 - likeness is a metric; members are
+  dealt into rings of that width, and only neighbouring rings meet,
+* the weight they share with the pivot, and what they can share beside it, is enough, and
+* signatures put them at ``estimate_floor`` or more (the standard error is 0.035 at 0.8).
 
 Groups come from alternating large-star and small-star steps, whose tables live in the
 shared folder; nothing is collected to the driver but row counts.
@@ -117,11 +121,12 @@ def _signatures(bands: int, rows: int, width: int):
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
                 words, first = word_hashes(*text_bytes(batch.column("text")))
-                same, buckets, minis = [], [], []
+                same, sizes, buckets, minis = [], [], [], []
                 for a, b in zip(first[:-1], first[1:], strict=True):
                     e, n = multiset(words[a:b], width)
                     w = n.astype(np.uint64)
                     same.append(f"{int((mix(e) * w).sum(dtype=np.uint64)):016x}{int((mix(e ^ _GOLD) * w).sum(dtype=np.uint64)):016x}{int(n.sum()):x}")
+                    sizes.append(int(n.sum()))
                     if not len(e):
                         buckets.append([])
                         minis.append(b"")
@@ -133,8 +138,8 @@ def _signatures(bands: int, rows: int, width: int):
                     buckets.append(key.astype(np.int64))
                     minis.append((sig >> np.uint64(48)).astype("<u2").tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("th"), pa.array(same, pa.string()), pa.array(buckets, pa.list_(pa.int64())),
-                     pa.array(minis, pa.binary())], ["id", "th", "same", "buckets", "mini"])
+                    [batch.column("id"), batch.column("th"), pa.array(same, pa.string()), pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())),
+                     pa.array(minis, pa.binary())], ["id", "th", "same", "n", "buckets", "mini"])
 
     return run
 
@@ -175,6 +180,32 @@ def likeness(pairs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFram
     return rows.mapInArrow(_compare(width), "a long, b long, likeness double")
 
 
+def _rare(width: int):
+    """Shingles of texts (id, text): (shingle, texts that have it in this batch, a text, its count there)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(at, BLOCK_ROWS)
+                words, first = word_hashes(*text_bytes(batch.column("text")))
+                bags = [multiset(words[a:b], width) for a, b in zip(first[:-1], first[1:], strict=True)]
+                e = np.concatenate([x for x, _ in bags]) if bags else np.zeros(0, np.uint64)
+                n = np.concatenate([x for _, x in bags]) if bags else np.zeros(0, np.int64)
+                owner = np.repeat(batch.column("id").to_numpy(), [len(x) for x, _ in bags])
+                keys, where, texts = np.unique(e, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(texts), pa.array(owner[where]), pa.array(n[where])],
+                                                 ["shingle", "texts", "id", "n"])
+
+    return run
+
+
+def own_weight(texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(id, own): the weight of shingles that no other text of the table (id, text) has."""
+    seen = texts.select("id", "text").mapInArrow(_rare(width), "shingle long, texts long, id long, n long")
+    alone = seen.groupBy("shingle").agg(F.sum("texts").alias("texts"), F.min("id").alias("id"), F.min("n").alias("n")).where("texts = 1")
+    return alone.groupBy("id").agg(F.sum("n").alias("own"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id in the links (a, b): the smallest id that links connect it to.
 
@@ -214,13 +245,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                estimate_floor: float = ESTIMATE_FLOOR) -> DataFrame:
     """One row per input row: id, class_id (smallest id of its group), group_size, n_links, kept.
 
-    ``n_links``: links to texts with another multiset that were found for the row's class.
+    ``n_links``: links to texts with another multiset that hold the row's class in its group.
     ``kept``: the row with its group's smallest id, one row of them where ids repeat.
 
     Defined cases: a null text counts as empty; texts without a word are one group; a text of
     fewer than five words is one shingle of all its words; texts are read whole; rows that
     repeat an id with other text are told apart by their text's multiset; null ids are
-    one id before all others; an empty table gives no rows; further columns are not looked at.
+    one id after all others; an empty table gives no rows; further columns are not looked at.
     """
     with_python(docs.sparkSession)
     m = bands * rows
@@ -228,32 +259,50 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows_in = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn(
         "th", F.xxhash64("text"))
     signed = stored(rows_in.mapInArrow(_signatures(bands, rows, width),
-                                       "id long, th long, same string, buckets array<long>, mini binary"), "signatures")
-    classes = stored(signed.groupBy("same").agg(F.min(F.struct("id", "th")).alias("head"), F.count(F.lit(1)).alias("copies"))
-                     .select("same", F.xxhash64("same").alias("rep"), "head.id", "head.th", "copies"), "classes")
+                                       "id long, th long, same string, n long, buckets array<long>, mini binary"), "signatures")
+    classes = stored(signed.groupBy("same").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("head"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+                     .select("same", F.xxhash64("same").alias("rep"), "head.id", "head.th", "n", "copies"), "classes")
     one = stored(_of_heads(signed, classes, "buckets", "mini").dropDuplicates(["rep"]), "representatives")
     member = one.select("rep", F.explode("buckets").alias("bucket"))
-    pivots = member.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    member = stored(member.join(pivots.select("bucket", "pivot"), "bucket"), "buckets")
-
-    star = member.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    # Texts of all members of shared buckets: later pairs are among them.
+    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    member = stored(member.join(shared, "bucket"), "buckets")
+    # Texts of all members of shared buckets: every pair is among them.
     seen = classes.join(member.select("rep").distinct(), "rep", "left_semi")
     texts = stored(_of_heads(rows_in, seen, "text").withColumnRenamed("rep", "id").dropDuplicates(["id"]), "texts")
+
+    # ``most``: weight that a text can share with any other. A pair needs ``part`` of both weights.
+    part, slack = threshold / (1.0 + threshold), 1e-6
+    own = own_weight(texts, width).withColumnRenamed("id", "rep")
+    sized = seen.select("rep", "n").join(own, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
+    member = stored(member.join(sized, "rep"), "members")
+    least = member.groupBy("bucket").agg(F.min("n").alias("least"))
+    member = member.join(least, "bucket").where(F.col("most") >= part * (F.col("n") + F.col("least")) - slack).drop("least")
+    # The pivot is the member with the least weight of its own: the likeliest centre of its group.
+    pivots = member.groupBy("bucket").agg(F.min(F.struct((F.col("n") - F.col("most")).alias("own"), "rep", "n")).alias("p"),
+                                          F.count(F.lit(1)).alias("k")).where("k > 1")
+    member = stored(member.join(pivots.select("bucket", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pivot_n")), "bucket")
+                    .where("rep <> pivot"), "stars")
+    star = member.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     first = stored(likeness(star, texts, width), "star")
+    linked = first.where(F.col("likeness") >= threshold).select("a", "b")
 
-    # Members that their pivot doesn't link, with the rings of their bucket that may hold a link.
+    # Members of a bucket that the pivots leave in different groups may still be linked.
+    groups = stored(components(linked), "star-groups").withColumnRenamed("id", "rep")
     reach = 1.0 - threshold
-    far = member.join(first.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), (1 - F.col("likeness")).alias("d")),
-                      ["pivot", "rep"])
-    far = stored(far.select("bucket", "rep", "d", (F.col("d") > reach).alias("loose"),
-                            F.floor(F.col("d") / reach).alias("ring")), "rings")
-    loose = far.where("loose").select("bucket", F.col("rep").alias("y"), F.col("d").alias("dy"), F.col("ring").alias("own"),
-                                      F.explode(F.array(F.col("ring"), F.col("ring") - 1)).alias("ring"))
-    pairs = loose.join(far, ["bucket", "ring"]).where(
-        (F.abs(F.col("dy") - F.col("d")) <= reach + 1e-9)
-        & ((F.col("own") > F.col("ring")) | (F.col("y") > F.col("rep")) | (~F.col("loose") & (F.col("y") != F.col("rep")))))
-    pairs = pairs.select(F.least("y", "rep").alias("a"), F.greatest("y", "rep").alias("b")).distinct()
+    far = member.join(first.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "likeness"), ["pivot", "rep"])
+    far = far.join(groups, "rep", "left").withColumn("group", F.coalesce("root", "rep"))
+    both = F.col("likeness") * (F.col("n") + F.col("pivot_n")) / (1 + F.col("likeness"))  # weight shared with the pivot
+    bands_of = one.select("rep", F.transform("buckets", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias("bands"))
+    far = far.withColumn("both", both).withColumn("rest", F.greatest(F.lit(0.0), F.col("most") - F.col("both")))
+    far = far.withColumn("d", 1 - F.col("likeness")).withColumn("ring", F.floor(F.col("d") / reach)).withColumn("loose", F.col("likeness") < threshold)
+    far = stored(far.join(bands_of, "rep").select("bucket", "rep", "n", "d", "ring", "loose", "group", "both", "rest", "bands"), "rings")
+    x, y = far.alias("x"), far.where("loose").withColumn("near", F.explode(F.array(F.col("ring"), F.col("ring") - 1))).alias("y")
+    may = F.expr(f"x.group <> y.group AND abs(x.d - y.d) <= {reach} + 1e-9 AND (y.ring > x.ring OR NOT x.loose OR y.rep > x.rep) "
+                 f"AND least(x.both, y.both) + least(x.rest, y.rest) >= {part} * (x.n + y.n) - {slack} "
+                 # Pairs that share several buckets are taken in the first.
+                 "AND array_position(zip_with(x.bands, y.bands, (a, b) -> a = b), true) = array_position(x.bands, cast(x.bucket & 2147483647 as int))")
+    pairs = x.join(y, F.expr("x.bucket = y.bucket AND x.ring = y.near") & may).select(
+        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     minis = one.select("rep", "mini")
     pairs = pairs.join(minis.select(F.col("rep").alias("a"), F.col("mini").alias("ma")), "a").join(
         minis.select(F.col("rep").alias("b"), F.col("mini").alias("mb")), "b")
@@ -261,7 +310,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     equal = F.aggregate(F.zip_with(hexes("ma"), hexes("mb"), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     pairs = stored(pairs.where(equal / F.lit(float(m)) >= estimate_floor).select("a", "b"), "ring-pairs")
     second = likeness(pairs, texts, width)
-    links = stored(first.unionByName(second).where(F.col("likeness") >= threshold).select("a", "b"), "links")
+    links = stored(linked.unionByName(second.where(F.col("likeness") >= threshold).select("a", "b")), "links")
 
     roots = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
