@@ -13,8 +13,10 @@
    posterior alone and documents with equal posteriors are added up before the first
    step. A step is one small distributed aggregate; the driver holds one number per domain.
 
-A rate is the expected number of copies. Totals T are as large as the rarest domain allows, so
-rates stay at 1 or below and the best-supplied documents are kept whole.
+A rate is the expected number of copies. The domain of the largest weight (of equal ones, the one with
+the most tokens) is kept whole and sets the total; domains with more than their share shrink, and
+scarce ones are repeated (rates above 1) or, without ``repeat``, stay as they are and fall short. A
+domain that is no document's likeliest is never repeated: its tokens are traces in others' documents.
 
 Only DataFrame functions run here.
 """
@@ -134,10 +136,11 @@ def rate(p: Column, steps: list[list[float]]) -> Column:
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], max_steps: int = MAX_STEPS,
-              tolerance: float = TOLERANCE) -> tuple[list[list[float]], dict[str, tuple[float, float, float]]]:
+              tolerance: float = TOLERANCE, repeat: bool = True) -> tuple[list[list[float]], dict[str, tuple[float, float, float]]]:
     """(steps, {domain: (tokens before, target tokens, tokens after)}) for (n_tokens, p).
 
-    ``targets``: weight of each domain; others get 0. Domains without tokens are left out.
+    ``targets``: weight of each domain; others get 0. Domains without tokens are left out. Without
+    ``repeat`` no target is above what its domain has.
     """
     k = len(domains)
     groups = stored(members.where("n_tokens > 0").groupBy("p").agg(F.sum("n_tokens").cast("double").alias("n")), "posteriors")
@@ -145,14 +148,16 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
         return [], {d: (0.0, 0.0, 0.0) for d in domains}
     cell = lambda i: F.col("p")[i]
     first = groups.agg(*[F.sum(F.col("n") * cell(i)).alias(f"s{i}") for i in range(k)],
+                       *[F.max(cell(i) == F.array_max("p")).alias(f"b{i}") for i in range(k)],
                        *[F.sum(F.col("n") * cell(i) * cell(j)).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]).first()
     have = [first[f"s{i}"] for i in range(k)]
     want = [max(0.0, float(targets.get(d, 0.0))) if have[i] > 0 else 0.0 for i, d in enumerate(domains)]
     norm = sum(want)
     if norm <= 0:
         return [], {d: (have[i], have[i], have[i]) for i, d in enumerate(domains)}
-    total = min(have[i] / (w / norm) for i, w in enumerate(want) if w > 0)
-    goal = [total * w / norm for w in want]
+    largest = max(range(k), key=lambda i: (want[i], have[i]))
+    total = have[largest] / (want[largest] / norm)
+    goal = [total * w / norm if repeat and first[f"b{i}"] else min(have[i], total * w / norm) for i, w in enumerate(want)]
     scale = [math.sqrt(first[f"g{i}_{i}"]) or 1.0 for i in range(k)]
     # Gershgorin bound of the scaled Gram matrix: a step of its inverse never overshoots.
     bound = max(sum(first[f"g{i}_{j}"] / (scale[i] * scale[j]) for j in range(k)) for i in range(k)) or 1.0
@@ -166,7 +171,7 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        per_domain: int = PER_DOMAIN, words_per_domain: int = WORDS_PER_DOMAIN) -> DataFrame:
+        per_domain: int = PER_DOMAIN, words_per_domain: int = WORDS_PER_DOMAIN, repeat: bool = True) -> DataFrame:
     """One row per input row: id, domain (likeliest), posterior (map), n_tokens, rate, copies,
     domain_tokens (map of each domain to its tokens before, its target and its tokens after).
 
@@ -178,7 +183,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     """
     model = domain_posteriors_model(docs, labelled, id_col, text_col, per_domain, words_per_domain)
     members = stored(posteriors(docs, model, id_col, text_col), "members")
-    steps, totals = fit_rates(members, model["domains"], targets)
+    steps, totals = fit_rates(members, model["domains"], targets, repeat=repeat)
     names = F.array(*map(F.lit, model["domains"])) if model["domains"] else F.array().cast("array<string>")
     out = members.withColumn("rate", rate(F.col("p"), steps))
     draw = F.pmod(F.xxhash64("id", "text_hash", F.lit("copies")), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -191,8 +196,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
 
 def keep_mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
                **options) -> DataFrame:
-    """The documents that the mix takes at least once, with all their columns."""
-    out = mix(docs, labelled, targets, id_col, text_col, **options).where("copies < 1").select(
+    """The documents that the mix takes, with all their columns; as none is repeated, scarce domains fall short."""
+    out = mix(docs, labelled, targets, id_col, text_col, repeat=False, **options).where("copies < 1").select(
         F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct()
     rows = docs.withColumn("_th", F.xxhash64(text_of(text_col)))
     return rows.join(out, rows[id_col].eqNullSafe(out["_id"]) & (rows["_th"] == out["_th"]), "left_anti").drop("_th")

@@ -135,6 +135,25 @@ def test_mix_meets_targets(spark, odd_docs, no_docs):
     assert {(r.domain, r.rate, r.copies) for r in free} == {(None, 1.0, 1)}
 
 
+def test_scarce_domain_shrinks_no_other(spark):
+    rnd = random.Random(14)
+    mark = {"good": "", "low": " junk$$ junk$$", "toxic_low": " vile## vile##"}
+    domain = ["toxic_low" if i < 3 else "low" if i % 5 == 0 else "good" for i in range(600)]
+    docs = spark.createDataFrame([(i, prose(rnd, "en", 50) + mark[d]) for i, d in enumerate(domain)], "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(domain)), "id long, domain string")
+    weights = {"good": 0.9, "low": 0.06, "toxic_low": 0.04}
+    got = soft_mixing.mix(docs, labels, weights).collect()
+    tokens = got[0].domain_tokens
+    whole = sum(t[2] for t in tokens.values())
+    assert all(math.isclose(tokens[d][2] / whole, w, abs_tol=2e-3) for d, w in weights.items())
+    good = [r for r in got if r.domain == "good"]
+    assert sum(r.rate for r in good) >= 0.97 * len(good) and sum(r.copies >= 1 for r in good) >= 0.97 * len(good)
+    assert all(r.copies >= 2 for r in got if r.domain == "toxic_low")
+    kept = {r.doc_id for r in soft_mixing.keep_mixed(docs, labels, weights).collect()}
+    assert sum(r.doc_id in kept for r in good) >= 0.97 * len(good) and {0, 1, 2} <= kept
+    assert sum(domain[i] == "low" for i in kept) < sum(d == "low" for d in domain)
+
+
 def test_scores_against_baseline_and_distribution(spark, odd_docs, no_docs):
     train = (F.coalesce(F.col("doc_id"), F.lit(0)) % 4) != 1
     got = lm_mixing.score(odd_docs, train)
