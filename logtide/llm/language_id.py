@@ -4,10 +4,11 @@ A text is the average of the embeddings of its subwords (byte 2-, 3- and 4-grams
 word ends included, hashed into ``2**BITS`` buckets); a linear softmax reads the
 language off the average. Embeddings and softmax are trained together by stochastic
 gradient descent in numpy on a bounded sample of labelled rows: about
-``per_language`` rows of each language, chosen by a hash. Four fifths of the sample
-train; the rest sets the softmax temperature and the rejection level, the
-confidence below which a share ``alpha`` of rightly predicted texts falls at most (split
-conformal, so a calibration set under 1 / ``alpha`` texts rejects nothing but texts without a letter).
+``per_language`` rows of each language, chosen by a hash. The sample is parted into ``FOLDS`` folds;
+each fold is scored by a model that the others trained. These scores of the whole sample set the
+softmax temperature and the rejection level, the confidence below which a share ``alpha`` of rightly
+predicted texts falls (the least of them where they are fewer than 1 / ``alpha``, so that the level
+is on at every sample size). The mean of the folds' models predicts.
 
 Prediction is one pass over the table without a shuffle. As average and softmax are both
 linear up to the logits, the model ships as one (bucket x language) table.
@@ -29,7 +30,9 @@ from logtide.llm.common import text_of, with_python
 BITS, DIM = 16, 16
 #: Bound of the training sample: rows per language (expected; rows are drawn by a hash).
 PER_LANGUAGE = 1500
-EPOCHS, RATE, ALPHA = 6, 0.5, 0.001
+EPOCHS, RATE, ALPHA = 6, 0.5, 0.01
+#: Parts of the sample; each is scored by a model that the others trained.
+FOLDS = 3
 UNKNOWN = "und"
 #: Bytes of text whose subwords are held at once.
 SPAN = 1 << 19
@@ -112,22 +115,17 @@ def labelled_sample(labelled: DataFrame, per_language: int, id_col: str, text_co
     return sorted((r for r in got if r["subwords"]), key=key)
 
 
-def train(sample: list, alpha: float = ALPHA) -> Model:
-    """Fit embeddings and softmax by SGD; calibrate on every fifth row."""
-    languages = sorted({r["lang"] for r in sample})
-    index = {x: i for i, x in enumerate(languages)}
-    c = len(languages)
-    rows = [(np.frombuffer(r["subwords"], np.int32), np.frombuffer(r["shares"], np.float32), index[r["lang"]]) for r in sample]
-    fit, held = [r for i, r in enumerate(rows) if i % 5], rows[::5]
-    rng = np.random.default_rng(7)
+def _fit(rows: list, c: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(logits that a subword adds, bias) of embeddings and softmax trained together by SGD."""
+    rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (1 << BITS, DIM))
     out = rng.normal(0, 0.1, (DIM, c))
     bias = np.zeros(c)
-    weight = np.array([len(fit) / (c * max(1, sum(r[2] == i for r in fit))) for i in range(c)])
-    steps, done = max(1, EPOCHS * len(fit)), 0
+    weight = np.array([len(rows) / (c * max(1, sum(r[2] == i for r in rows))) for i in range(c)])
+    steps, done = max(1, EPOCHS * len(rows)), 0
     for _ in range(EPOCHS):
-        for j in rng.permutation(len(fit)):
-            at, share, y = fit[j]
+        for j in rng.permutation(len(rows)):
+            at, share, y = rows[j]
             rate = RATE * (1 - done / steps)
             done += 1
             avg = share @ emb[at]
@@ -141,10 +139,26 @@ def train(sample: list, alpha: float = ALPHA) -> Model:
             bias -= 0.1 * rate * p
             # A subword's share of a text is small; the square root keeps rare ones learning.
             emb[at] -= rate * np.outer(np.sqrt(share), pull)
-    table = emb @ out
+    return emb @ out, bias
+
+
+def train(sample: list, alpha: float = ALPHA) -> Model:
+    """Fit one model for each fold's complement, calibrate on their out-of-fold scores, ship their mean."""
+    languages = sorted({r["lang"] for r in sample})
+    index = {x: i for i, x in enumerate(languages)}
+    c = len(languages)
+    rows = [(np.frombuffer(r["subwords"], np.int32), np.frombuffer(r["shares"], np.float32), index[r["lang"]]) for r in sample]
+    table, bias = np.zeros((1 << BITS, c)), np.zeros(c)
+    logits = np.zeros((len(rows), c))
+    truth = np.array([y for *_, y in rows], int)
+    for fold in range(FOLDS):
+        part, offset = _fit([r for i, r in enumerate(rows) if i % FOLDS != fold], c, 7 + fold)
+        for i in range(fold, len(rows), FOLDS):
+            at, share, _ = rows[i]
+            logits[i] = share @ part[at] + offset
+        table += part / FOLDS
+        bias += offset / FOLDS
     table[0] = 0
-    logits = np.array([share @ table[at] + bias for at, share, _ in held]) if held else np.zeros((0, c))
-    truth = np.array([y for *_, y in held], int)
 
     def confidence(t: float) -> np.ndarray:
         z = logits / t
@@ -152,16 +166,15 @@ def train(sample: list, alpha: float = ALPHA) -> Model:
         return p / p.sum(1, keepdims=True)
 
     best, level = 1.0, 0.0
-    if len(held):
+    if len(rows):
         loss = lambda t: -np.log(np.maximum(confidence(t)[np.arange(len(truth)), truth], 1e-12)).mean()
         best = float(min(np.geomspace(0.25, 8, 41), key=loss))
         p = confidence(best)
         right = p.argmax(1) == truth
-        # Split conformal: the k-th smallest confidence of n right predictions rejects a share of alpha at
-        # most; too few of them to support any level reject nothing.
+        # The k-th smallest confidence of n right predictions rejects a share of about alpha; too few of them
+        # to support that share reject what is less sure than all of them.
         sure = np.sort(p.max(1)[right])
-        k = int(alpha * (len(sure) + 1))
-        level = float(sure[k - 1]) if k else 0.0
+        level = float(sure[max(1, int(alpha * (len(sure) + 1))) - 1]) if len(sure) else 0.0
     return Model(languages, table.astype(np.float32), bias, best, level)
 
 

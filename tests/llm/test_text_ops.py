@@ -96,6 +96,19 @@ def test_language_held_out_accuracy_and_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == docs.columns and kept.where("text = '123'").count() == 0 and kept.count() >= 0.95 * docs.count()
 
 
+def test_language_rejects_gibberish_and_unlearned_languages(spark):
+    rnd = random.Random(13)
+    docs = labelled_docs(spark, 360)
+    known = docs.where("lang <> 'fr'")
+    junk = [(i, " ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(30))) for i in range(50)]
+    junk = spark.createDataFrame(junk, "doc_id long, text string")
+    for learned in (docs, known, known.where("doc_id < 90")):
+        assert language_id.identify(junk, learned).where("rejected").count() >= 48
+    assert language_id.identify(docs.where("lang = 'fr'"), known).where("rejected").count() >= 114
+    clean = language_id.identify(docs.where("doc_id % 5 = 0"), docs.where("doc_id % 5 <> 0"))
+    assert clean.where("rejected").count() <= 4
+
+
 def test_toxicity_chain(spark, odd_docs, no_docs):
     rnd = random.Random(9)
     rows, labels = [], []
