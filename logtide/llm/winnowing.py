@@ -24,8 +24,8 @@ from pyspark.sql import Window
 from logtide.llm.bytes_np import LOWER, SPAN, gram_hashes
 from logtide.llm.common import text_of, with_python
 
-#: Bytes in a run and hashes in a window: shared passages of 124 bytes are always seen.
-K, W = 25, 100
+#: Bytes in a run and hashes in a window: shared passages of 19 bytes are always seen.
+K, W = 8, 12
 _PLACE = np.uint64((1 << 24) - 1)
 _KEEP = np.array([b not in (9, 10, 11, 12, 13, 32) for b in range(256)])
 BLOCK_ROWS = 256

@@ -51,6 +51,13 @@ def test_fingerprint_chain_on_odd_rows(odd_docs, no_docs):
     assert winnowing.fingerprint_chain(no_docs).count() == 0
 
 
+def test_short_half_equal_texts_share_hashes(spark):
+    rnd = random.Random(12)
+    rows = [(i, prose(rnd, ("en", "de", "fr")[i % 3], 40)[:rnd.randint(50, 125)]) for i in range(60)]
+    got = winnowing.fingerprint_chain(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 60 and all(r.near_edited > r.near_next for r in got)
+
+
 def test_fold_events_and_read_back(spark):
     e = [  # conv, seq, kind, turn, role, text
         (1, 1, "message", 0, "user", "hi \\ ### x </turn> #### \\\\"), (1, 2, "regenerate", 1, "assistant", ""), (1, 3, "delta", 1, "assistant", "dra"),
