@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, language_id, lm_mixing, near_dedup, soft_mixing, toxicity, winnowing
+from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, importance, language_id, lm_mixing, near_dedup, soft_mixing, toxicity, winnowing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -217,3 +217,37 @@ def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = lm_mixing.score(docs, fold_ratio("doc_id", SCORING_FOLDS) != SCORING_HELD)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
+# ------------------------------------------- 11 importance resampling to a target
+
+@register(oracle=r"""
+WITH words AS (SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL SELECT 'b', NULL, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+counted AS MATERIALIZED (SELECT side, id, w, count(*) AS n FROM words GROUP BY ALL),
+-- crc32, a bit at a time: the bits of every byte from the lowest.
+crc AS MATERIALIZED (
+  SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bits),
+                                        lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) % 10000 AS bucket
+  FROM (SELECT w, list_transform(range(8 * strlen(w)), lambda i:
+               ((('0x' || substr(hex(encode(w)), 2 * (i // 8)::INT + 1, 2))::BIGINT >> (i % 8)) & 1)::BIGINT) AS bits
+        FROM (SELECT DISTINCT w FROM counted))),
+b AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+      FROM counted JOIN crc USING (w) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM b) + 10000)::DOUBLE
+                                     / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain FROM b),
+f AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+      FROM counted JOIN crc USING (w) JOIN g USING (bucket) WHERE side = 'd' GROUP BY id),
+x AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+      FROM documents LEFT JOIN f ON id = doc_id),
+y AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM x),
+z AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+             10 * count(*) OVER (PARTITION BY n_features >= 20) // 100 AS drawn FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM z""")
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed by bucketed words against the benchmark texts, a tenth of them drawn."""
+    found = importance.resample(documents(spark, sf_dir, "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "text"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
