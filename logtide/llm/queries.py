@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, importance, language_id, lm_mixing, near_dedup, soft_mixing, toxicity, winnowing
+from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, importance, language_id, lm_mixing, near_dedup, ngram_join, soft_mixing, toxicity, winnowing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -251,3 +251,28 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents weighed by bucketed words against the benchmark texts, a tenth of them drawn."""
     found = importance.resample(documents(spark, sf_dir, "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "text"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# ------------------------------------------------------------ 13 n-gram Jaccard join
+
+@register(oracle=r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words WHERE len(w) > 0),
+same AS MATERIALIZED (SELECT min(doc_id) AS rep, md5(array_to_string(list_sort(s), chr(10))) AS h, len(first(s)) AS n, first(s ORDER BY doc_id) AS s, list(doc_id) AS ids
+         FROM shingles GROUP BY h),
+each AS MATERIALIZED (SELECT rep, n, hash(unnest(s)) AS x FROM same),
+pairs AS MATERIALIZED (
+  SELECT a.rep AS a, b.rep AS b FROM each a JOIN each b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT rep AS a, rep AS b FROM same UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a),
+named AS (SELECT unnest(ids) AS doc_id, n, component_id FROM same JOIN least USING (rep))
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN named USING (doc_id)""")
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of shared five-word runs."""
+    return ngram_join.jaccard_components(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
