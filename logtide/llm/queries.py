@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, importance, language_id, lm_mixing, near_dedup, ngram_join, soft_mixing, toxicity, winnowing
+from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, importance, language_id, lm_mixing, near_dedup, ngram_join, phrases, soft_mixing, toxicity, winnowing
 from logtide.llm.common import documents, fold_ratio
 from logtide.sources.tables import read_table
 
@@ -253,6 +253,36 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+# ------------------------------------------------------- 12 phrase collocations
+
+@register(oracle=r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+g AS (SELECT lang, unnest(w) AS p, 1 AS size FROM w
+      UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' '))), 2 FROM w
+      UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))), 3 FROM w),
+f AS MATERIALIZED (SELECT lang, p, size, count(*)::HUGEINT AS a FROM g GROUP BY ALL),
+c AS MATERIALIZED (SELECT lang, p, size, a, string_split(p, ' ') AS s FROM f WHERE size > 1 AND a >= 10),
+cuts AS (SELECT c.lang, c.p, c.size, c.a, k, array_to_string(s[1:k], ' ') AS head, array_to_string(s[k + 1:], ' ') AS tail
+         FROM c, (VALUES (1), (2)) AS t(k) WHERE k < c.size),
+scored AS (SELECT cuts.lang, cuts.p, cuts.size, cuts.a, k, x.a AS l, y.a AS r, 1000000 * cuts.a * cuts.a // (x.a * y.a) AS score
+           FROM cuts JOIN f x ON x.lang = cuts.lang AND x.p = head AND x.size = k
+                JOIN f y ON y.lang = cuts.lang AND y.p = tail AND y.size = cuts.size - k),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (SELECT lang, array_to_string(s[1:2], ' ') AS p, a FROM c WHERE size = 3
+           UNION ALL SELECT lang, array_to_string(s[2:3], ' '), a FROM c WHERE size = 3),
+kept AS (SELECT * FROM lowest o WHERE NOT EXISTS (
+           SELECT 1 FROM inside i WHERE o.size = 2 AND i.lang = o.lang AND i.p = o.p AND 100 * i.a >= 50 * o.a)),
+n AS (SELECT lang, count(*) AS n FROM (SELECT lang, unnest(w) FROM w) GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(p)) AS rank, p AS phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""")
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two and three words of each language of all documents."""
+    return phrases.mine(documents(spark, sf_dir, "text", "lang"))
+
+
 # ------------------------------------------------------------ 13 n-gram Jaccard join
 
 @register(oracle=r"""
