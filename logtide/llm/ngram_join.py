@@ -9,12 +9,12 @@ join is exact: every pair that could be linked is compared, or is known to be in
    A class with more runs that no other class has can't be linked. They are counted in two steps, on a
    quarter of the runs' hash space for all texts, and on the rest for the classes that are left; a part
    can only undercount what all of it holds, so nothing that is linked drops out.
-3. *Groups.* Two linked sets share a run among their first ``slack + 1`` (their prefixes). Classes with
-   identical prefixes and sizes are collapsed into one group; groups, not classes, stand in the inverted
+3. *Groups.* Two linked sets share a run among their first ``slack + 1`` (their prefixes) in any order that is
+   the same for all; here the rarest come first. Classes with identical prefixes and sizes are collapsed into one group; groups, not classes, stand in the inverted
    lists of prefix runs, and pairs of groups are filtered by size and by the place of the shared run.
 4. *Members.* Pairs of groups are expanded and their members compared exactly, in two steps, so that a
-   list is never expanded into all its pairs: first the list's pivot (the group that has the fewest runs
-   of its own) against all others, whose links give components; then only members that the pivots
+   list is never expanded into all its pairs: first the list's pivot (the group whose prefix stands in the
+   longest lists) against all others, whose links give components; then only members that the pivots
    left in different components, since a link inside a component changes nothing.
 5. *Components* by alternating stars, of the first links, then of what the second ones join.
 """
@@ -104,15 +104,15 @@ def _slack(n: str, percent: int) -> Column:
 
 
 def _enough(shared: str, n: str, percent: int) -> str:
-    """Whether sets of ``n`` runs together that share so many are linked."""
+    """Whether sets that have ``n`` runs, added up, and share so many are linked."""
     return f"{100 + percent} * ({shared}) >= {percent} * ({n})"
 
 
-def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of distinct pairs (a, b) of sets (rep, n, runs)."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of sets (rep, n, runs) with ``shared`` and ``united``, the numbers of their runs."""
     side = lambda c: sets.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("runs").alias(f"runs_{c}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("shared", F.size(F.array_intersect("runs_a", "runs_b")))
-    return both.where(_enough("shared", "n_a + n_b", percent)).select("a", "b")
+    both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("shared", F.size(F.array_intersect("runs_a", "runs_b")).cast("long"))
+    return both.select("a", "b", "shared", (F.col("n_a") + F.col("n_b") - F.col("shared")).alias("united"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -147,49 +147,71 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = _alone(rest).select(F.col("owner").alias("rep"), F.col("alone").alias("more"))
     sized = left.select("rep", "n", "alone").join(more, "rep", "left").withColumn("own", F.col("alone") + F.coalesce("more", F.lit(0)))
     sized = sized.where(F.col("own") <= _slack("n", percent)).select("rep", "n", "own")
-    sets = runs.join(sized, "rep").withColumn("prefix", F.slice("runs", F.lit(1), (_slack("n", percent) + 1).cast("int")))
-    sets = stored(sets.withColumn("p", F.xxhash64("prefix")).withColumn("q", F.xxhash64(F.lit(1), "prefix")), "sets-left")
+    sets = stored(runs.join(sized.select("rep", "n"), "rep"), "sets-left")
+
+    # Rare runs come first, so that what many sets share stands in few prefixes. Runs of one set alone come before
+    # them: they lead to nobody, and only the others of a prefix are kept, at their places.
+    each = sets.select("rep", "n", F.explode("runs").alias("run"))
+    often = stored(each.groupBy("run").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-runs")
+    order = each.join(often, "run").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "run"))).alias("order"))
+    order = order.withColumn("own", F.col("n") - F.size("order")).where(F.col("own") <= _slack("n", percent))
+    prefix = F.slice(F.col("order.run"), F.lit(1), (_slack("n", percent) + 1 - F.col("own")).cast("int"))
+    order = order.select("rep", "n", "own", prefix.alias("prefix"))
+    order = stored(order.withColumn("p", F.xxhash64("prefix")).withColumn("q", F.xxhash64(F.lit(1), "prefix")), "prefixes")
 
     # Groups of identical prefixes and sizes, and the inverted lists that they share.
-    groups = sets.groupBy("n", "p", "q").agg(F.min(F.struct("own", "rep")).alias("head"), F.count(F.lit(1)).alias("members"))
-    groups = stored(groups.select(F.monotonically_increasing_id().alias("gid"), "n", "p", "q", F.col("head.rep").alias("head"), "head.own", "members"), "groups")
-    members = stored(sets.select("rep", "n", "p", "q", "own").join(groups.select("gid", "n", "p", "q"), ["n", "p", "q"])
-                     .select("rep", "gid", "n", "own"), "members")
-    posted = groups.join(sets.select(F.col("rep").alias("head"), "prefix"), "head").select(
-        "gid", "n", "head", "own", "members", F.posexplode("prefix").alias("at", "run"))
+    alike = ["n", "own", "p", "q"]
+    groups = order.groupBy(*alike).agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("members"))
+    groups = stored(groups.select(F.monotonically_increasing_id().alias("gid"), *alike, "head", "members"), "groups")
+    members = stored(order.drop("prefix").join(groups.select("gid", *alike), alike).select("rep", "gid", "n", "own"), "members")
+    posted = groups.join(order.select(F.col("rep").alias("head"), "prefix"), "head").select(
+        "gid", "n", "own", "head", "members", F.posexplode("prefix").alias("at", "run")).withColumn("at", F.col("own") + F.col("at"))
     posted = stored(posted, "postings")
-    lists = posted.groupBy("run").agg(F.sum("members").alias("k"), F.min(F.struct("own", "head", "n", "at")).alias("pivot"))
-    lists = stored(lists.where("k > 1").select("run", F.col("pivot.head").alias("pivot"), F.col("pivot.n").alias("pivot_n"),
-                                               F.col("pivot.at").alias("pivot_at")), "lists")
-    posted = stored(posted.join(lists, "run").select("run", "gid", "n", "at", "pivot", "pivot_n", "pivot_at"), "shared-postings")
+    # A list's pivot is the group whose prefix runs stand in the longest lists: the likeliest centre of its like.
+    sizes = posted.groupBy("run").agg(F.sum("members").alias("k")).where("k > 1")
+    posted = stored(posted.join(sizes, "run").select("run", "gid", "n", "at", "head", "k"), "shared-postings")
+    centres = posted.groupBy("gid").agg((F.sum("k") / F.first(_slack("n", percent) + 1)).alias("centre"))
+    posted = posted.join(centres, "gid")
+    lists = posted.groupBy("run").agg(F.max(F.struct("centre", "head", "n", "at")).alias("pivot"))
+    lists = stored(lists.select("run", F.col("pivot.head").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.at").alias("pivot_at")), "lists")
+    posted = stored(posted.join(lists, "run").select("run", "gid", "n", "at", "pivot", "pivot_n", "pivot_at"), "pivot-postings")
 
     # First the pivots against the members of all groups in their lists.
-    may = _enough("1 + least(n - at, pivot_n - pivot_at) - 1", "n + pivot_n", percent)
+    may = _enough("least(n - at, pivot_n - pivot_at)", "n + pivot_n", percent)
     stars = posted.where(may).select("pivot", "gid").distinct().join(members.select("rep", "gid"), "gid").where("rep <> pivot")
-    stars = stored(stars.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct(), "star-pairs")
-    links = stored(compared(stars, sets, percent), "star-links")
-    roots = stored(components(links), "star-roots").withColumnRenamed("id", "rep")
+    stars = stored(compared(stars.select(F.col("pivot").alias("a"), F.col("rep").alias("b")), sets), "stars")
+    linked = f"100 * shared >= {percent} * united"
+    roots = stored(components(stars.where(linked).select("a", "b")), "star-roots").withColumnRenamed("id", "rep")
     placed = stored(members.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep")), "placed")
 
-    # Then members whose components differ; a list whose members are all in one has none.
-    parts = placed.groupBy("gid", "root").agg(F.min("own").alias("own"))
+    # Then members whose components differ; a list whose members are all in one has none. What two sets share is
+    # bounded by what each shares with the list's pivot, and what each has beside that and its own runs.
+    parts = placed.groupBy("gid", "root").agg(F.count(F.lit(1)).alias("members"), F.first("own").alias("own"))
+    known = stars.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "shared").unionByName(
+        lists.select("pivot", F.col("pivot").alias("rep"), F.col("pivot_n").alias("shared")).distinct())
+    known = known.join(placed, "rep").groupBy("pivot", "gid", "root").agg(
+        F.count(F.lit(1)).alias("known"), F.max("shared").alias("both"), F.max(F.expr("n - own - shared")).alias("rest"))
     spots = posted.join(parts, "gid").join(placed.select(F.col("rep").alias("pivot"), F.col("root").alias("centre")), "pivot")
-    spots = spots.select("run", "gid", "root", "n", "at", "own", (F.col("root") != F.col("centre")).alias("loose"))
-    spots = stored(spots, "spots")
-    torn = stored(spots.where("loose").select("run").distinct(), "torn-lists")
-    spots = stored(spots.join(torn, "run"), "torn-spots")
+    spots = stored(spots.select("run", "pivot", "gid", "root", "n", "at", "own", "members", (F.col("root") != F.col("centre")).alias("loose")), "spots")
+    torn = stored(spots.groupBy("run").agg(F.max("loose").alias("torn"), F.min("n").alias("least")).where("torn").drop("torn"), "torn-lists")
+    # The first run that two sets share leaves them what follows it. Places too far back, even beside the list's
+    # smallest set, are no such first run.
+    spots = stored(spots.join(torn, "run").where(_enough("n - at", "n + least", percent)).drop("least"), "torn-spots")
+    firsts = spots.groupBy("gid", "root").agg(F.array_sort(F.collect_list(F.struct("at", "run"))).alias("runs")).select("gid", "root", "runs.run")
+    spots = spots.join(firsts.withColumnRenamed("run", "runs"), ["gid", "root"]).join(known, ["pivot", "gid", "root"], "left")
+    whole = F.coalesce(F.col("known") == F.col("members"), F.lit(False))
+    spots = spots.select("run", "gid", "root", "n", "at", "own", "loose", "runs", F.when(whole, F.col("both")).otherwise(F.expr("n - own")).alias("both"),
+                         F.when(whole, F.greatest("rest", F.lit(0))).otherwise(F.expr("n - own")).alias("rest"))
+    spots = stored(spots, "bounded-spots")
     x, y = spots.where("loose").alias("x"), spots.alias("y")
-    # The first run that two sets share leaves them what follows it; own runs are shared with none.
-    bound = _enough("least(x.n - x.at, y.n - y.at, x.n - x.own, y.n - y.own)", "x.n + y.n", percent)
-    pairs = x.join(y, (F.expr("x.run = y.run")) & F.expr(f"x.root <> y.root AND (NOT y.loose OR x.root < y.root) AND {bound}")).select(
+    bound = _enough("least(x.n - x.at, y.n - y.at, least(x.both, y.both) + least(x.rest, y.rest))", "x.n + y.n", percent)
+    pairs = x.join(y, F.expr("x.run = y.run") & F.expr(
+        f"x.root <> y.root AND (NOT y.loose OR x.root < y.root) AND {bound} AND element_at(array_intersect(x.runs, y.runs), 1) = x.run")).select(
         F.col("x.gid").alias("gid_x"), F.col("x.root").alias("root_x"), F.col("y.gid").alias("gid_y"), F.col("y.root").alias("root_y")).distinct()
     pairs = stored(pairs, "group-pairs")
-    mx = placed.select(F.col("gid").alias("gid_x"), F.col("root").alias("root_x"), F.col("rep").alias("a"), F.col("n").alias("n_x"), F.col("own").alias("own_x"))
-    my = placed.select(F.col("gid").alias("gid_y"), F.col("root").alias("root_y"), F.col("rep").alias("b"), F.col("n").alias("n_y"), F.col("own").alias("own_y"))
-    pairs = pairs.join(mx, ["gid_x", "root_x"]).join(my, ["gid_y", "root_y"])
-    pairs = pairs.where(_enough("least(n_x - own_x, n_y - own_y)", "n_x + n_y", percent))
-    pairs = pairs.join(stars, ((F.least(pairs["a"], pairs["b"]) == stars["a"]) & (F.greatest(pairs["a"], pairs["b"]) == stars["b"])), "left_anti")
-    second = compared(stored(pairs.select("a", "b"), "pairs"), sets, percent)
+    item = lambda c, rep: placed.select(F.col("gid").alias(f"gid_{c}"), F.col("root").alias(f"root_{c}"), F.col("rep").alias(rep))
+    pairs = stored(pairs.join(item("x", "a"), ["gid_x", "root_x"]).join(item("y", "b"), ["gid_y", "root_y"]).select("a", "b"), "pairs")
+    second = compared(pairs, sets).where(linked).select("a", "b")
     root_of = placed.select("rep", "root")
     joined = second.join(root_of.select(F.col("rep").alias("a"), F.col("root").alias("ra")), "a").join(
         root_of.select(F.col("rep").alias("b"), F.col("root").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
