@@ -44,7 +44,11 @@ TOP = 2000
 NO_LANGUAGE = "und"
 #: Size of the bitmaps (bits, as a power of two) and of a trie.
 BUCKET_BITS = 26
-TRIE_PHRASES = 1_000_000
+TRIE_PHRASES = 250_000
+#: Phrases whose words are broadcast; more are joined.
+MAX_SPELLED = 1_000_000
+#: Bytes of text in a block.
+CUT_BYTES = 2 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCKS = "langs array<long>, words array<string>, symbols array<long>, counts array<long>, low binary, high binary"
 
@@ -53,7 +57,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts (lang, text) to blocks: the distinct words, most frequent first, with their languages, symbols
     and counts, and all words in order as places in that list; its length stands between pieces."""
     for batch in batches:
-        for block in byte_blocks(batch):
+        for block in byte_blocks(batch, most=CUT_BYTES):
             data, offsets = text_bytes(block.column("text"))
             data = LOWER[data]
             starts, ends, first = word_bounds(data, offsets, GAPS)
@@ -66,7 +70,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order))
             # A piece ends with its text, or at an ending byte between this word and the next.
-            ended = np.cumsum(ENDS[data])[starts]
+            ended = np.searchsorted(np.flatnonzero(ENDS[data]), starts)
             apart = ended[1:] != ended[:-1]
             apart[first[1:-1][(first[1:-1] > 0) & (first[1:-1] < len(starts))] - 1] = True
             row = np.full(len(starts) + int(apart.sum()), len(order), np.uint32)
@@ -162,13 +166,13 @@ def _walk(trie, size: int):
     """Counts of a trie's phrases in the blocks of this task: (s1, s2, ..., name, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, paths, automaton = pickle.loads(trie.value)
+        symbols, paths, automaton = trie.value
         total = np.zeros(len(paths), np.int64)
         for batch in batches:
             for own, row in _opened(batch):
                 at = np.minimum(np.searchsorted(symbols, own), len(symbols) - 1)
                 local = np.append(np.where(symbols[at] == own, at, -1), -1).astype(np.int32)
-                total += automaton.count(local[row], len(paths))
+                total += automaton.count(local[row], size, len(paths))
         some = np.flatnonzero(total)
         parts = [symbols[paths[some, k]] for k in range(size)]
         yield pa.RecordBatch.from_arrays([*[pa.array(p.view(np.int64)) for p in parts], pa.array(reduce(_joined, parts).view(np.int64)),
@@ -210,10 +214,9 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, size: int, shorter: Da
     counts = []
     for shard in range(shards):
         for row in tries.where(F.col("shard") == shard).collect():  # one, of bounded size
-            trie = sc.broadcast(bytes(row.trie))
+            trie = sc.broadcast(pickle.loads(row.trie))
             counts.append(stored(packed.mapInArrow(_walk(trie, size), f"{typed}, name long, n long")
                                  .groupBy(*parts, "name").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count), f"counts-{size}"))
-            trie.unpersist()
     if not counts:
         return spark.createDataFrame([], f"{typed}, name long, n long")
     return reduce(DataFrame.unionByName, counts)
@@ -274,7 +277,7 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_wo
     best = stored(scored.withColumn("near", near).where(F.col("near") <= top).drop("near").withColumn("row", F.monotonically_increasing_id()), "best")
     used = best.select("row", F.posexplode("symbols").alias("at", "s1"))
     spelled = blocks.select(F.explode(F.arrays_zip("symbols", "words")).alias("x")).select(F.col("x.symbols").alias("s1"), F.col("x.words").alias("word"))
-    spelled = spelled.join(F.broadcast(used.select("s1").distinct()) if best.count() <= TRIE_PHRASES else used.select("s1").distinct(), "s1", "left_semi")
+    spelled = spelled.join(F.broadcast(used.select("s1").distinct()) if best.count() <= MAX_SPELLED else used.select("s1").distinct(), "s1", "left_semi")
     spelled = spelled.groupBy("s1").agg(F.min("word").alias("word"))
     text = used.join(spelled, "s1").groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     langs = docs.select(F.coalesce(lang_col, F.lit(NO_LANGUAGE)).alias("lang")).distinct().withColumn("lang_key", F.xxhash64("lang"))
