@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logtide.llm import bytes_np
 from logtide.llm.blocks import byte_blocks
 from logtide.llm.bytes_np import LOWER, mix, span_hashes, text_bytes, word_bounds
 from logtide.llm.common import stored, text_of, with_python
@@ -48,14 +49,21 @@ TRIE_PHRASES = 250_000
 #: Phrases whose words are broadcast; more are joined.
 MAX_SPELLED = 1_000_000
 #: Bytes of text in a block.
-CUT_BYTES = 2 << 20
+CUT_BYTES = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCKS = "langs array<long>, words array<string>, symbols array<long>, counts array<long>, low binary, high binary"
 
 
+def _release() -> None:
+    """Give back what this task's scratch tables hold; its worker goes on to other tasks."""
+    bytes_np._powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts (lang, text) to blocks: the distinct words, most frequent first, with their languages, symbols
-    and counts, and all words in order as places in that list; its length stands between pieces."""
+    and counts, and all words in order as places in that list, in two halves of 16 bits (no upper half for
+    short lists); the list's length stands between pieces."""
     for batch in batches:
         for block in byte_blocks(batch, most=CUT_BYTES):
             data, offsets = text_bytes(block.column("text"))
@@ -80,8 +88,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one = lambda x, t: pa.array([x], pa.list_(t))
             yield pa.RecordBatch.from_arrays(
                 [one(lang[at], pa.int64()), one(words, pa.string()), one(distinct[order].view(np.int64), pa.int64()), one(n[order], pa.int64()),
-                 pa.array([row.astype("<u2").tobytes()], pa.binary()), pa.array([(row >> np.uint32(16)).astype("<u2").tobytes()], pa.binary())],
+                 pa.array([row.astype("<u2").tobytes()], pa.binary()), pa.array([(row >> np.uint32(16)).astype("<u2").tobytes() if len(order) >> 16 else b""], pa.binary())],
                 ["langs", "words", "symbols", "counts", "low", "high"])
+    _release()
 
 
 def blocks_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -92,7 +101,9 @@ def blocks_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 def _opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(distinct symbols, places) of each block of (symbols, low, high)."""
     for symbols, low, high in zip(batch.column("symbols"), batch.column("low"), batch.column("high"), strict=True):
-        row = np.frombuffer(low.as_py(), "<u2").astype(np.int64) | (np.frombuffer(high.as_py(), "<u2").astype(np.int64) << 16)
+        row = np.frombuffer(low.as_py(), "<u2").astype(np.int64)
+        if high := high.as_py():
+            row |= np.frombuffer(high, "<u2").astype(np.int64) << 16
         yield symbols.values.to_numpy(zero_copy_only=False).view(np.uint64), row
 
 
@@ -132,6 +143,7 @@ def _buckets(words, shorter, size: int, bits: int):
                 _, name = _places(symbols, row, words.value, shorter and shorter.value, size)
                 bucket, n = np.unique((name & np.uint64((1 << bits) - 1)).astype(np.int32), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n.astype(np.int64))], ["bucket", "n"])
+        _release()
 
     return run
 
