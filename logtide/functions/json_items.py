@@ -26,11 +26,13 @@ def parse_raw_log(value: Column) -> Column:
 def one_json_value(value: Column) -> Column:
     """True when the text is one JSON value and nothing else; text after it makes this false.
 
-    The parser stops after the first value, so the text is read as the only
-    element of an array.
+    The parser stops after the first value, so the text is read inside two wrappings: as the only
+    element of an array and as the only field of an object. What follows the value must start with what
+    closes its wrapping to go unnoticed, and no text starts with both brackets.
     """
-    whole = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
-    return F.coalesce(F.size(whole) == 1, F.lit(False))
+    element = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
+    field = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "map<string,string>")
+    return F.coalesce((F.size(element) == 1) & (F.size(field) == 1), F.lit(False))
 
 
 def last_value_wins(item: Column) -> Column:
@@ -65,10 +67,7 @@ def item_double(item: Column, key: str) -> Column:
 
 
 def set_item_keys(item: Column, area: Column, dt: Column) -> Column:
-    """Put area and dt on the item, overwriting keys of the same name; other keys stay.
-
-    Null values are left out at the item's own level; inside nested values they stay.
-    """
+    """Put area and dt on the item, overwriting keys of the same name; other keys stay, without those that are null."""
     keep = F.map_filter(
         item,
         lambda k, v: (~k.isin(ITEM_AREA_KEY, ITEM_DT_KEY)) & v.isNotNull() & (~F.is_variant_null(v)),
@@ -82,5 +81,20 @@ def set_item_keys(item: Column, area: Column, dt: Column) -> Column:
     return F.map_concat(keep, added)
 
 
+# A JSON string from quote to quote; possessive, so that long ones need no stack.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+# A key with a null value and the comma before it; or a whole string, kept, so that nothing inside one is taken for a key.
+_NULL_KEY = rf"(?s),?{_STRING}:null(?=[,}}])|({_STRING})"
+# The comma that a first key leaves behind; or a whole string, kept.
+_FIRST_COMMA = rf"(?s)(?<=\{{),|({_STRING})"
+
+
+def drop_null_keys(text: Column) -> Column:
+    """JSON text without whitespace, without keys whose value is null, at any depth; nulls in arrays stay."""
+    bare = F.regexp_replace(F.regexp_replace(text, _NULL_KEY, "$1"), _FIRST_COMMA, "$1")
+    return F.when(F.contains(text, F.lit(":null")), bare).otherwise(text)
+
+
 def to_json_text(m: Column) -> Column:
-    return F.to_json(m)
+    """JSON text of an item; keys with a null value are left out, in nested objects too."""
+    return drop_null_keys(F.to_json(m))

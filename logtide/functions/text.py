@@ -16,7 +16,7 @@ from logtide.schemas import (
 
 
 def split_countries(countries: Column) -> Column:
-    """"PK,SA,KW" -> [PK, SA, KW]; empty pieces (e.g. a trailing comma) are dropped."""
+    """"FR,DE,IT" -> [FR, DE, IT]; empty pieces (e.g. a trailing comma) are dropped."""
     return F.filter(F.split(countries, COUNTRY_SEPARATOR), lambda x: x != "")
 
 

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from logtide.functions.text import split_countries
 from logtide.operators.joins import join_dimension
+from logtide.operators.scans import asof_lookup
 from logtide.session import checkpointed
 
+# Batches (and versions) per chunk of the as-of lookup.
+VERSION_CHUNK = 65_536
+
 
 def invert_mapping(mapping: DataFrame, *, by: list[str] | None = None) -> DataFrame:
-    """(area, countries "PK,SA,KW") -> (country_code, area), one row per country.
+    """(area, countries "FR,DE,IT") -> (country_code, area), one row per country.
 
     A country listed under two areas takes the greatest area name (any fixed
     choice would do). ``by`` keeps extra grouping columns,
@@ -45,25 +49,25 @@ def latest_nonempty_version(versions: DataFrame, at_batch: int) -> DataFrame:
 
 
 def version_in_force(batches: DataFrame, versions: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """(batch, _version): for each distinct batch the newest non-empty version at or before it.
-
-    The published versions are one sorted list (one number per snapshot), looked up per batch.
-    """
-    known = _published(versions).agg(F.sort_array(F.collect_set(F.col("version").cast("long"))).alias("v"))
-    listed = batches.select(batch_col).distinct().withColumn("_known", known.scalar())
-    return listed.select(batch_col, F.array_max(F.filter("_known", lambda x: x <= F.col(batch_col))).alias("_version"))
+    """(batch, _version): for each distinct batch the newest non-empty version at or before it."""
+    known = _published(versions).select(F.col("version").cast("long").alias("version")).distinct()
+    points = batches.select(F.col(batch_col).cast("long").alias("_batch")).where("_batch IS NOT NULL")
+    found = asof_lookup(points, "_batch", known, "version", "version", "_version", forward=False, chunk=VERSION_CHUNK)
+    return found.select(F.col("_batch").alias(batch_col), "_version")
 
 
-def enrich_area_as_of(records: DataFrame, versions: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+def enrich_area_as_of(records: DataFrame, versions: DataFrame, batch_col: str = "batch_id",
+                      batches: DataFrame | None = None) -> DataFrame:
     """Each record takes the mapping in force at its batch.
 
     In force = the newest non-empty snapshot whose version (publish batch) is
     <= the record's batch; empty snapshots leave the previous one in force.
-    The version is found once per distinct batch; records then meet it, and the mapping on
+    The version is found once per distinct batch (of ``batches``, which is cheaper than the records
+    where those are still to be parsed); records then meet it, and the mapping on
     (version, country), in equi-joins. Records before the first snapshot get a NULL area.
     """
     # One row per batch, stored: its size is known before the join is planned.
-    force = checkpointed(version_in_force(records, versions, batch_col), "version-in-force")
+    force = checkpointed(version_in_force(records if batches is None else batches, versions, batch_col), "version-in-force")
     dim = invert_mapping(versions, by=["version"]).select(
         F.col("version").cast("long").alias("_version"), "country_code", "area")
     tagged = join_dimension(records, force, batch_col, "left")

@@ -62,4 +62,4 @@ def clean_records(messages: DataFrame, country_area: DataFrame) -> DataFrame:
 
 def clean_records_as_of(messages: DataFrame, versions: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """Same as clean_records, with the mapping snapshot in force at each batch."""
-    return finish(enrich_area_as_of(flatten(parse_messages(messages)), versions, batch_col))
+    return finish(enrich_area_as_of(flatten(parse_messages(messages)), versions, batch_col, batches=messages))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.functions.json_items import item_string
@@ -24,7 +24,7 @@ from logtide.session import new_work_dir, query_run, session_id, use_utc
 from logtide.sources.dimension import empty_snapshots, live_table_provider, snapshot_table_provider
 from logtide.streaming import jobs
 from logtide.streaming.replay import replay
-from logtide.streaming.sinks import TYPE_FOLDER, read_by_type, read_latest, write_by_type
+from logtide.streaming.sinks import TYPE_FOLDER, read_by_type, read_latest, read_output, write_by_type
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +54,7 @@ def _mapping(spark, sf_dir, **kw) -> DataFrame:
     return area_ops.invert_mapping(fx.area_mapping(spark, sf_dir, **kw))
 
 
-def _reread(records: DataFrame) -> DataFrame:
+def _reread(records: DataFrame, *more: Column) -> DataFrame:
     """Fields read back from the clean JSON text (key order does not matter)."""
     r = F.col("record")
     back = F.from_json(r, "type string, score double, level string, area string, dt string, "
@@ -64,6 +64,7 @@ def _reread(records: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.json_object_keys(r)), ",").alias("keys"),
         back["type"].alias("type"), back["score"].alias("score"), back["level"].alias("level"),
         back["area"].alias("area"), back["dt"].alias("dt"), back["meta"]["line"].alias("meta_line"),
+        *more,
     )
 
 
@@ -84,12 +85,13 @@ SELECT i.key, i.item_pos,
             WHEN i.dirty_case = 8 THEN 'area,dt,score,type' ELSE 'area,dt,level,score,type' END AS keys,
        i.type, i.score, CASE WHEN i.dirty_case = 8 THEN NULL ELSE i.level END AS level,
        {o.AREA_OF_REGION} AS area, i.dt,
-       CASE WHEN i.dirty_case = 7 THEN CAST(i.l_linenumber AS VARCHAR) END AS meta_line
+       CASE WHEN i.dirty_case = 7 THEN CAST(i.l_linenumber AS VARCHAR) END AS meta_line,
+       CASE WHEN i.dirty_case = 7 THEN '{{"deep":{{}},"line":' || i.l_linenumber || ',"tags":["a",null,"\\\\",":null,"]}}' END AS meta
 FROM good_items i JOIN region r ON i.n_regionkey = r.r_regionkey""")
 def clean_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean JSON records of the dirty log, read back field by field."""
+    """Clean JSON records of the dirty log, read back field by field; nested objects have no null keys."""
     recs = clean_ops.clean_records(fx.raw_log(spark, sf_dir, dirty=True), _mapping(spark, sf_dir))
-    return _reread(recs)
+    return _reread(recs, F.get_json_object("record", "$.meta").alias("meta"))
 
 
 @register("clean_overwrite_keys", f"""
@@ -369,16 +371,11 @@ def _live_stream_out(spark: SparkSession, sf_dir: str) -> str:
     return _replayed(spark, sf_dir, "live", build)
 
 
-# Small, so that a replay of 8 batches goes through snapshots of its documents.
-REPLAY_COMPACT_EVERY = 3
-
-
 def _report_stream_out(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         work = new_work_dir(spark, "report-stream", keep=True)
         return replay(spark, fx.stream_audit_log(spark, sf_dir).drop("event_id"), work,
-                      lambda src, out, ckpt, trig: jobs.report_job(src, out, ckpt, REPORT_WINDOW_MS, trig,
-                                                                   compact_every=REPLAY_COMPACT_EVERY))
+                      lambda src, out, ckpt, trig: jobs.report_job(src, out, ckpt, REPORT_WINDOW_MS, trig))
 
     return _replayed(spark, sf_dir, "report", build)
 
@@ -392,7 +389,7 @@ LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code"""
 
 def _stream_records(spark: SparkSession, out: str) -> DataFrame:
     """What the clean job wrote: all fields but the country read back from the JSON record."""
-    rows = spark.read.parquet(f"{out}/clean")
+    rows = read_output(spark, out, "clean")
     back = F.from_json("record", "type string, score double, level string, area string, dt string")
     return rows.select("key", "item_pos", F.col("batch_id").cast("int").alias("batch_id"), "country_code",
                        back["area"].alias("area"), back["type"].alias("type"), back["dt"].alias("dt"),
@@ -419,7 +416,7 @@ SELECT window_start_ms, type, area, fire_batch, count, {o.fmt('cmx')} AS time FR
 def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report job as a stream: every firing written by the micro-batches."""
     out = _report_stream_out(spark, sf_dir)
-    return spark.read.parquet(f"{out}/firings").select(
+    return read_output(spark, out, "firings").select(
         "window_start_ms", "type", "area", "fire_batch", "count", "time")
 
 
@@ -428,7 +425,7 @@ SELECT key, batch_id, CAST(time_ms AS VARCHAR) || chr(9) || type || chr(9) || ar
 def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late side output of the streaming report job."""
     out = _report_stream_out(spark, sf_dir)
-    return spark.read.parquet(f"{out}/late").select("key", F.col("batch_id").cast("long").alias("batch_id"), "line")
+    return read_output(spark, out, "late").select("key", F.col("batch_id").cast("long").alias("batch_id"), "line")
 
 
 @register("stream_documents", f"""{_STREAM_FIRINGS},
@@ -437,9 +434,9 @@ SELECT replace(time, ' ', '_') || '-' || type || '-' || area AS doc_id, time, ty
        arg_max(count, fire_batch) AS count
 FROM f2 GROUP BY time, type, area""")
 def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search documents after the stream's keyed upserts (last write per id): snapshot and later firings."""
+    """Search documents after the stream's keyed upserts (last write per id), as of the last whole batch."""
     out = _report_stream_out(spark, sf_dir)
-    return read_latest(spark, f"{out}/firings", "doc_id").select("doc_id", "time", "type", "area", "count")
+    return read_latest(spark, out, "documents").select("doc_id", "time", "type", "area", "count")
 
 
 @register("stream_metrics", f"""
@@ -456,8 +453,8 @@ UNION ALL SELECT 'report', b.batch_id, 'fired_windows', count(f.fire_batch)
           FROM (SELECT DISTINCT batch_id FROM src) b LEFT JOIN firings f ON f.fire_batch = b.batch_id GROUP BY b.batch_id""")
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress counters of both streaming jobs, one row per batch and counter."""
-    clean = spark.read.parquet(f"{_clean_stream_out(spark, sf_dir)}/metrics")
-    report = spark.read.parquet(f"{_report_stream_out(spark, sf_dir)}/metrics")
+    clean = read_output(spark, _clean_stream_out(spark, sf_dir), "metrics")
+    report = read_output(spark, _report_stream_out(spark, sf_dir), "metrics")
 
     def long_form(df: DataFrame, job: str, names: list[str]) -> DataFrame:
         return df.unpivot("batch_id", names, "metric", "value").select(

@@ -45,7 +45,7 @@ def _item_text(dirty: bool) -> Column:
     if dirty:
         extra = (F.when(case == 5, F.lit(',"area":"stale","dt":"stale"'))
                  .when(case == 7, F.concat(F.lit(',"meta":{"line":'), F.col("l_linenumber").cast("string"),
-                                           F.lit(',"tags":["a","b"]}')))
+                                           F.lit(',"none":null,"tags":["a",null,"\\\\",":null,"],"deep":{"x":null,"y":null}}')))
                  .otherwise(F.lit("")))
     return F.concat(
         F.lit('{"type":'), _q(F.col("l_returnflag")),
@@ -96,6 +96,9 @@ def raw_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
             .when(case == 11, plus("1"))
             .when(case == 12, F.concat(F.col("v"), F.lit(" trailing")))
             .when(case == 13, F.concat(F.col("v"), F.col("v")))
+            .when(case == 14, F.concat(F.col("v"), F.lit("] junk")))
+            .when(case == 15, F.concat(F.col("v"), F.lit(',"e":1} x')))
+            .when(case == 16, F.concat(F.col("v"), F.lit("]]")))
             .otherwise(F.col("v"))
         )
         o = o.withColumn("v", F.concat(head, F.lit(',"data":['), data, F.lit("]}")))
@@ -192,7 +195,7 @@ def _audit_text(dt: Column, type_: Column, username: Column, area: Column, with_
 def audit_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Audit messages (key, value) per event; dirty cases by event_id % 97:
     1 bad dt, 2 empty message, 3 no dt, 4 lenient dt, 5 month 13, 6 null type,
-    7 the epoch instant (parses to 0), 8 truncated, 9 an array, 10 text after the object."""
+    7 the epoch instant (parses to 0), 8 truncated, 9 an array, 10 text after the object, 11 to 13 the same with closing brackets."""
     a = _audit_fields(spark, sf_dir)
     if not dirty:
         value = _audit_text(F.col("dt"), F.col("type"), F.col("username"), F.col("area"))
@@ -205,6 +208,8 @@ def audit_log(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFram
         text = _audit_text(dt, type_, F.col("username"), F.col("area"), with_dt=case != 3)
         value = (F.when(case == 2, F.lit("")).when(case == 8, F.substr(text, F.lit(1), F.length(text) - 1))
                  .when(case == 9, F.concat(F.lit("["), text, F.lit("]"))).when(case == 10, F.concat(text, F.lit(" x")))
+                 .when(case == 11, F.concat(text, F.lit("] junk"))).when(case == 12, F.concat(text, F.lit(',"e":1} x')))
+                 .when(case == 13, F.concat(text, F.lit("]]")))
                  .otherwise(text))
     return a.select(F.col("event_id").cast("string").alias("key"), value.alias("value"), "event_id")
 

@@ -30,7 +30,7 @@ items AS (
 # item whose repeated key takes its last value.
 DIRTY_ITEMS = ITEMS + """,
 faults(dirty_case, reason) AS (VALUES (1, 'malformed'), (2, 'missing_data'), (3, 'malformed'), (9, 'null_item'),
-  (10, 'empty'), (11, 'malformed'), (12, 'malformed'), (13, 'malformed')),
+  (10, 'empty'), (11, 'malformed'), (12, 'malformed'), (13, 'malformed'), (14, 'malformed'), (15, 'malformed'), (16, 'malformed')),
 good_items AS (
   SELECT key, item_pos, dt, country_code, n_regionkey, type, score, level, l_linenumber, dirty_case FROM items
   WHERE dirty_case <> 4 AND dirty_case NOT IN (SELECT dirty_case FROM faults)
@@ -52,7 +52,8 @@ audit0 AS (
 DIRTY_AUDIT = AUDIT + """,
 audit1 AS (
   SELECT event_id, key, event_id % 97 AS c,
-         CASE event_id % 97 WHEN 2 THEN 'empty' WHEN 8 THEN 'malformed' WHEN 9 THEN 'malformed' WHEN 10 THEN 'malformed' END AS fault,
+         CASE event_id % 97 WHEN 2 THEN 'empty' WHEN 8 THEN 'malformed' WHEN 9 THEN 'malformed' WHEN 10 THEN 'malformed'
+              WHEN 11 THEN 'malformed' WHEN 12 THEN 'malformed' WHEN 13 THEN 'malformed' END AS fault,
          CASE event_id % 97 WHEN 1 THEN 'bad' WHEN 3 THEN NULL WHEN 4 THEN '2019-1-1 1:1:1'
               WHEN 5 THEN '2019-13-01 00:00:00' WHEN 7 THEN '1970-01-01 00:00:00' ELSE dt0 END AS dt,
          CASE WHEN event_id % 97 = 6 THEN NULL ELSE event_type END AS type, area0, user0
@@ -62,7 +63,8 @@ texts AS (
             || ',"username":"' || user0 || '","area":"' || area0 || '"}' AS text FROM audit1),
 parsed AS (
   SELECT key, event_id, fault,
-         CASE c WHEN 2 THEN '' WHEN 8 THEN left(text, length(text) - 1) WHEN 9 THEN '[' || text || ']' WHEN 10 THEN text || ' x' ELSE text END AS value,
+         CASE c WHEN 2 THEN '' WHEN 8 THEN left(text, length(text) - 1) WHEN 9 THEN '[' || text || ']' WHEN 10 THEN text || ' x'
+              WHEN 11 THEN text || '] junk' WHEN 12 THEN text || ',"e":1} x' WHEN 13 THEN text || ']]' ELSE text END AS value,
          CASE WHEN fault IS NOT NULL THEN CAST(0 AS BIGINT)
               ELSE coalesce(CASE WHEN regexp_full_match(dt, '\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}')
                                  THEN epoch_ms(try_strptime(dt, '%Y-%m-%d %H:%M:%S')) END, CAST(0 AS BIGINT)) END AS time_ms,

@@ -23,7 +23,7 @@ SHORT_WINDOW_MS = 30 * 1000
 # Keys the cleaner writes into every item (existing values are overwritten).
 ITEM_AREA_KEY = "area"
 ITEM_DT_KEY = "dt"
-# Separator of the country list in an area-mapping row, e.g. "PK,SA,KW".
+# Separator of the country list in an area-mapping row, e.g. "FR,DE,IT".
 COUNTRY_SEPARATOR = ","
 # Field separator of a late-row text line: "<epoch ms>\t<type>\t<area>".
 LATE_LINE_SEPARATOR = "\t"
@@ -33,7 +33,7 @@ NULL_TEXT = "null"
 DOC_ID_BLANK = " "
 DOC_ID_BLANK_REPLACEMENT = "_"
 DOC_ID_SEPARATOR = "-"
-# Prefix of an area name in the mapping, e.g. AREA_US.
+# Prefix of an area name in the mapping, e.g. AREA_ASIA.
 AREA_PREFIX = "AREA_"
 # ------------------------------------------------------------ end FIXED VALUES
 

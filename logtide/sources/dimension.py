@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.operators.area import invert_mapping, latest_nonempty_version
-from logtide.streaming.sinks import batch_ids, expire, read_batch, write_batch
+from logtide.streaming.sinks import commit, committed, expire_batch, read_batch, write_batch
 
 Provider = Callable[[SparkSession, int], DataFrame]
 
@@ -41,14 +41,14 @@ def live_table_provider(path: str, state: str) -> Provider:
     """
 
     def provide(spark: SparkSession, batch_id: int) -> DataFrame:
-        kept = batch_ids(spark, state)
-        if batch_id not in kept:
+        last = committed(spark, state)
+        if last is None or batch_id > last:
             now = invert_mapping(spark.read.parquet(path))
-            before = [b for b in kept if b < batch_id]
-            if now.isEmpty() and before:
-                now = read_batch(spark, state, max(before)).drop("batch_id")
+            if last is not None and now.isEmpty():
+                now = read_batch(spark, state, last).drop("batch_id")
             write_batch(now, state, batch_id)
-            expire(spark, state, batch_id - KEEP_MAPPINGS)
+            commit(spark, state, batch_id)
+            expire_batch(spark, state, batch_id - KEEP_MAPPINGS)
         return read_batch(spark, state, batch_id).drop("batch_id")
 
     return provide

@@ -1,10 +1,12 @@
 """The two streaming jobs, built on ``foreachBatch``.
 
 Both run the batch operators on each micro-batch. Everything a batch writes
-lives under folders named by its batch id and is written in overwrite mode.
-The only state carried between batches (the previous batch's ledger row and
-its table of live windows) is read from those folders, so a batch that is
-replayed after a failure produces exactly the same files.
+lives under folders named by its batch id and is written in overwrite mode; the
+batch counts from its mark on, which is written last. A batch that is run again
+after a crash replaces what it had written; one that had got its mark is left as
+it is, so readers never see it change. The only state carried between batches
+(the previous batch's ledger row, its table of live windows and the documents) is
+read from those folders. An output folder belongs to one checkpoint.
 """
 
 from __future__ import annotations
@@ -22,10 +24,8 @@ from logtide.operators.area import enrich_area
 from logtide.operators.lateness import with_window
 from logtide.schemas import ALLOWED_LATENESS_MS, OUT_OF_ORDERNESS_MS, REPORT_WINDOW_MS
 from logtide.sources.dimension import Provider
-from logtide.streaming.sinks import TYPE_FOLDER, by_type, compact, expire, read_batch, upsert, write_batch
+from logtide.streaming.sinks import TYPE_FOLDER, by_type, commit, committed, expire_batch, read_batch, upsert, write_batch
 
-# Firings are compacted into a snapshot of documents every this many batches.
-COMPACT_EVERY = 100
 # Batches whose state is kept; a batch that is run again needs the one before it.
 KEEP_STATE = 3
 
@@ -36,12 +36,20 @@ def _start(source: DataFrame, fn, checkpoint: str, trigger: dict | None) -> Stre
     return w.start()
 
 
+def _done(spark: SparkSession, out: str, batch_id: int) -> bool:
+    """Whether the batch has its mark."""
+    last = committed(spark, out)
+    return last is not None and batch_id <= last
+
+
 def clean_batch(spark: SparkSession, messages: DataFrame, batch_id: int, provider: Provider, out: str) -> None:
     """One micro-batch of the clean job.
 
     The mapping is read before the batch runs, so records never see an empty
     mapping at start-up; the snapshot guard keeps empty snapshots out.
     """
+    if _done(spark, out, batch_id):
+        return
     country_area = provider(spark, batch_id)
     parsed = clean_ops.parse_messages(messages).persist()
     try:
@@ -58,6 +66,7 @@ def clean_batch(spark: SparkSession, messages: DataFrame, batch_id: int, provide
             [(int(m.get("items", 0)), int(m.get("unmapped_items", 0)), int(bad_obs.get.get("quarantined", 0)))],
             "items long, unmapped_items long, quarantined long")
         write_batch(metrics, f"{out}/metrics", batch_id)
+        commit(spark, out, batch_id)
     finally:
         parsed.unpersist()
 
@@ -72,14 +81,17 @@ def clean_job(source: DataFrame, provider: Provider, out: str, checkpoint: str,
     return _start(source, run, checkpoint, trigger)
 
 
-def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def _previous(spark: SparkSession, out: str, name: str, batch_id: int) -> DataFrame | None:
     """Rows the previous micro-batch stored (batch ids are consecutive); None before the first.
 
     They must be there: without them, open windows and the watermark would be lost in silence.
     """
     if batch_id == 0:
         return None
+    path = f"{out}/{name}"
     try:
+        if not _done(spark, out, batch_id - 1):
+            raise RuntimeError(f"state of batch {batch_id - 1} under {path} is not committed")
         return read_batch(spark, path, batch_id - 1).drop("batch_id")
     except AnalysisException as err:
         raise RuntimeError(f"state of batch {batch_id - 1} under {path} is missing or unreadable; "
@@ -88,17 +100,18 @@ def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None
 
 def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: str,
                  size_ms: int = REPORT_WINDOW_MS, out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
-                 lateness_ms: int = ALLOWED_LATENESS_MS, compact_every: int = COMPACT_EVERY,
-                 keep_firings: bool = True) -> None:
-    """One micro-batch of the report job: rejects, late rows, firings, state, metrics.
+                 lateness_ms: int = ALLOWED_LATENESS_MS) -> None:
+    """One micro-batch of the report job: rejects, late rows, firings, documents, state, metrics.
 
     State between batches is two small tables written by the previous batch:
     its metrics row (which holds the max event time so far) and the live windows
     (counts of windows not yet past their lateness). Reading only batch N-1's
     state keeps the work per batch bounded by the live windows, not by the
-    stream's age. Firings carry their document id and are the log of keyed
-    upserts at the same time.
+    stream's age. Firings carry their document id; the documents are a keyed
+    state that each batch's firings update.
     """
+    if _done(spark, out, batch_id):
+        return
     parsed = audit_ops.parse_audit(messages).persist()  # feeds rows and rejects
     try:
         # The rejects write also yields the batch's message count and max
@@ -114,7 +127,7 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
         rows = with_window(audit_ops.accepted(parsed), size_ms)
 
         # Watermark before this batch: max event time of earlier batches.
-        prev_metrics = _previous(spark, f"{out}/metrics", batch_id)
+        prev_metrics = _previous(spark, out, "metrics", batch_id)
         prev = prev_metrics.first()["upto"] if prev_metrics is not None else None
         known = [v for v in (prev, mx) if v is not None]
         upto = max(known) if known else None
@@ -131,7 +144,7 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
         keys = ["window_start_ms", "window_end_ms", "type", "area"]
         parts = flagged.where(~F.col("is_late")).groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.max("time_ms").alias("mx")).withColumn("touched", F.lit(True))
-        live_before = _previous(spark, f"{out}/state", batch_id)
+        live_before = _previous(spark, out, "state", batch_id)
         if live_before is not None:
             parts = parts.unionByName(live_before.select(*keys, "n", "mx", F.lit(False).alias("touched")))
         totals = parts.groupBy(*keys).agg(
@@ -145,9 +158,10 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
             F.col("n").cast("long").alias("count"), format_time_ms(F.col("mx")).alias("time"))
         fired = fired.withColumn("doc_id", doc_id(F.col("time"), F.col("type"), F.col("area")))
         fired_obs = Observation(f"report_fired_{batch_id}")
-        upsert(fired.observe(fired_obs, F.count(F.lit(1)).alias("fired")), f"{out}/firings", batch_id)
-        if compact_every and batch_id % compact_every == compact_every - 1:
-            compact(spark, f"{out}/firings", "doc_id", batch_id, keep_log=keep_firings)
+        write_batch(fired.observe(fired_obs, F.count(F.lit(1)).alias("fired")), f"{out}/firings", batch_id)
+        documents = read_batch(spark, f"{out}/firings", batch_id).groupBy("doc_id").agg(
+            *[F.max_by(c, "window_start_ms").alias(c) for c in ("time", "type", "area", "count")])
+        upsert(documents, f"{out}/documents", "doc_id", batch_id)
         # Windows past their lateness can never change again: drop them from state.
         live = totals.where(end1 + F.lit(lateness_ms) > F.lit(wm_after)).select(*keys, "n", "mx")
         write_batch(live, f"{out}/state", batch_id)
@@ -158,23 +172,19 @@ def report_batch(spark: SparkSession, messages: DataFrame, batch_id: int, out: s
               int(fired_obs.get.get("fired", 0)), wm_after, mx, upto)],
             "messages long, rejected long, late long, fired_windows long, watermark_ms long, mx long, upto long")
         write_batch(metrics, f"{out}/metrics", batch_id)
-        expire(spark, f"{out}/state", batch_id - KEEP_STATE)
+        commit(spark, out, batch_id)
+        expire_batch(spark, f"{out}/state", batch_id - KEEP_STATE)
     finally:
         parsed.unpersist()
 
 
 def report_job(source: DataFrame, out: str, checkpoint: str, size_ms: int = REPORT_WINDOW_MS,
                trigger: dict | None = None, out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
-               lateness_ms: int = ALLOWED_LATENESS_MS, compact_every: int = COMPACT_EVERY,
-               keep_firings: bool = True) -> StreamingQuery:
-    """Audit stream -> firings (with document ids; keyed upserts), late rows, rejects.
-
-    ``keep_firings=False`` keeps firings only until a snapshot of the documents replaces them.
-    """
+               lateness_ms: int = ALLOWED_LATENESS_MS) -> StreamingQuery:
+    """Audit stream -> firings, documents (keyed upserts of the firings), late rows, rejects, counters."""
 
     def run(df: DataFrame, batch_id: int) -> None:
-        report_batch(df.sparkSession, df, batch_id, out, size_ms, out_of_orderness_ms, lateness_ms, compact_every,
-                     keep_firings)
+        report_batch(df.sparkSession, df, batch_id, out, size_ms, out_of_orderness_ms, lateness_ms)
 
     return _start(source, run, checkpoint, trigger)
 

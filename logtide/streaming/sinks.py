@@ -1,35 +1,55 @@
-"""Sinks: per-batch idempotent files, store split by type, keyed upsert log.
+"""Sinks: committed batches, store split by type, keyed upserts.
 
 A micro-batch writes only into folders named by its batch id, in overwrite
-mode, so a batch replayed after a failure replaces its own output and the
-result is the same as one clean run. Readers open the folders they need by
-name; a folder that must be there and is not is an error, never an empty state.
+mode. It counts from the moment its mark is there: one small file under the
+job's output that holds the number of the last whole batch and is replaced in
+one rename after everything else has been written. Readers take marked
+batches only, so what a crash left half-written is never seen, and the batch
+that is run again replaces it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.session import delete_path
 
 # Partition column of the store by type: a copy of the type that keeps null and empty apart.
 TYPE_FOLDER = "type_folder"
-
-
-def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the folders ``path/<prefix>N`` (one listing of names); none where the path is missing."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].lstrip("-").isdigit())
-
-
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Batches that have written under ``path``."""
-    return _numbered(spark, path, "batch_id=")
+# File under a job's output that holds the number of its last whole batch.
+MARK = "_committed"
+# Versions of a keyed state that stay for readers that have just opened them.
+KEEP_VERSIONS = 3
+
+
+def committed(spark: SparkSession, out: str) -> int | None:
+    """The last batch that is whole under ``out``; None before the first."""
+    jvm = spark._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{out}/{MARK}")
+    fs = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(mark):
+        return None
+    stream = fs.open(mark)
+    try:
+        return int(stream.readUTF())
+    finally:
+        stream.close()
+
+
+def commit(spark: SparkSession, out: str, batch_id: int) -> None:
+    """Mark ``batch_id`` as whole. Call it last: the mark is written aside and renamed over the old one."""
+    jvm = spark._jvm
+    mark, aside = (jvm.org.apache.hadoop.fs.Path(f"{out}/{name}") for name in (MARK, f"{MARK}.next"))
+    fs = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.create(aside, True)
+    stream.writeUTF(str(batch_id))
+    stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(aside), fs.makeQualified(mark), overwrite)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
@@ -45,11 +65,19 @@ def read_batch(spark: SparkSession, path: str, *batches: int) -> DataFrame:
     return spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in batches])
 
 
-def expire(spark: SparkSession, path: str, upto: int) -> None:
-    """Delete the folders of batches up to ``upto``."""
-    for b in batch_ids(spark, path):
-        if b <= upto:
-            delete_path(spark, f"{path}/batch_id={b}")
+def read_output(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Rows that whole batches wrote to the output ``name`` of the job under ``out``, with ``batch_id``."""
+    last = committed(spark, out)
+    if last is None:
+        raise RuntimeError(f"no batch is committed under {out}")
+    # The schema is a whole batch's: folders that are not marked may hold anything.
+    schema = read_batch(spark, f"{out}/{name}", last).schema
+    return spark.read.schema(schema).parquet(f"{out}/{name}").where(F.col("batch_id") <= last)
+
+
+def expire_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Delete what a batch wrote; a batch that is not there is fine."""
+    delete_path(spark, f"{path}/batch_id={batch_id}")
 
 
 def type_folder(type_: Column) -> Column:
@@ -79,61 +107,30 @@ def read_by_type(spark: SparkSession, path: str, type_: str | None) -> DataFrame
     return spark.read.parquet(path).where(F.col(TYPE_FOLDER) == folder).drop(TYPE_FOLDER)
 
 
-def _snapshot_dir(path: str) -> str:
-    return f"{path.rstrip('/')}_snapshot"
-
-
-def _latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
-    last = Window.partitionBy(key).orderBy(F.col(order).desc())
-    return rows.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn")
-
+def upsert(df: DataFrame, path: str, key: str, batch_id: int) -> None:
+    """Keyed upserts: the state of the batch before and this batch's rows, the latest row of each key
+    (by ``batch_id``; of one batch's rows any one fixed row), written as the state of this batch.
 
-def _upto(spark: SparkSession, path: str, batch: int | None) -> DataFrame | None:
-    """All rows a reader at ``batch`` needs: the newest snapshot before it and the log after that."""
-    snaps = [n for n in _numbered(spark, _snapshot_dir(path), "upto=") if batch is None or n < batch]
-    log = [b for b in batch_ids(spark, path) if (not snaps or b > snaps[-1]) and (batch is None or b <= batch)]
-    rows = spark.read.parquet(f"{_snapshot_dir(path)}/upto={snaps[-1]}") if snaps else None
-    if log:
-        fresh = read_batch(spark, path, *log)
-        rows = rows.unionByName(fresh) if rows is not None else fresh
-    return rows
-
-
-def read_latest(spark: SparkSession, path: str, key: str, order: str = "batch_id") -> DataFrame | None:
-    """Current state of a keyed upsert log: the last written row per key; None where nothing was written.
-
-    Reads the newest snapshot and the log batches after it, by name: the cost
-    follows the keys and recent batches, and batches up to the snapshot may be gone.
-    """
-    rows = _upto(spark, path, None)
-    return None if rows is None else _latest_per_key(rows, key, order)
-
-
-def compact(spark: SparkSession, path: str, key: str, upto_batch: int, order: str = "batch_id",
-            keep_log: bool = False) -> None:
-    """Write the latest row per key over batches <= ``upto_batch`` as a snapshot, then expire what it
-    replaces (older snapshots, and the log unless ``keep_log``).
-
-    Idempotent per ``upto_batch``: the snapshot before, and the log after it,
-    stay until the next compaction, so a batch that is run again finds them.
-    """
-    rows = _upto(spark, path, upto_batch)
-    if rows is None:
-        raise RuntimeError(f"nothing to compact under {path}: neither a snapshot nor a batch up to {upto_batch}")
-    target = _snapshot_dir(path)
-    _latest_per_key(rows, key, order).write.mode("overwrite").parquet(f"{target}/upto={upto_batch}")
-    before = [n for n in _numbered(spark, target, "upto=") if n < upto_batch]
-    if before and not keep_log:
-        expire(spark, path, before[-1])
-    if before:
-        for n in before[:-1]:
-            delete_path(spark, f"{target}/upto={n}")
-
-
-def upsert(df: DataFrame, path: str, batch_id: int) -> None:
-    """Keyed upsert as an append-only log; ``read_latest`` resolves it.
-
-    Each batch costs a write of its own rows only; readers (or a periodic
-    compaction) pick the newest row per key.
+    A new state is written beside the old one and counts when the job marks the batch. One grouping with
+    map-side combine; its cost follows the keys that are stored.
     """
-    write_batch(df, path, batch_id)
+    spark = df.sparkSession
+    rows = df.withColumn("upto", F.lit(batch_id).cast("long"))
+    if batch_id:
+        try:
+            before = spark.read.parquet(f"{path}/version={batch_id - 1}")
+        except AnalysisException as err:
+            raise RuntimeError(f"state of batch {batch_id - 1} under {path} is missing or unreadable; "
+                               f"batch {batch_id} cannot go on without it") from err
+        rows = rows.unionByName(before)
+    whole = F.struct("upto", *[c for c in rows.columns if c not in ("upto", key)])
+    latest = rows.groupBy(key).agg(F.max(whole).alias("row")).select(key, "row.*")
+    latest.select(*rows.columns).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    delete_path(spark, f"{path}/version={batch_id - KEEP_VERSIONS}")
+
+
+def read_latest(spark: SparkSession, out: str, name: str) -> DataFrame | None:
+    """Current rows of the keyed state ``name`` of the job under ``out``: the state of its last whole batch;
+    None before the first."""
+    last = committed(spark, out)
+    return None if last is None else spark.read.parquet(f"{out}/{name}/version={last}").drop("upto")

@@ -13,7 +13,7 @@ HALF_HOUR = 30 * MIN
 
 
 def rows_df(spark, rows):
-    data = [(str(i), b, t, "shelf", k) for i, (b, t, k) in enumerate(rows)]
+    data = [(str(i), b, t, "gate", k) for i, (b, t, k) in enumerate(rows)]
     return spark.createDataFrame(data, "key string, batch_id long, time_ms long, type string, area string")
 
 
@@ -43,7 +43,7 @@ def test_hand_made_case(spark):
     final = sorted((r.window_start_ms, r["count"]) for r in lateness.final_report(cls).collect())
     assert final == [(hms(0, 0, 0), 3), (hms(0, 30, 0), 3)]  # 01:00 window stays open
     docs = sorted((r.doc_id, r["count"]) for r in lateness.firing_documents(lateness.firings(cls)).collect())
-    assert docs == [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
+    assert docs == [("2024-01-01_00:29:00-gate-A", 3), ("2024-01-01_00:31:00-gate-A", 3)]
 
 
 def test_ledger_watermarks(spark):

@@ -20,7 +20,7 @@ def test_hot_key_lateness_matches_replay(spark):
         t = T0 + i * 400 + rnd.randint(0, 300)
         rows.append((b, t, "HOT" if hot else f"K{rnd.randint(0, 40)}"))
     want_late, want_fire = replay(rows, 30_000)
-    df = spark.createDataFrame([(str(i), b, t, "shelf", k) for i, (b, t, k) in enumerate(rows)],
+    df = spark.createDataFrame([(str(i), b, t, "gate", k) for i, (b, t, k) in enumerate(rows)],
                                "key string, batch_id long, time_ms long, type string, area string")
     cls = lateness.classify(df, 30_000)
     assert {int(r.key) for r in lateness.late_rows(cls).collect()} == want_late

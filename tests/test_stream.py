@@ -11,7 +11,7 @@ from logtide.session import new_work_dir
 from logtide.sources.dimension import live_table_provider, snapshot_table_provider
 from logtide.streaming import jobs
 from logtide.streaming.replay import replay
-from logtide.streaming.sinks import batch_ids, compact, expire, read_latest
+from logtide.streaming.sinks import commit, committed, expire_batch, read_latest, read_output, upsert
 from test_lateness import HALF_HOUR, HAND_MADE
 
 
@@ -20,7 +20,7 @@ def audit_messages(spark, rows):
         from datetime import datetime, timezone
 
         dt = datetime.fromtimestamp(t / 1000, tz=timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        return json.dumps({"dt": dt, "type": "shelf", "username": "u", "area": "A"})
+        return json.dumps({"dt": dt, "type": "gate", "username": "u", "area": "A"})
 
     data = [(str(i), text(t), b) for i, (b, t, _) in enumerate(rows)]
     return spark.createDataFrame(data, "key string, value string, batch_id long")
@@ -37,9 +37,9 @@ def test_report_stream_equals_batch_replay(spark):
         "window_start_ms", "type", "area", "fire_batch", "count", "time").collect())
     assert got == want and len(got) == 3
     late = [r.line for r in spark.read.parquet(f"{out}/late").collect()]
-    assert late == [f"{HAND_MADE[5][1]}\tshelf\tA"]
-    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/firings", "doc_id").collect())
-    assert docs == [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
+    assert late == [f"{HAND_MADE[5][1]}\tgate\tA"]
+    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, out, "documents").collect())
+    assert docs == [("2024-01-01_00:29:00-gate-A", 3), ("2024-01-01_00:31:00-gate-A", 3)]
 
 
 def test_report_batch_replayed_gives_same_files(spark):
@@ -78,7 +78,7 @@ def test_clean_stream_rereads_dimension_each_batch(spark):
 def test_empty_micro_batch_keeps_state(spark):
     """A batch whose rows are all rejected moves nothing and loses no window."""
     msgs = audit_messages(spark, HAND_MADE)
-    bad = spark.createDataFrame([("x", '{"dt":"bad","type":"shelf","area":"A"}')], "key string, value string")
+    bad = spark.createDataFrame([("x", '{"dt":"bad","type":"gate","area":"A"}')], "key string, value string")
     out = new_work_dir(spark, "test-empty-batch")
     seq = [msgs.where(F.col("batch_id") == b).drop("batch_id") for b in range(2)]
     seq.append(bad)  # batch 2: nothing accepted
@@ -95,7 +95,7 @@ def test_builtin_watermark_path_emits_closed_windows_once(spark):
     work = new_work_dir(spark, "test-simple-stream")
     src = f"{work}/src"
     rows = spark.createDataFrame(
-        [(b, t, "shelf", "A") for b, t, _ in HAND_MADE], "batch_id long, time_ms long, type string, area string")
+        [(b, t, "gate", "A") for b, t, _ in HAND_MADE], "batch_id long, time_ms long, type string, area string")
     schema = "time_ms long, type string, area string"
     for b in range(5):
         rows.where(F.col("batch_id") == b).drop("batch_id").write.mode("append").json(src)
@@ -123,61 +123,76 @@ def test_report_stream_metrics(spark):
     assert m == {0: (2, 0, 0, 0), 1: (1, 0, 0, 1), 2: (2, 0, 0, 1), 3: (2, 0, 1, 0), 4: (1, 0, 0, 1)}
 
 
-def test_upsert_compaction_keeps_latest_rows(spark):
-    from logtide.streaming.sinks import compact, upsert
+def latest(spark, out):
+    rows = read_latest(spark, out, "docs")
+    return None if rows is None else {r.doc_id: r["count"] for r in rows.collect()}
 
-    path = new_work_dir(spark, "test-upsert") + "/docs"
+
+def test_upserts_are_read_as_of_the_last_marked_batch(spark):
+    out = new_work_dir(spark, "test-upsert")
     rows = [(0, "a", 1), (0, "b", 1), (1, "a", 2), (2, "c", 1), (3, "b", 5), (4, "a", 9)]
+    want = [{"a": 1, "b": 1}, {"a": 2, "b": 1}, {"a": 2, "b": 1, "c": 1}, {"a": 2, "b": 5, "c": 1}, {"a": 9, "b": 5, "c": 1}]
+    assert latest(spark, out) is None
     for b in range(5):
         df = spark.createDataFrame([(k, v) for bb, k, v in rows if bb == b], "doc_id string, count long")
-        upsert(df, path, b)
-    want = {"a": 9, "b": 5, "c": 1}
-    assert {r.doc_id: r["count"] for r in read_latest(spark, path, "doc_id").collect()} == want
-    compact(spark, path, "doc_id", 2)
-    assert {r.doc_id: r["count"] for r in read_latest(spark, path, "doc_id").collect()} == want
-    compact(spark, path, "doc_id", 3)  # builds on the snapshot at 2
-    assert {r.doc_id: r["count"] for r in read_latest(spark, path, "doc_id").collect()} == want
-
-
-def test_report_job_compacts_documents(spark):
-    msgs = audit_messages(spark, HAND_MADE)
-    out = new_work_dir(spark, "test-compact-job")
-    for b in range(5):
-        jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR,
-                          compact_every=2)
-    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/firings", "doc_id").collect())
-    assert docs == [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
-    snaps = sorted({r.upto for r in spark.read.parquet(f"{out}/firings_snapshot").collect()})
-    assert snaps == [1, 3]
-    assert batch_ids(spark, f"{out}/firings") == [0, 1, 2, 3, 4]
-
-
-def test_expired_log_is_read_and_compacted_from_the_snapshot(spark):
+        for _ in range(2):  # a crash between the write and the mark: the batch runs again
+            upsert(df, f"{out}/docs", "doc_id", b)
+            assert latest(spark, out) == (want[b - 1] if b else None)
+        commit(spark, out, b)
+        assert latest(spark, out) == want[b] and committed(spark, out) == b
+    with pytest.raises(RuntimeError, match="state of batch 7"):
+        upsert(df, f"{out}/docs", "doc_id", 8)
+
+
+def half_written(spark, path, batch, finished=False):
+    """What a crash in mid-write leaves: a folder with the writer's own files, or with some of the parts."""
+    folder = f"{path}/batch_id={batch}"
+    if finished:
+        spark.createDataFrame([("other",)], "strange string").write.mode("overwrite").parquet(folder)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_temporary/0/part-0"), True).close()
+
+
+@pytest.mark.parametrize("finished", [False, True])
+def test_report_goes_on_after_a_crash_in_mid_write(spark, finished):
     msgs = audit_messages(spark, HAND_MADE)
-    out = new_work_dir(spark, "test-expired")
+    out = new_work_dir(spark, "test-crash-report")
+    seen = []
     for b in range(5):
-        jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR,
-                          compact_every=2, keep_firings=False)
-    assert batch_ids(spark, f"{out}/firings") == [2, 3, 4]
-    want = [("2024-01-01_00:29:00-shelf-A", 3), ("2024-01-01_00:31:00-shelf-A", 3)]
-    docs = lambda: sorted((r.doc_id, r["count"]) for r in read_latest(spark, f"{out}/firings", "doc_id").collect())
-    assert docs() == want
-    expire(spark, f"{out}/firings", 3)
-    assert docs() == want
-    compact(spark, f"{out}/firings", "doc_id", 4)
-    assert docs() == want
-    expire(spark, f"{out}/firings", 4)
-    assert docs() == want
-    assert read_latest(spark, f"{out}/nowhere", "doc_id") is None
-    with pytest.raises(RuntimeError, match="nothing to compact"):
-        compact(spark, f"{out}/nowhere", "doc_id", 4)
+        for name in ("rejects", "late", "firings", "state", "metrics"):
+            half_written(spark, f"{out}/{name}", b, finished)
+        if b:  # readers see the whole batches before
+            assert [r.batch_id for r in read_output(spark, out, "metrics").orderBy("batch_id").collect()] == list(range(b))
+            assert read_output(spark, out, "firings").count() == seen[-1]
+        jobs.report_batch(spark, msgs.where(F.col("batch_id") == b).drop("batch_id"), b, out, HALF_HOUR)
+        seen.append(read_output(spark, out, "firings").count())
+    assert seen == [0, 1, 2, 2, 3]
+    assert [r.line for r in read_output(spark, out, "late").collect()] == [f"{HAND_MADE[5][1]}\tgate\tA"]
+    docs = sorted((r.doc_id, r["count"]) for r in read_latest(spark, out, "documents").collect())
+    assert docs == [("2024-01-01_00:29:00-gate-A", 3), ("2024-01-01_00:31:00-gate-A", 3)]
+
+
+def test_clean_goes_on_after_a_crash_in_mid_write(spark):
+    out = new_work_dir(spark, "test-crash-clean")
+    raw = '{"dt":"d","countryCode":"US","data":[{"type":"s1"}]}'
+    msgs = spark.createDataFrame([("0", raw)], "key string, value string")
+    work = new_work_dir(spark, "test-crash-mapping")
+    spark.createDataFrame([("A", "US")], "area string, countries string").write.parquet(f"{work}/live")
+    provider = live_table_provider(f"{work}/live", f"{work}/state")
+    for b in range(2):
+        half_written(spark, f"{work}/state", b)
+        for name in ("clean", "quarantine", "metrics"):
+            half_written(spark, f"{out}/{name}", b)
+        jobs.clean_batch(spark, msgs, b, provider, out)
+        jobs.clean_batch(spark, msgs.limit(0), b, provider, out)  # marked: left as it is
+    assert [(r.batch_id, r.area) for r in read_output(spark, out, "clean").orderBy("batch_id").collect()] == [(0, "A"), (1, "A")]
 
 
 def test_missing_state_is_an_error(spark):
     msgs = audit_messages(spark, HAND_MADE)
     out = new_work_dir(spark, "test-missing-state")
     jobs.report_batch(spark, msgs.where("batch_id = 0").drop("batch_id"), 0, out, HALF_HOUR)
-    expire(spark, f"{out}/state", 0)
+    expire_batch(spark, f"{out}/state", 0)
     with pytest.raises(RuntimeError, match="state of batch 0"):
         jobs.report_batch(spark, msgs.where("batch_id = 1").drop("batch_id"), 1, out, HALF_HOUR)
 
