@@ -11,6 +11,11 @@ end - 1 ms. A row is late when its window's end - 1 ms + lateness is already
 reached by wm_before of its batch; lateness is per window, not per row. A row
 that arrives after its window fired (within lateness) fires the window again
 with the full cumulative contents.
+
+With several inputs (``input_col``) each has its own highest event time, 0 before its first
+row, and the watermark is the least of them. An input without rows for more than
+``idle_batches`` batches is idle and doesn't count until it has rows again, so that a silent
+input can't hold the others up for ever. The watermark never goes back.
 """
 
 from __future__ import annotations
@@ -26,16 +31,39 @@ from logtide.operators.scans import asof_lookup, prefix_max
 from logtide.schemas import ALLOWED_LATENESS_MS, OUT_OF_ORDERNESS_MS
 from logtide.session import checkpointed
 
+# Batches without a row after which an input no longer holds the watermark back.
+IDLE_BATCHES = 3
+
 
 def with_window(rows: DataFrame, size_ms: int) -> DataFrame:
     ws = window_start_ms(F.col("time_ms"), size_ms)
     return rows.withColumn("window_start_ms", ws).withColumn("window_end_ms", ws + F.lit(size_ms))
 
 
-def ledger(rows: DataFrame, batch_col: str = "batch_id",
-           out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS) -> DataFrame:
-    """One row per batch: (batch_id, mx, wm_before, wm_after)."""
-    per_batch = rows.groupBy(batch_col).agg(F.max("time_ms").alias("mx"))
+def _least_of_inputs(rows: DataFrame, batch_col: str, input_col: str, idle_batches: int) -> DataFrame:
+    """(batch, mx): for each batch with rows, the least of the inputs' highest times so far, without idle inputs.
+
+    A row (input, batch) counts for the batches up to ``idle_batches`` after it; of the rows of an input that
+    count for a batch the last has the highest running maximum. One row for each input and batch at most.
+    """
+    cells = rows.groupBy(input_col, batch_col).agg(F.max("time_ms").alias("time_ms"))
+    start = cells.agg((F.min(batch_col) - 1).alias(batch_col)).scalar()  # the batch before the first
+    unseen = cells.select(input_col).distinct().select(input_col, start.alias(batch_col), F.lit(0).cast("bigint").alias("time_ms"))
+    cells = cells.unionByName(unseen)
+    run = prefix_max(cells, batch_col, "time_ms", inclusive_col="high", exclusive_col="_before", by=(input_col,))
+    counts = run.select(input_col, F.explode(F.sequence(F.col(batch_col), F.col(batch_col) + idle_batches)).alias(batch_col), "high")
+    counts = counts.groupBy(input_col, batch_col).agg(F.max("high").alias("high"))
+    least = counts.groupBy(batch_col).agg(F.min("high").alias("mx"))
+    return least.join(rows.select(batch_col).distinct(), batch_col, "left_semi")
+
+
+def ledger(rows: DataFrame, batch_col: str = "batch_id", out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
+           input_col: str | None = None, idle_batches: int = IDLE_BATCHES) -> DataFrame:
+    """One row per batch: (batch_id, mx, wm_before, wm_after); mx: highest time, of several inputs the least one."""
+    if input_col is None:
+        per_batch = rows.groupBy(batch_col).agg(F.max("time_ms").alias("mx"))
+    else:
+        per_batch = _least_of_inputs(rows, batch_col, input_col, idle_batches)
     run = prefix_max(per_batch, batch_col, "mx", inclusive_col="_upto", exclusive_col="_before")
     zero = F.lit(0).cast("bigint")
     return run.select(
@@ -67,10 +95,10 @@ def window_schedule(cells: DataFrame, led: DataFrame, batch_col: str = "batch_id
     )
 
 
-def _stored_schedule(cells: DataFrame, batch_col: str, out_of_orderness_ms: int,
-                     lateness_ms: int) -> DataFrame:
+def _stored_schedule(cells: DataFrame, batch_col: str, out_of_orderness_ms: int, lateness_ms: int,
+                     input_col: str | None, idle_batches: int) -> DataFrame:
     """Ledger (one row per batch) and window schedule (one row per window), each stored once."""
-    led = checkpointed(ledger(cells, batch_col, out_of_orderness_ms), "ledger")
+    led = checkpointed(ledger(cells, batch_col, out_of_orderness_ms, input_col, idle_batches), "ledger")
     return checkpointed(window_schedule(cells, led, batch_col, lateness_ms), "window-schedule")
 
 
@@ -80,8 +108,8 @@ def _late_flag(batch_col: str, out_of_orderness_ms: int, lateness_ms: int):
 
 
 def classify(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
-             out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
-             lateness_ms: int = ALLOWED_LATENESS_MS) -> DataFrame:
+             out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS, lateness_ms: int = ALLOWED_LATENESS_MS,
+             input_col: str | None = None, idle_batches: int = IDLE_BATCHES) -> DataFrame:
     """Accepted audit rows -> rows with window bounds, close/late batches and ``is_late``.
 
     Two passes over the rows: one aggregation to (batch, window end) -> max
@@ -91,17 +119,18 @@ def classify(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
     schedule (one row per window) are stored too, so each is computed once.
     """
     windowed = with_window(rows, size_ms)
-    cells = checkpointed(windowed.groupBy(batch_col, "window_end_ms").agg(F.max("time_ms").alias("time_ms")),
+    by = [batch_col] if input_col is None else [batch_col, input_col]
+    cells = checkpointed(windowed.groupBy(*by, "window_end_ms").agg(F.max("time_ms").alias("time_ms")),
                          "ledger-cells")
-    sched = _stored_schedule(cells, batch_col, out_of_orderness_ms, lateness_ms)
+    sched = _stored_schedule(cells, batch_col, out_of_orderness_ms, lateness_ms, input_col, idle_batches)
     return join_dimension(windowed, sched, "window_end_ms", "inner").withColumn(
         "is_late", _late_flag(batch_col, out_of_orderness_ms, lateness_ms))
 
 
 def classify_groups(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
                     keys: tuple[str, ...] = ("type", "area"),
-                    out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS,
-                    lateness_ms: int = ALLOWED_LATENESS_MS) -> DataFrame:
+                    out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS, lateness_ms: int = ALLOWED_LATENESS_MS,
+                    input_col: str | None = None, idle_batches: int = IDLE_BATCHES) -> DataFrame:
     """Like ``classify`` but per (batch, window, key) group instead of per row.
 
     Lateness and firing depend only on (batch, window), so counts per group
@@ -110,10 +139,11 @@ def classify_groups(rows: DataFrame, size_ms: int, batch_col: str = "batch_id",
     everything after it reads that table, never the rows again.
     """
     windowed = with_window(rows, size_ms)
-    groups = checkpointed(windowed.groupBy(batch_col, "window_start_ms", "window_end_ms", *keys).agg(
+    by = [batch_col] if input_col is None else [batch_col, input_col]
+    groups = checkpointed(windowed.groupBy(*by, "window_start_ms", "window_end_ms", *keys).agg(
         F.count(F.lit(1)).alias("n"), F.max("time_ms").alias("mx")), "ledger-groups")
-    cells = groups.groupBy(batch_col, "window_end_ms").agg(F.max("mx").alias("time_ms"))
-    sched = _stored_schedule(cells, batch_col, out_of_orderness_ms, lateness_ms)
+    cells = groups.groupBy(*by, "window_end_ms").agg(F.max("mx").alias("time_ms"))
+    sched = _stored_schedule(cells, batch_col, out_of_orderness_ms, lateness_ms, input_col, idle_batches)
     return join_dimension(groups, sched, "window_end_ms", "inner").withColumn(
         "is_late", _late_flag(batch_col, out_of_orderness_ms, lateness_ms))
 

@@ -17,18 +17,18 @@ TIME_CHUNK_MS = 3_600_000
 
 
 def prefix_max(df: DataFrame, order_col: str, value_col: str, *, inclusive_col: str,
-               exclusive_col: str, chunk: int = LEDGER_CHUNK) -> DataFrame:
-    """Add running max of ``value_col`` over rows ordered by ``order_col``.
+               exclusive_col: str, chunk: int = LEDGER_CHUNK, by: tuple[str, ...] = ()) -> DataFrame:
+    """Add running max of ``value_col`` over rows ordered by ``order_col``, within each value of ``by``.
 
     ``inclusive_col`` covers rows <= the current one, ``exclusive_col`` rows
-    strictly before it (NULL for the first). ``order_col`` must be unique.
+    strictly before it (NULL for the first). ``order_col`` must be unique (with ``by``).
     """
     d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk)).cast("long"))
-    per_chunk = d.groupBy("_chunk").agg(F.max(value_col).alias("_chunk_max"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select("_chunk", F.max("_chunk_max").over(before).alias("_carry"))
-    within = Window.partitionBy("_chunk").orderBy(order_col)
-    out = d.join(carry, "_chunk").select(
+    per_chunk = d.groupBy(*by, "_chunk").agg(F.max(value_col).alias("_chunk_max"))
+    before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select(*by, "_chunk", F.max("_chunk_max").over(before).alias("_carry"))
+    within = Window.partitionBy(*by, "_chunk").orderBy(order_col)
+    out = d.join(carry, [*by, "_chunk"]).select(
         *df.columns,
         F.greatest(F.max(value_col).over(within.rowsBetween(Window.unboundedPreceding, 0)),
                    F.col("_carry")).alias(inclusive_col),

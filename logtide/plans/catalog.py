@@ -268,6 +268,28 @@ def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lateness.firing_documents(lateness.firings(_compressed_groups(spark, sf_dir)))
 
 
+_INPUT_FIRINGS = f"WITH {o.MULTI_INPUT}, {o.input_ledger_rows('src', SHORT_WINDOW_MS, lateness.IDLE_BATCHES)} {o.FIRED}"
+
+
+def _multi_input_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_ops.accepted(audit_ops.parse_audit(fx.multi_input_audit_log(spark, sf_dir)))
+
+
+@register("report_multi_source", f"""{_INPUT_FIRINGS}
+SELECT window_start_ms, type, area, fire_batch, count, {o.fmt('cmx')} AS time FROM firings""")
+def report_multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window firing under the least watermark of three inputs, one of them silent at times."""
+    return lateness.firings(lateness.classify_groups(_multi_input_rows(spark, sf_dir), SHORT_WINDOW_MS, input_col="input"))
+
+
+@register("late_multi_source", f"""WITH {o.MULTI_INPUT}, {o.input_ledger_rows('src', SHORT_WINDOW_MS, lateness.IDLE_BATCHES)}
+SELECT key, batch_id, time_ms, type, area FROM cls WHERE is_late""")
+def late_multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows too late for the least watermark of three inputs."""
+    return lateness.late_rows(lateness.classify(_multi_input_rows(spark, sf_dir), SHORT_WINDOW_MS, input_col="input")).select(
+        "key", "batch_id", "time_ms", "type", "area")
+
+
 # ------------------------------------------------------------ sinks, quality
 
 @register("store_by_type", f"""

@@ -239,6 +239,16 @@ def compressed_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def multi_input_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compressed audit log from three inputs: runs of five events each; input 2 is silent in every other
+    run of 20 batches (its events come from input 0 then), and input 1 brings its events two batches later."""
+    a = compressed_audit_log(spark, sf_dir)
+    run = F.floor(F.col("key").cast("long") / 5) % 3
+    silent = (run == 2) & (F.floor(F.col("batch_id") / 20) % 2 == 1)
+    a = a.withColumn("input", F.when(silent, F.lit(0)).otherwise(run).cast("int"))
+    return a.withColumn("batch_id", F.col("batch_id") + F.when(F.col("input") == 1, 2).otherwise(0))
+
+
 def stream_audit_log(spark: SparkSession, sf_dir: str, n_batches: int = 8) -> DataFrame:
     """Audit log cut into ``n_batches`` arrival batches by event id; every 50th
     event arrives one and a half batches late (clamped to the last batch).

@@ -118,6 +118,30 @@ src AS (
          CAST((event_id + CASE WHEN event_id % 11 = 0 THEN 45 WHEN event_id % 13 = 0 THEN 90 ELSE 0 END) // 7 AS BIGINT) AS batch_id
   FROM events)"""
 
+MULTI_INPUT = COMPRESSED.replace("src AS", "one AS") + """,
+inputs AS (SELECT *, CASE WHEN (event_id // 5) % 3 = 2 AND (batch_id // 20) % 2 = 1 THEN 0 ELSE (event_id // 5) % 3 END AS input FROM one),
+src AS (SELECT * REPLACE (CAST(batch_id + CASE WHEN input = 1 THEN 2 ELSE 0 END AS BIGINT) AS batch_id) FROM inputs)"""
+
+
+def input_ledger_rows(source: str, size_ms: int, idle: int) -> str:
+    """Like ``ledger_rows``, with the least of the highest times of the inputs that aren't idle."""
+    return f"""
+win AS (SELECT *, time_ms - ((time_ms % {size_ms}) + {size_ms}) % {size_ms} AS ws,
+               time_ms - ((time_ms % {size_ms}) + {size_ms}) % {size_ms} + {size_ms} AS we FROM {source}),
+grid AS (SELECT b.batch_id, i.input, (SELECT min(batch_id) FROM win) - 1 AS start
+         FROM (SELECT DISTINCT batch_id FROM win) b, (SELECT DISTINCT input FROM win) i),
+high AS (SELECT g.batch_id, g.input, coalesce(max(c.batch_id), any_value(g.start)) AS last, greatest(coalesce(max(c.mx), 0), 0) AS mx
+         FROM grid g LEFT JOIN (SELECT input, batch_id, max(time_ms) AS mx FROM win GROUP BY ALL) c
+              ON c.input = g.input AND c.batch_id <= g.batch_id GROUP BY g.batch_id, g.input),
+least_of AS (SELECT batch_id, min(mx) AS mx FROM high WHERE batch_id - last <= {idle} GROUP BY batch_id),
+led AS (SELECT batch_id,
+          greatest(coalesce(max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) - 10000 AS wm_before,
+          greatest(max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) - 10000 AS wm_after
+        FROM least_of),
+cls AS (SELECT win.*, led.wm_before, (we - 1 + 30000 <= led.wm_before) AS is_late
+        FROM win JOIN led USING (batch_id))"""
+
+
 FIRED = """,
 ok AS (SELECT * FROM cls WHERE NOT is_late),
 closeb AS (SELECT e.we, (SELECT min(batch_id) FROM led WHERE wm_after >= e.we - 1) AS close_b

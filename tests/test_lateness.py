@@ -83,6 +83,19 @@ def test_matches_record_by_record_replay(spark, rows):
         by_win[(ws, k)] = n
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=row_strategy, inputs=st.lists(st.integers(0, 2), min_size=60, max_size=60), idle=st.integers(0, 3))
+def test_inputs_match_record_by_record_replay(spark, rows, inputs, idle):
+    inputs = inputs[:len(rows)]
+    want_late, want_fire = replay(rows, 30_000, inputs=inputs, idle=idle)
+    df = rows_df(spark, rows).join(spark.createDataFrame([(str(i), x) for i, x in enumerate(inputs)], "key string, input int"), "key")
+    cls = lateness.classify(df, 30_000, input_col="input", idle_batches=idle)
+    assert {int(r.key) for r in lateness.late_rows(cls).collect()} == want_late
+    grp = lateness.classify_groups(df, 30_000, input_col="input", idle_batches=idle)
+    got = sorted((r.window_start_ms, r.area, r.fire_batch, r["count"]) for r in lateness.firings(grp).collect())
+    assert got == sorted((ws, k, b, n) for ws, k, b, n, _ in want_fire)
+
+
 def test_late_line_prints_null_like_java(spark):
     df = spark.createDataFrame([(5, None, "A")], "time_ms long, type string, area string")
     from logtide.functions.text import late_line
