@@ -37,14 +37,16 @@ def _published(versions: DataFrame) -> DataFrame:
     return versions.where(F.col("area").isNotNull() & (F.size(split_countries(F.col("countries"))) > 0))
 
 
-def latest_nonempty_version(versions: DataFrame, at_batch: int) -> DataFrame:
-    """Snapshot guard for one batch: the newest non-empty snapshot at or before it.
+def latest_nonempty_version(versions: DataFrame, at_batch: int | None = None) -> DataFrame | None:
+    """Snapshot guard: the newest non-empty snapshot (at or before ``at_batch``), as (country_code, area).
 
-    ``versions`` holds (version, area, countries); an empty snapshot is a
-    version whose rows carry no country. Only the snapshot in force is
-    inverted. Returns (country_code, area).
+    ``versions`` holds (version, area, countries); an empty snapshot is a version whose rows carry no
+    country. Only the snapshot in force is inverted. Without a bound, None where there is no such snapshot.
     """
-    newest = _published(versions.where(F.col("version") <= at_batch)).agg(F.max("version")).first()[0]
+    known = versions if at_batch is None else versions.where(F.col("version") <= at_batch)
+    newest = _published(known).agg(F.max("version")).first()[0]
+    if newest is None and at_batch is None:
+        return None
     return invert_mapping(versions.where(F.col("version") == F.lit(newest)))
 
 

@@ -20,9 +20,11 @@ from logtide.operators import report as report_ops
 from logtide.plans import fixtures as fx
 from logtide.plans import oracles as o
 from logtide.schemas import REPORT_WINDOW_MS, SHORT_WINDOW_MS
-from logtide.session import new_work_dir, query_run, session_id, use_utc
-from logtide.sources.dimension import empty_snapshots, live_table_provider, snapshot_table_provider
+from logtide.session import checkpointed, new_work_dir, query_run, session_id, use_utc
+from logtide.sources.dimension import empty_snapshots, snapshot_table_provider
+from logtide.sources.snapshots import read_snapshots
 from logtide.streaming import jobs
+from logtide.streaming.counters import Counters
 from logtide.streaming.replay import replay
 from logtide.streaming.sinks import TYPE_FOLDER, read_by_type, read_latest, read_output, write_by_type
 
@@ -377,22 +379,50 @@ def _clean_stream_out(spark: SparkSession, sf_dir: str) -> str:
 def _live_stream_out(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         work = new_work_dir(spark, "live-stream", keep=True)
-        live = f"{work}/live"
+        polled = f"{work}/snapshots"
         versions = fx.mapping_versions(spark, sf_dir)
 
         def publish(batch: int) -> None:
-            """What keeps the live table: it holds the newest snapshot only, which may be empty."""
+            """What keeps the dimension: a new snapshot now and then, which may be empty."""
             if batch in fx.VERSION_BATCHES:
                 versions.where((F.col("version") == batch) & F.col("area").isNotNull()).select(
-                    "area", "countries").write.mode("overwrite").parquet(live)
+                    "area", "countries").write.mode("overwrite").parquet(f"{polled}/version={batch}")
 
-        provider = live_table_provider(live, f"{work}/mapping-in-force")
-        return replay(spark, fx.raw_log(spark, sf_dir), work,
-                      lambda src, out, ckpt, trig: jobs.clean_job(src, provider, out, ckpt, trig), before=publish)
+        return replay(spark, fx.raw_log(spark, sf_dir), work, lambda src, out, ckpt, trig: jobs.connected_clean_job(
+            src, read_snapshots(spark, polled), out, ckpt, trig), before=publish)
 
     return _replayed(spark, sf_dir, "live", build)
 
 
+_COUNTERS: dict[str, Counters] = {}
+
+
+def _file_stream_out(spark: SparkSession, sf_dir: str) -> str:
+    """Replay of the clean job through the file sink; each start of the query takes the mapping then in force."""
+
+    def build() -> str:
+        work = new_work_dir(spark, "file-stream", keep=True)
+        versions = checkpointed(fx.mapping_versions(spark, sf_dir), "mapping-versions")
+        counters = Counters("clean_files")
+        starts = iter(range(1 << 30))
+
+        def job(src, out, ckpt, trig):
+            q = jobs.clean_file_job(src, area_ops.latest_nonempty_version(versions, next(starts)), out, ckpt, trig)
+            q.awaitTermination()
+            counters.wait(q.runId)
+            return q
+
+        spark.streams.addListener(counters)
+        try:
+            out = replay(spark, fx.raw_log(spark, sf_dir), work, job)
+        finally:
+            spark.streams.removeListener(counters)
+        _COUNTERS[out] = counters
+        return out
+
+    return _replayed(spark, sf_dir, "files", build)
+
+
 def _report_stream_out(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         work = new_work_dir(spark, "report-stream", keep=True)
@@ -411,10 +441,12 @@ LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code"""
 
 def _stream_records(spark: SparkSession, out: str) -> DataFrame:
     """What the clean job wrote: all fields but the country read back from the JSON record."""
-    rows = read_output(spark, out, "clean")
+    return _fields(read_output(spark, out, "clean"), "key", "item_pos", F.col("batch_id").cast("int").alias("batch_id"), "country_code")
+
+
+def _fields(rows: DataFrame, *columns) -> DataFrame:
     back = F.from_json("record", "type string, score double, level string, area string, dt string")
-    return rows.select("key", "item_pos", F.col("batch_id").cast("int").alias("batch_id"), "country_code",
-                       back["area"].alias("area"), back["type"].alias("type"), back["dt"].alias("dt"),
+    return rows.select(*columns, back["area"].alias("area"), back["type"].alias("type"), back["dt"].alias("dt"),
                        back["score"].alias("score"), back["level"].alias("level"))
 
 
@@ -426,10 +458,33 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_clean_live", _STREAM_ITEMS)
 def stream_clean_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a live mapping table that holds the current mapping only, and is empty at times."""
+    """The same with the mapping as a second stream, polled from snapshots that are empty at times."""
     return _stream_records(spark, _live_stream_out(spark, sf_dir))
 
 
+@register("stream_clean_files", f"""
+WITH {o.ITEMS}, {o.VERSIONS}
+SELECT i.key, i.item_pos, i.country_code, v.area, i.type, i.dt, i.score, i.level
+FROM items i JOIN inforce f ON i.batch_id = f.batch_id
+LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code""")
+def stream_clean_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean job through Spark's file sink, restarted once per order year; files of whole batches only."""
+    rows = spark.read.parquet(_file_stream_out(spark, sf_dir))
+    return _fields(rows, "key", "item_pos", "country_code")
+
+
+@register("stream_file_counters", f"""
+WITH {o.ITEMS}, {o.VERSIONS},
+mapped AS (SELECT i.batch_id, v.area FROM items i JOIN inforce f ON i.batch_id = f.batch_id
+           LEFT JOIN vmap v ON v.version = f.version AND v.country_code = i.country_code)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, 'items' AS metric, count(*) AS value FROM mapped GROUP BY batch_id
+UNION ALL SELECT batch_id, 'unmapped_items', count(*) FILTER (area IS NULL) FROM mapped GROUP BY batch_id""")
+def stream_file_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the running file job, as its listener received them: one row per batch and counter."""
+    rows = _COUNTERS[_file_stream_out(spark, sf_dir)].rows()
+    return spark.createDataFrame([r[1:] for r in rows], "batch_id long, metric string, value long")
+
+
 _STREAM_FIRINGS = f"WITH {o.STREAM_AUDIT}, {o.ledger_rows('src', REPORT_WINDOW_MS)} {o.FIRED}"
 
 
@@ -461,6 +516,19 @@ def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, out, "documents").select("doc_id", "time", "type", "area", "count")
 
 
+@register("stream_report_append", f"""WITH {o.STREAM_AUDIT}, {o.ledger_rows('src', REPORT_WINDOW_MS)},
+shut AS (SELECT * FROM cls WHERE we > wm_before AND we <= (SELECT max(wm_after) FROM led))
+{o.report(REPORT_WINDOW_MS, 'shut')}""")
+def stream_report_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows by the built-in watermark in append mode: each once, without rows that came after its close."""
+    def build() -> str:
+        work = new_work_dir(spark, "append-stream", keep=True)
+        return replay(spark, fx.stream_audit_log(spark, sf_dir).drop("event_id"), work,
+                      lambda src, out, ckpt, trig: jobs.append_report_job(src, out, ckpt, REPORT_WINDOW_MS, trig))
+
+    return spark.read.parquet(_replayed(spark, sf_dir, "append", build))
+
+
 @register("stream_metrics", f"""
 WITH {o.ITEMS}, {o.VERSIONS}, {o.STREAM_AUDIT}, {o.ledger_rows('src', REPORT_WINDOW_MS)} {o.FIRED},
 mapped AS (SELECT i.batch_id, v.area FROM items i JOIN inforce f ON i.batch_id = f.batch_id

@@ -1,6 +1,6 @@
-"""The two streaming jobs, built on ``foreachBatch``.
+"""The streaming jobs; those that keep state between batches are built on ``foreachBatch``.
 
-Both run the batch operators on each micro-batch. Everything a batch writes
+They run the batch operators on each micro-batch. Everything a batch writes
 lives under folders named by its batch id and is written in overwrite mode; the
 batch counts from its mark on, which is written last. A batch that is run again
 after a crash replaces what it had written; one that had got its mark is left as
@@ -20,7 +20,7 @@ from logtide.functions.text import doc_id, late_line
 from logtide.functions.timefmt import format_time_ms
 from logtide.operators import audit as audit_ops
 from logtide.operators import clean as clean_ops
-from logtide.operators.area import enrich_area
+from logtide.operators.area import enrich_area, invert_mapping, latest_nonempty_version
 from logtide.operators.lateness import with_window
 from logtide.schemas import ALLOWED_LATENESS_MS, OUT_OF_ORDERNESS_MS, REPORT_WINDOW_MS
 from logtide.sources.dimension import Provider
@@ -81,6 +81,52 @@ def clean_job(source: DataFrame, provider: Provider, out: str, checkpoint: str,
     return _start(source, run, checkpoint, trigger)
 
 
+def connect(messages: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Messages and dimension snapshots as one stream: rows of either have nulls in the other's columns."""
+    return messages.select("key", "value").unionByName(
+        snapshots.select("version", "area", "countries"), allowMissingColumns=True)
+
+
+def connected_clean_job(messages: DataFrame, snapshots: DataFrame, out: str, checkpoint: str,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """The clean job with the mapping as a second stream (version, area, countries) of the same query.
+
+    Both sources' offsets are in one checkpoint. A batch takes the newest non-empty snapshot that came with it,
+    else the mapping that the batch before used, which is stored under ``out``/mapping.
+    """
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        if _done(spark, out, batch_id):
+            return
+        came = df.where(F.col("version").isNotNull()).select("version", "area", "countries")
+        now = latest_nonempty_version(came)
+        if now is None:
+            before = _previous(spark, out, "mapping", batch_id)
+            now = invert_mapping(came) if before is None else before
+        write_batch(now, f"{out}/mapping", batch_id)
+        in_force = read_batch(spark, f"{out}/mapping", batch_id).drop("batch_id")
+        clean_batch(spark, df.where(F.col("version").isNull()).select("key", "value"), batch_id, lambda *_: in_force, out)
+        expire_batch(spark, f"{out}/mapping", batch_id - KEEP_STATE)
+
+    return _start(connect(messages, snapshots), run, checkpoint, trigger)
+
+
+def clean_file_job(source: DataFrame, country_area: DataFrame, out: str, checkpoint: str,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Raw log stream -> clean records by type, through Spark's own file sink: its log names the files of whole
+    batches, and Spark's readers take only those. ``country_area`` is the mapping at the start of the query.
+
+    Counters are observed on the way (``clean_files``); a ``Counters`` listener receives them.
+    """
+    parsed = clean_ops.parse_messages(source)
+    items = enrich_area(clean_ops.flatten(parsed), country_area).observe(
+        "clean_files", F.count(F.lit(1)).alias("items"), F.count_if(F.col("area").isNull()).alias("unmapped_items"))
+    writer = (by_type(clean_ops.finish(items)).writeStream.format("parquet").outputMode("append").partitionBy(TYPE_FOLDER)
+              .option("path", out).option("checkpointLocation", checkpoint))
+    return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
+
+
 def _previous(spark: SparkSession, out: str, name: str, batch_id: int) -> DataFrame | None:
     """Rows the previous micro-batch stored (batch ids are consecutive); None before the first.
 
@@ -201,3 +247,13 @@ def simple_report_stream(rows: DataFrame, size_ms: int = REPORT_WINDOW_MS,
             .withWatermark("event_time", f"{out_of_orderness_ms} milliseconds")
             .groupBy(F.window("event_time", f"{size_ms} milliseconds"), "type", "area")
             .agg(F.count(F.lit(1)).alias("count"), F.max("time_ms").alias("max_ms")))
+
+
+def append_report_job(source: DataFrame, out: str, checkpoint: str, size_ms: int = REPORT_WINDOW_MS,
+                      trigger: dict | None = None, out_of_orderness_ms: int = OUT_OF_ORDERNESS_MS) -> StreamingQuery:
+    """Audit stream -> report of closed windows, each once, by the built-in path and the file sink."""
+    report = simple_report_stream(audit_ops.accepted(audit_ops.parse_audit(source)), size_ms, out_of_orderness_ms).select(
+        F.unix_millis("window.start").alias("window_start_ms"), "type", "area", "count", format_time_ms(F.col("max_ms")).alias("time"))
+    writer = (report.writeStream.format("parquet").outputMode("append")
+              .option("path", out).option("checkpointLocation", checkpoint))
+    return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()

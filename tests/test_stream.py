@@ -218,6 +218,47 @@ def test_live_mapping_keeps_the_last_one_that_was_not_empty(spark):
     assert provide(9) == [("US", "B")]
 
 
+def test_polled_snapshots_go_on_at_the_stored_offset(spark):
+    """Restarts take only new snapshots; an empty one, one without a mark, and no new one change nothing."""
+    from logtide.sources.snapshots import read_snapshots
+    from logtide.sources.topics import read_staged, stage
+
+    work = new_work_dir(spark, "test-polled")
+    raw = '{"dt":"d","countryCode":"US","data":[{"type":"s"}]}'
+
+    def publish(version, rows):
+        spark.createDataFrame(rows, "area string, countries string").write.parquet(f"{work}/snapshots/version={version}")
+
+    def batch(n):
+        stage(spark.createDataFrame([(str(n), raw)], "key string, value string"), f"{work}/src")
+        q = jobs.connected_clean_job(read_staged(spark, f"{work}/src"), read_snapshots(spark, f"{work}/snapshots"),
+                                     f"{work}/out", f"{work}/ckpt", {"availableNow": True})
+        q.awaitTermination()
+
+    batch(0)  # no snapshot yet
+    publish(3, [("A", "US")])
+    publish(4, [("B", "US,TW")])
+    batch(1)
+    publish(6, [])
+    batch(2)
+    half_written(spark, f"{work}/snapshots", 0)
+    spark._jvm.org.apache.hadoop.fs.Path(work).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{work}/snapshots/version=8"))
+    batch(3)
+    publish(9, [("C", "US")])
+    batch(4)
+    rows = read_output(spark, f"{work}/out", "clean").collect()
+    assert sorted((r.key, r.area) for r in rows) == [("0", None), ("1", "B"), ("2", "B"), ("3", "B"), ("4", "C")]
+
+
+def test_listener_counts_each_batch_once(spark, sf001):
+    from logtide.plans.catalog import QUERIES
+
+    rows = QUERIES["stream_file_counters"](spark, sf001).collect()
+    assert len({(r.batch_id, r.metric) for r in rows}) == len(rows) == 14
+    assert sum(r.value for r in rows if r.metric == "items") == QUERIES["stream_clean_files"](spark, sf001).count()
+
+
 def test_replay_refuses_gaps(spark):
     msgs = spark.createDataFrame([("0", "x", 0), ("1", "y", 2)], "key string, value string, batch_id long")
     with pytest.raises(ValueError, match="gap"):
