@@ -28,11 +28,12 @@ def one_json_value(value: Column) -> Column:
 
     The parser stops after the first value, so the text is read inside two wrappings: as the only
     element of an array and as the only field of an object. What follows the value must start with what
-    closes its wrapping to go unnoticed, and no text starts with both brackets.
+    closes its wrapping to go unnoticed, and no text starts with both brackets. Elements and keys are only
+    counted, so neither reading builds values.
     """
-    element = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
-    field = F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "map<string,string>")
-    return F.coalesce((F.size(element) == 1) & (F.size(field) == 1), F.lit(False))
+    elements = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
+    fields = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), value, F.lit("}"))))
+    return F.coalesce((elements == 1) & (fields == 1), F.lit(False))
 
 
 def last_value_wins(item: Column) -> Column:

@@ -31,16 +31,6 @@ def read_topic(spark: SparkSession, servers: str, topic: str, group: str | None
                                 F.col("value").cast("string").alias("value"))
 
 
-def write_topic(df: DataFrame, servers: str, topic: str, checkpoint: str):
-    """Streaming text records to a topic. Spark documents this sink as at-least-once."""
-    return (df.select(F.col("value").cast("string").alias("value"))
-            .writeStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("topic", topic)
-            .option("checkpointLocation", checkpoint)
-            .start())
-
-
 def read_staged(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming (key, value) records from JSON-lines files dropped into ``path``."""
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
