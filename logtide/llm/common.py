@@ -45,3 +45,11 @@ def fold_ratio(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table doesn't have (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.common import stored, text_of
+from logtide.llm.common import stored, text_of, unused
 
 KEY_BITS = 64
 #: Keys per bucket before it splits.
@@ -131,6 +131,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents that stay, with all their columns; one row where the same id and text repeat."""
     kept = exact_dedup(docs, id_col, text_col).where("kept").select(
         F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha"))
-    rows = docs.withColumn("_sha", F.sha2(normalised(text_of(text_col)), 256))
-    same = rows.join(kept, rows["_sha"].eqNullSafe(kept["_sha"]) & rows[id_col].eqNullSafe(kept["_keep"]), "left_semi")
-    return same.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    mark = unused(docs, "_sha")
+    rows = docs.withColumn(mark, F.sha2(normalised(text_of(text_col)), 256))
+    same = rows.join(kept, rows[mark].eqNullSafe(kept["_sha"]) & rows[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+    return same.dropDuplicates([id_col, mark]).drop(mark)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.bytes_np import LOWER, text_bytes
-from logtide.llm.common import text_of, with_python
+from logtide.llm.common import text_of, with_python, unused
 
 BITS, DIM = 16, 16
 #: Bound of the training sample: rows per language (expected; rows are drawn by a hash).
@@ -252,5 +252,6 @@ def accepted(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
     """The documents whose language is not rejected, with all their columns."""
     bad = identify(docs, labelled, id_col, text_col, **options).where("rejected").select(
         F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    rows = docs.withColumn("_th", F.xxhash64(text_of(text_col)))
-    return rows.join(bad, rows[id_col].eqNullSafe(bad["_id"]) & (rows["_th"] == bad["_th"]), "left_anti").drop("_th")
+    mark = unused(docs, "_th")
+    rows = docs.withColumn(mark, F.xxhash64(text_of(text_col)))
+    return rows.join(bad, rows[id_col].eqNullSafe(bad["_id"]) & (rows[mark] == bad["_th"]), "left_anti").drop(mark)

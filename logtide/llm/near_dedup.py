@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtide.llm.bytes_np import mix, shingles, text_bytes, word_hashes
-from logtide.llm.common import stored, text_of, with_python
+from logtide.llm.common import stored, text_of, with_python, unused
 
 #: Words in a shingle, and the likeness from which two texts are near-duplicates.
 WIDTH, LIKENESS = 5, 0.8
@@ -328,6 +328,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, one of each group, with all their columns."""
     kept = near_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_keep"), F.col("text_hash").alias("_th"))
-    rows = docs.withColumn("_th", F.xxhash64(text_of(text_col)))
-    stay = rows.join(kept, rows["_th"].eqNullSafe(kept["_th"]) & rows[id_col].eqNullSafe(kept["_keep"]), "left_semi")
-    return stay.dropDuplicates([id_col, "_th"]).drop("_th")
+    mark = unused(docs, "_th")
+    rows = docs.withColumn(mark, F.xxhash64(text_of(text_col)))
+    stay = rows.join(kept, rows[mark].eqNullSafe(kept["_th"]) & rows[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+    return stay.dropDuplicates([id_col, mark]).drop(mark)

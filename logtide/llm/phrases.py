@@ -136,18 +136,54 @@ def _places(symbols: np.ndarray, row: np.ndarray, words: np.ndarray, shorter: np
     return at, name
 
 
+#: Buckets whose counts travel together.
+TOGETHER = 1 << 12
+
+
 def _buckets(words, shorter, size: int, bits: int):
+    """Counts of phrase hashes in buckets, a row for each run of buckets: (part, places of 2 bytes, counts of 1).
+
+    A bucket's count in a row stops at 255, as one that is larger is over every allowed minimum.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for symbols, row in _opened(batch):
-                _, name = _places(symbols, row, words.value, shorter and shorter.value, size)
-                bucket, n = np.unique((name & np.uint64((1 << bits) - 1)).astype(np.int32), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n.astype(np.int64))], ["bucket", "n"])
+            names = [_places(symbols, row, words.value, shorter and shorter.value, size)[1] for symbols, row in _opened(batch)]
+            bucket, n = np.unique((np.concatenate(names) & np.uint64((1 << bits) - 1)).astype(np.int32), return_counts=True)
+            part = bucket // TOGETHER
+            starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+            ends = np.append(starts, len(part)).astype(np.int64)
+            places, counts = (bucket % TOGETHER).astype("<u2").tobytes(), np.minimum(n, 255).astype(np.uint8).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(part[starts]), _cuts(places, 2 * ends), _cuts(counts, ends)], ["part", "places", "counts"])
         _release()
 
     return run
 
 
+def _cuts(data: bytes, ends: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _heavy(min_count: int):
+    """Buckets of sorted rows (part, places, counts) that reach the minimum; one run of buckets is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, np.zeros(TOGETHER, np.int64)
+
+        def reached() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total >= min_count) + np.int64(part or 0) * TOGETHER)], ["name"])
+
+        for batch in batches:
+            for p, places, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "places", "counts")), strict=True):
+                if p != part:
+                    yield reached()
+                    part, total = p, np.zeros(TOGETHER, np.int64)
+                total[np.frombuffer(places, "<u2")] += np.frombuffer(counts, np.uint8)
+        yield reached()
+
+    return run
+
+
 def _candidates(words, shorter, heavy, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,8 +210,8 @@ def _build(size: int):
     return run
 
 
-def _walk(trie, size: int):
-    """Counts of a trie's phrases in the blocks of this task: (s1, s2, ..., name, n)."""
+def _walk(trie):
+    """Counts of a trie's phrases in the blocks of this task: (path, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, paths, automaton = trie.value
@@ -184,11 +220,25 @@ def _walk(trie, size: int):
             for own, row in _opened(batch):
                 at = np.minimum(np.searchsorted(symbols, own), len(symbols) - 1)
                 local = np.append(np.where(symbols[at] == own, at, -1), -1).astype(np.int32)
-                total += automaton.count(local[row], size, len(paths))
+                total += automaton.count(local[row], paths.shape[1], len(paths))
         some = np.flatnonzero(total)
-        parts = [symbols[paths[some, k]] for k in range(size)]
-        yield pa.RecordBatch.from_arrays([*[pa.array(p.view(np.int64)) for p in parts], pa.array(reduce(_joined, parts).view(np.int64)),
-                                          pa.array(total[some])], [*[f"s{k + 1}" for k in range(size)], "name", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["path", "n"])
+
+    return run
+
+
+def _name(trie):
+    """Counted paths (path, n) with their symbols and the phrase's name: (s1, s2, ..., name, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols, paths, _ = trie.value
+        size = paths.shape[1]
+        for batch in batches:
+            where = paths[batch.column("path").to_numpy()]
+            parts = [symbols[where[:, k]] for k in range(size)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(p.view(np.int64)) for p in parts], pa.array(reduce(_joined, parts).view(np.int64)), batch.column("n")],
+                [*[f"s{k + 1}" for k in range(size)], "name", "n"])
 
     return run
 
@@ -215,9 +265,9 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, size: int, shorter: Da
     packed = blocks.select("symbols", "low", "high")
     word_bits = sc.broadcast(bitmap(words, bits))
     shorter_bits = sc.broadcast(bitmap(shorter, bits)) if size > 2 else None
-    buckets = packed.mapInArrow(_buckets(word_bits, shorter_bits, size, bits), "bucket int, n long")
-    buckets = buckets.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    heavy = sc.broadcast(bitmap(buckets.select(F.col("bucket").cast("long").alias("name")), bits))
+    buckets = packed.mapInArrow(_buckets(word_bits, shorter_bits, size, bits), "part int, places binary, counts binary")
+    buckets = buckets.repartition("part").sortWithinPartitions("part").mapInArrow(_heavy(min(min_count, 255)), "name long")
+    heavy = sc.broadcast(bitmap(buckets, bits))
     found = packed.mapInArrow(_candidates(word_bits, shorter_bits, heavy, size), typed).distinct()
     found = stored(found, f"candidates-{size}")
     shards = max(1, -(-found.count() // trie_phrases))
@@ -227,8 +277,9 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, size: int, shorter: Da
     for shard in range(shards):
         for row in tries.where(F.col("shard") == shard).collect():  # one, of bounded size
             trie = sc.broadcast(pickle.loads(row.trie))
-            counts.append(stored(packed.mapInArrow(_walk(trie, size), f"{typed}, name long, n long")
-                                 .groupBy(*parts, "name").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count), f"counts-{size}"))
+            counted = packed.mapInArrow(_walk(trie), "path int, n long").groupBy("path").agg(F.sum("n").alias("n"))
+            counted = counted.where(F.col("n") >= min_count).mapInArrow(_name(trie), f"{typed}, name long, n long")
+            counts.append(stored(counted, f"counts-{size}"))
     if not counts:
         return spark.createDataFrame([], f"{typed}, name long, n long")
     return reduce(DataFrame.unionByName, counts)

@@ -7,12 +7,14 @@ consumers compare from the operator's own output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logtide.llm import bpe_dp, chat_format, direct_codes, exact_dedup, importance, language_id, lm_mixing, near_dedup, ngram_join, phrases, soft_mixing, toxicity, winnowing
 from logtide.llm.common import documents, fold_ratio
+from logtide.session import query_run
 from logtide.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +23,12 @@ ORACLES: dict[str, str] = {}
 
 def register(fn: Callable[[SparkSession, str], DataFrame] | None = None, *, oracle: str | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with query_run(spark, f.__name__):
+                return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if oracle is not None:
             ORACLES[f.__name__] = oracle.strip()
         return f

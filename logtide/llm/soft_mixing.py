@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.common import stored, text_of
+from logtide.llm.common import stored, text_of, unused
 
 #: Training sample: labelled documents of each domain (expected; drawn by a hash).
 PER_DOMAIN = 2000
@@ -199,5 +199,6 @@ def keep_mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     """The documents that the mix takes, with all their columns; as none is repeated, scarce domains fall short."""
     out = mix(docs, labelled, targets, id_col, text_col, repeat=False, **options).where("copies < 1").select(
         F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    rows = docs.withColumn("_th", F.xxhash64(text_of(text_col)))
-    return rows.join(out, rows[id_col].eqNullSafe(out["_id"]) & (rows["_th"] == out["_th"]), "left_anti").drop("_th")
+    mark = unused(docs, "_th")
+    rows = docs.withColumn(mark, F.xxhash64(text_of(text_col)))
+    return rows.join(out, rows[id_col].eqNullSafe(out["_id"]) & (rows[mark] == out["_th"]), "left_anti").drop(mark)
