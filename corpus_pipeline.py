@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from logtide.llm import bpe_dp, exact_dedup, language_id, near_dedup, queries, soft_mixing
 from logtide.llm.common import documents, stored
+from logtide.session import query_run
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +63,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents at ``sf_dir``."""
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with query_run(spark, "pipeline"):
+        docs = documents(spark, sf_dir)
+        for name, stage in STAGES[:-1]:
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)
