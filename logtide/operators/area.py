@@ -55,7 +55,7 @@ def version_in_force(batches: DataFrame, versions: DataFrame, batch_col: str = "
     known = _published(versions).select(F.col("version").cast("long").alias("version")).distinct()
     points = batches.select(F.col(batch_col).cast("long").alias("_batch")).where("_batch IS NOT NULL")
     found = asof_lookup(points, "_batch", known, "version", "version", "_version", forward=False, chunk=VERSION_CHUNK)
-    return found.select(F.col("_batch").alias(batch_col), "_version")
+    return found.select(F.col("_batch").cast(batches.schema[batch_col].dataType).alias(batch_col), "_version")
 
 
 def enrich_area_as_of(records: DataFrame, versions: DataFrame, batch_col: str = "batch_id",
