@@ -46,12 +46,12 @@ NO_LANGUAGE = "und"
 #: Size of the bitmaps (bits, as a power of two) and of a trie.
 BUCKET_BITS = 26
 TRIE_PHRASES = 250_000
-#: Phrases whose words are broadcast; more are joined.
+#: Words that are looked up in the texts by a broadcast list; more are joined.
 MAX_SPELLED = 1_000_000
 #: Bytes of text in a block.
 CUT_BYTES = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_BLOCKS = "langs array<long>, words array<string>, symbols array<long>, counts array<long>, low binary, high binary"
+_BLOCKS = "langs array<long>, symbols array<long>, counts array<long>, low binary, high binary"
 
 
 def _release() -> None:
@@ -60,19 +60,23 @@ def _release() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def _words(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """For blocks of texts (lang, text) that have words: (bytes, words' starts and ends, texts' first words, languages, symbols)."""
+    for block in byte_blocks(batch, most=CUT_BYTES):
+        data, offsets = text_bytes(block.column("text"))
+        data = LOWER[data]
+        starts, ends, first = word_bounds(data, offsets, GAPS)
+        if len(starts):
+            lang = np.repeat(block.column("lang").to_numpy(), np.diff(first))
+            yield data, starts, ends, first, lang, mix(span_hashes(data, starts, ends) + mix(lang.astype(np.uint64) + _GOLD))
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts (lang, text) to blocks: the distinct words, most frequent first, with their languages, symbols
-    and counts, and all words in order as places in that list, in two halves of 16 bits (no upper half for
+    """Texts (lang, text) to blocks: the distinct words' symbols, most frequent first, with their languages and
+    counts, and all words in order as places in that list, in two halves of 16 bits (no upper half for
     short lists); the list's length stands between pieces."""
     for batch in batches:
-        for block in byte_blocks(batch, most=CUT_BYTES):
-            data, offsets = text_bytes(block.column("text"))
-            data = LOWER[data]
-            starts, ends, first = word_bounds(data, offsets, GAPS)
-            if not len(starts):
-                continue
-            lang = np.repeat(block.column("lang").to_numpy(), np.diff(first))
-            symbol = mix(span_hashes(data, starts, ends) + mix(lang.astype(np.uint64) + _GOLD))
+        for data, starts, _, first, lang, symbol in _words(batch):
             distinct, at, which, n = np.unique(symbol, return_index=True, return_inverse=True, return_counts=True)
             order = np.argsort(-n, kind="stable")
             place = np.empty(len(order), np.uint32)
@@ -83,19 +87,39 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             apart[first[1:-1][(first[1:-1] > 0) & (first[1:-1] < len(starts))] - 1] = True
             row = np.full(len(starts) + int(apart.sum()), len(order), np.uint32)
             row[np.arange(len(starts)) + np.concatenate([[0], np.cumsum(apart)])] = place[which]
-            raw, at = data.tobytes(), at[order]
-            words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            one = lambda x, t: pa.array([x], pa.list_(t))
+            longs = lambda x: pa.array([x], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [one(lang[at], pa.int64()), one(words, pa.string()), one(distinct[order].view(np.int64), pa.int64()), one(n[order], pa.int64()),
-                 pa.array([row.astype("<u2").tobytes()], pa.binary()), pa.array([(row >> np.uint32(16)).astype("<u2").tobytes() if len(order) >> 16 else b""], pa.binary())],
-                ["langs", "words", "symbols", "counts", "low", "high"])
+                [longs(lang[at[order]]), longs(distinct[order].view(np.int64)), longs(n[order]),
+                 pa.array([row.astype("<u2").tobytes()], pa.binary()),
+                 pa.array([(row >> np.uint32(16)).astype("<u2").tobytes() if len(order) >> 16 else b""], pa.binary())],
+                ["langs", "symbols", "counts", "low", "high"])
     _release()
 
 
+def _spell(wanted):
+    """Texts (lang, text) to (s1, word) of the wanted symbols (sorted; all where None), once for each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, starts, ends, _, _, symbol in _words(batch):
+                distinct, at = np.unique(symbol, return_index=True)
+                if wanted is not None:
+                    some = np.isin(distinct, wanted.value, assume_unique=True)
+                    distinct, at = distinct[some], at[some]
+                raw = data.tobytes()
+                words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(words, pa.string())], ["s1", "word"])
+        _release()
+
+    return run
+
+
+def _rows(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(F.xxhash64(F.coalesce(lang_col, F.lit(NO_LANGUAGE))).alias("lang"), text_of(text_col).alias("text"))
+
+
 def blocks_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    rows = docs.select(F.xxhash64(F.coalesce(lang_col, F.lit(NO_LANGUAGE))).alias("lang"), text_of(text_col).alias("text"))
-    return stored(rows.mapInArrow(_cut, _BLOCKS), "blocks")
+    return stored(_rows(docs, text_col, lang_col).mapInArrow(_cut, _BLOCKS), "blocks")
 
 
 def _opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -339,8 +363,12 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_wo
     near = F.rank().over(Window.partitionBy("lang_key").orderBy(F.col("score").desc(), F.col("a").desc()))
     best = stored(scored.withColumn("near", near).where(F.col("near") <= top).drop("near").withColumn("row", F.monotonically_increasing_id()), "best")
     used = best.select("row", F.posexplode("symbols").alias("at", "s1"))
-    spelled = blocks.select(F.explode(F.arrays_zip("symbols", "words")).alias("x")).select(F.col("x.symbols").alias("s1"), F.col("x.words").alias("word"))
-    spelled = spelled.join(F.broadcast(used.select("s1").distinct()) if best.count() <= MAX_SPELLED else used.select("s1").distinct(), "s1", "left_semi")
+    few = None
+    if best.count() * max_words <= MAX_SPELLED:
+        few = spark.sparkContext.broadcast(np.sort(used.select("s1").distinct().toArrow().column("s1").to_numpy().view(np.uint64)))
+    spelled = _rows(docs, text_col, lang_col).mapInArrow(_spell(few), "s1 long, word string")
+    if few is None:
+        spelled = spelled.join(used.select("s1").distinct(), "s1", "left_semi")
     spelled = spelled.groupBy("s1").agg(F.min("word").alias("word"))
     text = used.join(spelled, "s1").groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     langs = docs.select(F.coalesce(lang_col, F.lit(NO_LANGUAGE)).alias("lang")).distinct().withColumn("lang_key", F.xxhash64("lang"))
