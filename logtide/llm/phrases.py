@@ -48,6 +48,8 @@ BUCKET_BITS = 26
 TRIE_PHRASES = 250_000
 #: Words that are looked up in the texts by a broadcast list; more are joined.
 MAX_SPELLED = 1_000_000
+#: Splits of the blocks that one task takes where its output shrinks with them (two tasks for each core at least).
+SPLITS = 4
 #: Bytes of text in a block.
 CUT_BYTES = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -292,7 +294,9 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, size: int, shorter: Da
     buckets = packed.mapInArrow(_buckets(word_bits, shorter_bits, size, bits), "part int, places binary, counts binary")
     buckets = buckets.repartition("part").sortWithinPartitions("part").mapInArrow(_heavy(min(min_count, 255)), "name long")
     heavy = sc.broadcast(bitmap(buckets, bits))
-    found = packed.mapInArrow(_candidates(word_bits, shorter_bits, heavy, size), typed).distinct()
+    # Tasks of several splits send a candidate, or a count of it, once for all of them.
+    wide = packed.coalesce(max(2 * sc.defaultParallelism, packed.rdd.getNumPartitions() // SPLITS))
+    found = wide.mapInArrow(_candidates(word_bits, shorter_bits, heavy, size), typed).distinct()
     found = stored(found, f"candidates-{size}")
     shards = max(1, -(-found.count() // trie_phrases))
     dealt = found.withColumn("shard", F.pmod(F.xxhash64(*parts), F.lit(shards)).cast("int"))
@@ -301,7 +305,7 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, size: int, shorter: Da
     for shard in range(shards):
         for row in tries.where(F.col("shard") == shard).collect():  # one, of bounded size
             trie = sc.broadcast(pickle.loads(row.trie))
-            counted = packed.mapInArrow(_walk(trie), "path int, n long").groupBy("path").agg(F.sum("n").alias("n"))
+            counted = wide.mapInArrow(_walk(trie), "path int, n long").groupBy("path").agg(F.sum("n").alias("n"))
             counted = counted.where(F.col("n") >= min_count).mapInArrow(_name(trie), f"{typed}, name long, n long")
             counts.append(stored(counted, f"counts-{size}"))
     if not counts:
