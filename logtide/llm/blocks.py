@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,3 +25,12 @@ def byte_blocks(batch: pa.RecordBatch, column: str = "text", most: int = BLOCK_B
         upto = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
         yield batch.slice(at, upto - at)
         at = upto
+
+
+def give_back() -> None:
+    """At the end of a task, unused memory goes back to the system: a worker waits for its next task with what it needs only."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the C library of GNU
+        return

@@ -21,26 +21,19 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtide.llm.bpe_pieces import Cutter, packed
+from logtide.llm.blocks import byte_blocks, give_back
+from logtide.llm.bpe_pieces import Cutter, byte_characters, packed, pre_tokens
 from logtide.llm.common import with_python
 
 #: Bounds of a worker's dictionaries; a full one starts anew.
 MOST_PAIRS, MOST_WORDS = 300_000, 50_000
-#: Letters up to here are letters in every version of Unicode.
-_LAST_LATIN = "\u024f"
-BLOCK_ROWS = 256
-
-
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies:
-    printable Latin-1 characters stand for themselves, the others follow from U+0100 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+#: Bytes of text encoded at once, and rows decoded at once.
+BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 256
 
 
 class PrefixBpe:
@@ -57,7 +50,7 @@ class PrefixBpe:
         self.halves: dict[int, tuple[int, int]] = {}
         for i, (a, b) in reversed(list(enumerate(pairs))):
             self.made[vocab[a + b]], self.halves[vocab[a + b]] = i, (vocab[a], vocab[b])
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         chars = {c: b for b, c in enumerate(byte_characters())}
         # Tokens that BPE can emit: single bytes, and tokens whose own text merges into them.
         self.whole: dict[str, int] = {}
@@ -75,8 +68,6 @@ class PrefixBpe:
                 self.matches.add_word(text, (t, len(text)))
         self.matches.make_automaton()
         self.words: dict[str, list[int]] = {}
-        self.characters = byte_characters()
-        self.space = self.characters[32]
 
     def _stand(self, a: int, b: int, limit: int) -> bool:
         """Whether tokens ``a`` and ``b`` are still unmerged neighbours when the merge of rank ``limit`` comes.
@@ -98,61 +89,55 @@ class PrefixBpe:
                 return True
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= MOST_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._stand(left, right, len(self.rank))
+        if len(self.pairs) >= MOST_PAIRS:
+            self.pairs.clear()
+        known = self.pairs[left << 32 | right] = self._stand(left, right, len(self.rank))
         return known
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-token, given in byte characters."""
         if word in self.whole:
             return [self.whole[word]]
-        n, single = len(word), self.whole
-        last, before, done = [-1] * (n + 1), [0] * (n + 1), 0
+        n, pairs = len(word), self.pairs.get
+        # Where no longer token ends, the last one is the single byte.
+        last, before, decided = [-1, *map(self.whole.__getitem__, word)], list(range(-1, n)), -1
         for end, (t, size) in self.matches.iter(word):  # ends ascend, longest first
-            end += 1
-            if last[end] >= 0:
+            if end == decided:
                 continue
-            while done < end - 1:  # prefixes that no longer token ends: their last byte does
-                done += 1
-                if last[done] < 0:
-                    last[done], before[done] = single[word[done - 1]], done - 1
-            i = end - size
-            if not i or self.compatible(last[i], t):
-                last[end], before[end] = t, i
-        while done < n:
-            done += 1
-            if last[done] < 0:
-                last[done], before[done] = single[word[done - 1]], done - 1
+            i = end + 1 - size
+            if i:
+                stand = pairs(last[i] << 32 | t)
+                if stand is None:
+                    stand = self.compatible(last[i], t)
+                if not stand:
+                    continue
+            last[end + 1], before[end + 1], decided = t, i, end
         out, at = [], n
         while at:
             out.append(last[at])
             at = before[at]
         return out[::-1]
 
+    def known_word(self, word: str) -> list[int]:
+        """Ids of a pre-token that may come up again (marks, numbers)."""
+        got = self.words.get(word)
+        if got is None:
+            got = self.encode_word(word)
+            if len(word) <= 32:
+                if len(self.words) >= MOST_WORDS:
+                    self.words.clear()
+                self.words[word] = got
+        return got
+
     def encode_piece(self, pre_tokenize, text: str) -> bytes:
         """Packed ids of a piece of text."""
-        core, end = (text[:-1], text[-1]) if text[-1:] in (".", ",") else (text, "")
-        bare = core[1:] if core[:1] == " " else core
-        if bare.isalpha() and (bare.isascii() or max(bare) <= _LAST_LATIN):
-            # Latin letters after at most one space are one pre-token, a full stop or comma another.
-            if bare.isascii():
-                found = self.encode_word(self.space + bare if len(bare) < len(core) else bare)
-            else:
-                found = self.encode_word("".join([self.characters[b] for b in core.encode()]))
-            return packed(found + self.encode_word(end) if end else found)
+        two = pre_tokens(text)
+        if two:
+            word, marks = two
+            return packed(self.encode_word(word) + self.known_word(marks) if marks else self.encode_word(word))
         ids: list[int] = []
         for word, _ in pre_tokenize(text):
-            got = self.words.get(word)
-            if got is None:
-                got = self.encode_word(word)
-                if len(word) <= 32:
-                    if len(self.words) >= MOST_WORDS:
-                        self.words.clear()
-                    self.words[word] = got
-            ids += got
+            ids += self.known_word(word)
         return packed(ids)
 
 
@@ -168,8 +153,11 @@ def token_bytes(path: str) -> list[bytes]:
 
 
 @lru_cache(maxsize=2)
-def _decoder(path: str) -> list[bytes]:
-    return token_bytes(path)
+def _decoder(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all tokens, where each starts, its size)."""
+    of = token_bytes(path)
+    sizes = np.fromiter(map(len, of), np.int64, len(of))
+    return np.frombuffer(b"".join(of), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
 @lru_cache(maxsize=2)
@@ -179,36 +167,39 @@ def _coder(path: str) -> tuple[PrefixBpe, Cutter]:
 
     bpe = PrefixBpe(path)
     cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-    return bpe, Cutter(lambda piece: bpe.encode_piece(cut, piece), {x: packed([t]) for x, t in bpe.special.items()})
-
-
-def id_lists(parts: list[bytes]) -> pa.ListArray:
-    """Packed ids of each text as an Arrow list column."""
-    bounds = np.cumsum([0, *(len(p) // 4 for p in parts)])
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<u4").astype(np.int32)))
+    return bpe, Cutter(lambda pieces: [bpe.encode_piece(cut, x) for x in pieces], {x: packed([t]) for x, t in bpe.special.items()})
 
 
 def _encode(path: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, cutter = _coder(path)
         for whole in batches:
-            for at in range(0, whole.num_rows, BLOCK_ROWS):
-                batch = whole.slice(at, BLOCK_ROWS)
-                ids = id_lists(cutter.encode([x or "" for x in batch.column(text_col).to_pylist()]))
+            for batch in byte_blocks(whole, text_col, BLOCK_BYTES):
+                ids, bounds = cutter.encode(batch.column(text_col))
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view(np.int32)))
                 keep = [c for c in batch.schema.names if c != text_col]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists], [*keep, "ids"])
+        give_back()
 
     return run
 
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _decoder(path)
+        data, starts, sizes = _decoder(path)
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
-                texts = [b"".join(map(of.__getitem__, x or ())).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
+                lists = batch.column("ids")
+                ids = lists.flatten().to_numpy(zero_copy_only=False)  # null lists have no ids
+                many = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                size = sizes[ids]
+                ends = np.append(0, np.cumsum(size))
+                text = data[np.repeat(starts[ids] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+                cuts = ends[np.append(0, np.cumsum(many))].tolist()
+                texts = [text[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+        give_back()
 
     return run
 

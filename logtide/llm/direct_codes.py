@@ -31,13 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.bpe_pieces import Cutter, packed
+from logtide.llm.blocks import byte_blocks, give_back
+from logtide.llm.bpe_pieces import Cutter, packed, pre_tokens
 from logtide.llm.common import stored, text_of, with_python
 
 MAGIC, BLOCK = b"DACS", 512
 #: A segment closes when it holds this many ids; a document is never cut.
 SEGMENT_IDS = 1 << 19
-BLOCK_ROWS = 256
+#: Bytes of text encoded at once, and runs of marks kept with their ids.
+BLOCK_BYTES, MOST_MARKS = 4 << 20, 10_000
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -117,35 +119,58 @@ def _cutter(path: str) -> Cutter:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return Cutter(lambda piece: packed(tokenizer.encode(piece, add_special_tokens=False).ids), {})
+    model, marked = tokenizer.model, {"": []}
+    plain = not any(pre_tokens(t.content) for t in tokenizer.get_added_tokens_decoder().values())
+
+    def tokens(word: str) -> list[int]:
+        return [t.id for t in model.tokenize(word)]
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        out = []
+        for piece in pieces:
+            two = plain and pre_tokens(piece)
+            if two:  # pre-tokens go to the library's model as they are
+                word, marks = two
+                end = marked.get(marks)
+                if end is None:
+                    end = tokens(marks)
+                    if len(marks) <= 3 and len(marked) < MOST_MARKS:
+                        marked[marks] = end
+                out.append(packed(tokens(word) + end))
+            else:
+                out.append(packed(tokenizer.encode(piece, add_special_tokens=False).ids))
+        return out
 
+    return Cutter(encode, {})
 
-def _write(path: str, end_id: int, segment_ids: int):
-    end = packed([end_id])
 
+def _write(path: str, end_id: int, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, part = _cutter(path), TaskContext.get().partitionId()
         docs, parts, number, before, held = [], [], 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            payload = pack(docs, [len(p) // 4 for p in parts], ids)
+            ids = np.concatenate(parts)
+            payload = pack(docs, [len(p) for p in parts], ids)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "segment": pa.array([number], pa.int32()), "n_docs": pa.array([len(docs)], pa.int64()),
                 "before": pa.array([before], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                rows = batch.slice(at, BLOCK_ROWS)
-                for doc, ids in zip(rows.column("id").to_pylist(), cutter.encode(rows.column("text").to_pylist()), strict=True):
+            for rows in byte_blocks(batch, "text", BLOCK_BYTES):
+                ids, bounds = cutter.encode(rows.column("text"))
+                ids = np.insert(ids, bounds[1:], np.uint32(end_id))
+                bounds = (bounds + np.arange(len(bounds))).tolist()
+                for doc, a, b in zip(rows.column("id").to_pylist(), bounds[:-1], bounds[1:], strict=True):
                     docs.append(doc)
-                    parts.append(ids + end)
-                    held += len(ids) // 4 + 1
+                    parts.append(ids[a:b])
+                    held += b - a
                     if held >= segment_ids:
                         yield close()
                         docs, parts, number, before, held = [], [], number + 1, before + held, 0
         if docs:
             yield close()
+        give_back()
 
     return run
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -20,14 +21,17 @@ def texts():
     rnd = random.Random(1)
     alphabet = "ab \n\t  eéß's't 12中文😀'LL'll.,!\x1c\x85\xa0\u2028\u3000\r\u200b\x00aaaa"
     out = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(3000)]
-    return out + ["<|endoftext|>", "a <|endoftext|> b<|endoftext|>", "", " ", "a" * 500, "the the the.\nThe the, the", "x" * 5000]
+    return out + ["<|endoftext|>", "a <|endoftext|> b<|endoftext|>", "", " ", "a" * 500, "the the the.\nThe the, the", "x" * 5000,
+                  "éé&&& a*** b$$$ c!? d'' e-- ñandú... (x) y, Ünder_score z;' ªb µ. ×a aa÷ ɏɐ"]
 
 
 def test_encoder_equals_library(library):
     bpe, cutter = bpe_dp._coder(tokenizer_path())
     of = bpe_dp.token_bytes(tokenizer_path())
-    for x, got in zip(texts(), cutter.encode(texts()), strict=True):
-        ids = np.frombuffer(got, "<u4").tolist()
+    found, bounds = cutter.encode(pa.array(texts()))
+    assert len(bounds) == len(texts()) + 1 and bounds[-1] == len(found)
+    for x, a, b in zip(texts(), bounds[:-1], bounds[1:], strict=True):
+        ids = found[a:b].tolist()
         assert ids == library.encode(x, add_special_tokens=False).ids, x
         assert b"".join(of[i] for i in ids).decode("utf-8", "replace") == library.decode(ids, skip_special_tokens=False)
     rnd = random.Random(4)
@@ -42,11 +46,23 @@ def test_pieces_keep_two_generations(monkeypatch):
 
     monkeypatch.setattr(bpe_pieces, "MOST", 10)
     calls = []
-    pieces = bpe_pieces.Pieces(lambda x: calls.append(x) or x.encode(), " ")
+    pieces = bpe_pieces.Pieces(lambda xs: calls.extend(xs) or [x.encode() for x in xs])
     for i in list(range(25)) * 2:
-        assert pieces[str(i)] == f" {i}".encode() and len(pieces) <= 10 and len(pieces.older) <= 10
-        pieces["often"]
-    assert calls.count(" often") == 1
+        assert pieces.look_up([str(i), "often"]) == [str(i).encode(), b"often"]
+        assert len(pieces.kept) <= 10 and len(pieces.older) <= 10
+    assert calls.count("often") == 1
+    assert pieces.look_up(["x" * 65] * 2) == [b"x" * 65] * 2 and "x" * 65 not in pieces.kept  # too long to be kept
+
+
+def test_both_cutters_agree_on_blocks_of_mixed_texts(library):
+    path = tokenizer_path()
+    mixed = pa.array([None, "", "a b\nc d", "\nfirst", "last\n", " lead", "trail ", "two  spaces", "a<|endoftext|>b c", "\n", "ünï cödé. x1, y", "a&&& éé*** b's c!? ɏɐ ª, d.'x"])
+    want = [library.encode(x or "", add_special_tokens=False).ids for x in mixed.to_pylist()]
+    for cutter in (bpe_dp._coder(path)[1], direct_codes._cutter(path)):
+        for block in (mixed, mixed.slice(3, 5), mixed.slice(0, 0)):
+            ids, bounds = cutter.encode(block)
+            at = block.offset
+            assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want[at:at + len(block)]
 
 
 def test_encode_and_decode_odd_rows(odd_docs, no_docs, library):
