@@ -14,10 +14,11 @@ What is learned, and how it spreads over a cluster:
 1. *Counts.* Every block of documents is cut into its distinct codes and words with their counts in
    training documents; Spark sums them over the corpus. The tables grow with the corpus and
    never leave Spark, but for the contexts of up to two bytes (2**24 numbers at most).
-2. *Weights.* Codes are dealt by the last three bytes of their context, so a task holds all counts of its
-   contexts of three and four bytes. Each task runs online gradient steps over its codes, weighted
+2. *Weights.* Codes are dealt to shards by the last three bytes of their context, so a shard holds all counts of
+   its contexts of three and four bytes. Each shard runs online gradient steps over its codes, weighted
    by their counts and predicted as if the occurrence at hand had not been counted; the
-   weights of all tasks are averaged, and the next round starts from there.
+   weights of all shards are averaged, and the next round starts from there. Shards follow from the
+   codes alone, whatever tasks they fall to, so the model doesn't depend on the cluster's settings.
 3. *Refinement.* The probability map is filled in the same way, from the mixed predictions.
 4. *Scores.* Each distinct code is scored once; blocks get back the scores of their codes and
    the counts of their words by an equi-join and add them up for each document.
@@ -39,8 +40,10 @@ from pyspark.sql import functions as F
 from logtide.llm.bytes_np import text_bytes, word_hashes
 from logtide.llm.common import stored, text_of, with_python
 
-#: Text in a block of documents, and codes in a task of the model (both set how many there are).
-BLOCK_BYTES, TASK_CODES = 20 << 20, 400_000
+#: Text in a block of documents, and codes in a shard of the model (both set how many there are).
+BLOCK_BYTES, SHARD_CODES = 20 << 20, 400_000
+#: The least number of shards, so that small corpora spread too.
+LEAST_SHARDS = 16
 #: Bytes of text whose codes are held at once; places in it fit into 24 bits.
 SPAN = 1 << 20
 ORDERS, END = 5, 255
@@ -213,7 +216,7 @@ def start_weights() -> np.ndarray:
 
 
 def _partition(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    """All (code, n) of a task, sorted by code: about TASK_CODES of them."""
+    """All (code, n) of a shard, sorted by code: about SHARD_CODES of them."""
     parts = [(b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches]
     if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -223,7 +226,7 @@ def _partition(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarra
 
 
 def _learn(shipped, refine: bool):
-    """Online steps over a task's codes; gives (slot, value, mass) to be summed over tasks."""
+    """Online steps over a shard's codes; gives (slot, value, mass) to be summed over shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, weights = shipped.value
@@ -290,19 +293,31 @@ def _score(shipped):
     return run
 
 
+def _each_shard(run):
+    """``run`` (batches to batches) for one shard's table."""
+
+    def task(shard: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(run(iter(shard.to_batches()))))
+
+    return task
+
+
 def train(codes: DataFrame, rounds: int = ROUNDS):
-    """(lookup for ``_score``, codes dealt over tasks) from all codes (key, n) of the corpus."""
+    """(lookup for ``_score``, codes grouped by shard) from all codes (key, n) of the corpus."""
     spark = codes.sparkSession
     low = np.array([(r["k"], r["n"]) for r in codes.where("n > 0").groupBy((F.col("key").bitwiseAND(0xFFFFFF)).alias("k"))
                     .agg(F.sum("n").alias("n")).toLocalIterator()], np.int64).reshape(-1, 2)  # 2**24 rows at most
     low = (low[:, 0].copy(), low[:, 1].copy())
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-codes.count() // TASK_CODES))
-    dealt = codes.repartition(tasks, F.shiftright("key", 8).bitwiseAND(0xFFFFFF)).select("key", "n")
+    shards = max(LEAST_SHARDS, -(-codes.count() // SHARD_CODES))
+    context = F.shiftright("key", 8).bitwiseAND(0xFFFFFF)
+    dealt = codes.select("key", "n", F.pmod(F.xxhash64(context), F.lit(shards)).alias("shard"))
+    # Twice as many tasks as shards, so that few tasks get several shards.
+    dealt = dealt.repartition(2 * shards, "shard").groupBy("shard")
     weights = start_weights()
 
     def gathered(refine: bool) -> list:
         shipped = spark.sparkContext.broadcast((low, weights))
-        sums = dealt.mapInArrow(_learn(shipped, refine), "slot int, value double, mass double")
+        sums = dealt.applyInArrow(_each_shard(_learn(shipped, refine)), "slot int, value double, mass double")
         return sums.groupBy("slot").agg(F.sum("value").alias("value"), F.sum("mass").alias("mass")).collect()  # GATES or CELLS rows
 
     for _ in range(rounds):
@@ -396,7 +411,7 @@ def score(docs: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col:
     words = counts.where("key < 0")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     shipped, dealt = train(counts.where("key >= 0"))
-    scored = stored(dealt.mapInArrow(_score(shipped), "key long, value double"), "code-scores")
+    scored = stored(dealt.applyInArrow(_each_shard(_score(shipped)), "key long, value double"), "code-scores")
     values = words.select("key", F.col("n").cast("double").alias("value")).unionByName(scored)
     found = features.join(values, "key").select("block", "key", "value")
     out = rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_total(int(n), int(v)), SCHEMA)

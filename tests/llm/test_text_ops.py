@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from odd_texts import prose
 from pyspark.sql import functions as F
 
@@ -197,6 +198,21 @@ def test_scores_against_baseline_and_distribution(spark, odd_docs, no_docs):
     assert lm_mixing.score(no_docs, F.lit(True)).count() == 0
 
 
+def test_scores_do_not_depend_on_shuffle_partitions(spark):
+    rnd = random.Random(9)
+    docs = spark.createDataFrame([(i, prose(rnd, rnd.choice(("en", "de")), 150)) for i in range(60)], "doc_id long, text string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in (3, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            rows = lm_mixing.score(docs, F.col("doc_id") % 5 != 0).select("doc_id", "base_score", "score").collect()
+            found.append(sorted(rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for a, b in zip(*found, strict=True):
+        assert a.doc_id == b.doc_id and a.base_score == pytest.approx(b.base_score, rel=1e-9) and a.score == pytest.approx(b.score, rel=1e-9)
+
+
 def test_next_byte_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     text = rng.choice(list(b"abc d"), 4000).astype(np.uint8).tobytes()
