@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
+from logtide.llm import bytes_np
+
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
 
@@ -29,8 +31,21 @@ def byte_blocks(batch: pa.RecordBatch, column: str = "text", most: int = BLOCK_B
 
 def give_back() -> None:
     """At the end of a task, unused memory goes back to the system: a worker waits for its next task with what it needs only."""
+    bytes_np._powers.cache_clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # not the C library of GNU
         return
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task function ``run`` (batches to batches), with ``give_back`` at its end, also when it fails."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtide.llm.blocks import byte_blocks, give_back
+from logtide.llm.blocks import byte_blocks, giving_back
 from logtide.llm.bpe_pieces import Cutter, byte_characters, packed, pre_tokens
 from logtide.llm.common import with_python
 
@@ -179,9 +179,8 @@ def _encode(path: str, text_col: str):
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view(np.int32)))
                 keep = [c for c in batch.schema.names if c != text_col]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists], [*keep, "ids"])
-        give_back()
 
-    return run
+    return giving_back(run)
 
 
 def _decode(path: str):
@@ -199,9 +198,8 @@ def _decode(path: str):
                 cuts = ends[np.append(0, np.cumsum(many))].tolist()
                 texts = [text[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
-        give_back()
 
-    return run
+    return giving_back(run)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import byte_blocks, give_back
+from logtide.llm.blocks import byte_blocks, giving_back
 from logtide.llm.bpe_pieces import Cutter, packed, pre_tokens
 from logtide.llm.common import stored, text_of, with_python
 
@@ -170,9 +170,8 @@ def _write(path: str, end_id: int, segment_ids: int):
                         docs, parts, number, before, held = [], [], number + 1, before + held, 0
         if docs:
             yield close()
-        give_back()
 
-    return run
+    return giving_back(run)
 
 
 def write_ids(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",

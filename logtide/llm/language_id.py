@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtide.llm.blocks import giving_back
 from logtide.llm.bytes_np import LOWER, text_bytes
 from logtide.llm.common import text_of, with_python, unused
 
@@ -226,7 +227,7 @@ def _predict(model_of):
                 [*(batch.column(x) for x in keep), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
                 [*keep, "lang_pred", "score", "rejected"])
 
-    return run
+    return giving_back(run)
 
 
 def identify(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logtide.llm.blocks import byte_blocks, giving_back
 from logtide.llm.bytes_np import mix, shingles, text_bytes, word_hashes
 from logtide.llm.common import stored, text_of, with_python, unused
 
@@ -49,8 +50,8 @@ WIDTH, LIKENESS = 5, 0.8
 #: Bands and registers per band: a pair at likeness 0.8 shares no band with probability 0.00003.
 BANDS, ROWS = 26, 5
 ESTIMATE_FLOOR = 0.6
-#: Texts handled by one call in the signature and comparison tasks.
-BLOCK_ROWS = 256
+#: Bytes of text handled by one call in the signature tasks.
+BLOCK_BYTES = 1 << 20
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -118,8 +119,7 @@ def _signatures(bands: int, rows: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for whole in batches:
-            for at in range(0, whole.num_rows, BLOCK_ROWS):
-                batch = whole.slice(at, BLOCK_ROWS)
+            for batch in byte_blocks(whole, "text", BLOCK_BYTES):
                 words, first = word_hashes(*text_bytes(batch.column("text")))
                 same, sizes, buckets, minis = [], [], [], []
                 for a, b in zip(first[:-1], first[1:], strict=True):
@@ -141,7 +141,7 @@ def _signatures(bands: int, rows: int, width: int):
                     [batch.column("id"), batch.column("th"), pa.array(same, pa.string()), pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())),
                      pa.array(minis, pa.binary())], ["id", "th", "same", "n", "buckets", "mini"])
 
-    return run
+    return giving_back(run)
 
 
 def _compare(width: int):
@@ -168,7 +168,7 @@ def _compare(width: int):
                 out[i] = least / (float(n.sum()) + float(left[1].sum()) - least)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out)], ["a", "b", "likeness"])
 
-    return run
+    return giving_back(run)
 
 
 def likeness(pairs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -185,8 +185,7 @@ def _rare(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, BLOCK_ROWS):
-                batch = whole.slice(at, BLOCK_ROWS)
+            for batch in byte_blocks(whole, "text", BLOCK_BYTES):
                 words, first = word_hashes(*text_bytes(batch.column("text")))
                 bags = [multiset(words[a:b], width) for a, b in zip(first[:-1], first[1:], strict=True)]
                 e = np.concatenate([x for x, _ in bags]) if bags else np.zeros(0, np.uint64)
@@ -196,7 +195,7 @@ def _rare(width: int):
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(texts), pa.array(owner[where]), pa.array(n[where])],
                                                  ["shingle", "texts", "id", "n"])
 
-    return run
+    return giving_back(run)
 
 
 def own_weight(texts: DataFrame, width: int = WIDTH) -> DataFrame:
