@@ -69,7 +69,7 @@ def test_every_stage(spark, sf001):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_oracle(spark, sf001, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf001}/{t}.parquet')")
     got = queries.QUERIES[name](spark, sf001)
     want = con.execute(queries.ORACLES[name])
