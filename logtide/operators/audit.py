@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logtide.functions.json_items import one_json_value
 from logtide.functions.timefmt import parse_time_ms
+from logtide.operators.once import computed_once
 from logtide.schemas import AUDIT_PARSE_SCHEMA, CORRUPT_COLUMN, JSON_OPTIONS
 
 
@@ -20,17 +21,16 @@ def parse_audit(messages: DataFrame) -> DataFrame:
     """
     rec = F.from_json(F.col("value"), AUDIT_PARSE_SCHEMA, JSON_OPTIONS)
     empty = F.col("value").isNull() | (F.trim(F.col("value")) == "")
-    parsed = messages.withColumn("_rec", rec)
+    parsed = computed_once(messages, _rec=rec)
     broken = F.col("_rec").isNull() | F.col(f"_rec.{CORRUPT_COLUMN}").isNotNull() | ~one_json_value(F.col("value"))
-    fault = F.when(empty, F.lit("empty")).when(broken, F.lit("malformed"))
-    parsed = parsed.withColumn("fault", fault)
+    parsed = computed_once(parsed, fault=F.when(empty, F.lit("empty")).when(broken, F.lit("malformed")))
     sound = F.col("fault").isNull()
-    return parsed.select(
-        *messages.columns, "fault",
-        F.when(sound, parse_time_ms(F.col("_rec.dt"))).otherwise(F.lit(0).cast("bigint")).alias("time_ms"),
-        F.when(sound, F.col("_rec.type")).alias("type"),
-        F.when(sound, F.col("_rec.area")).alias("area"),
-    )
+    fields = computed_once(
+        parsed,
+        time_ms=F.when(sound, parse_time_ms(F.col("_rec.dt"))).otherwise(F.lit(0).cast("bigint")),
+        type=F.when(sound, F.col("_rec.type")),
+        area=F.when(sound, F.col("_rec.area")))
+    return fields.select(*messages.columns, "fault", "time_ms", "type", "area")
 
 
 def _accepted():
