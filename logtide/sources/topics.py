@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from logtide.schemas import MESSAGE_SCHEMA
 
+# Records of a staged file at most.
+RECORDS_PER_FILE = 25_000
+
 
 def read_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None,
                starting_offsets: str = "latest") -> DataFrame:
@@ -40,5 +43,9 @@ def read_staged(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def stage(df: DataFrame, path: str) -> None:
-    """Append (key, value) records as new files under ``path`` (a topic stand-in)."""
-    df.select("key", "value").write.mode("append").json(path)
+    """Append (key, value) records as new compressed files under ``path`` (a topic stand-in).
+
+    Such a file is read by one task, so its records are limited.
+    """
+    df.select("key", "value").write.mode("append").option("compression", "gzip").option(
+        "maxRecordsPerFile", RECORDS_PER_FILE).json(path)
