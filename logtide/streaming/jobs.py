@@ -99,15 +99,19 @@ def connected_clean_job(messages: DataFrame, snapshots: DataFrame, out: str, che
         spark = df.sparkSession
         if _done(spark, out, batch_id):
             return
-        came = df.where(F.col("version").isNotNull()).select("version", "area", "countries")
-        now = latest_nonempty_version(came)
-        if now is None:
-            before = _previous(spark, out, "mapping", batch_id)
-            now = invert_mapping(came) if before is None else before
-        write_batch(now, f"{out}/mapping", batch_id)
-        in_force = read_batch(spark, f"{out}/mapping", batch_id).drop("batch_id")
-        clean_batch(spark, df.where(F.col("version").isNull()).select("key", "value"), batch_id, lambda *_: in_force, out)
-        expire_batch(spark, f"{out}/mapping", batch_id - KEEP_STATE)
+        df = df.persist()  # feeds the mapping and the messages, so both sources are read once
+        try:
+            came = df.where(F.col("version").isNotNull()).select("version", "area", "countries")
+            now = latest_nonempty_version(came)
+            if now is None:
+                before = _previous(spark, out, "mapping", batch_id)
+                now = invert_mapping(came) if before is None else before
+            write_batch(now, f"{out}/mapping", batch_id)
+            in_force = read_batch(spark, f"{out}/mapping", batch_id).drop("batch_id")
+            clean_batch(spark, df.where(F.col("version").isNull()).select("key", "value"), batch_id, lambda *_: in_force, out)
+            expire_batch(spark, f"{out}/mapping", batch_id - KEEP_STATE)
+        finally:
+            df.unpersist()
 
     return _start(connect(messages, snapshots), run, checkpoint, trigger)
 
