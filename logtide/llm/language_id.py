@@ -5,7 +5,8 @@ word ends included, hashed into ``2**BITS`` buckets); a linear softmax reads the
 language off the average. Embeddings and softmax are trained together by stochastic
 gradient descent in numpy on a bounded sample of labelled rows: about
 ``per_language`` rows of each language, chosen by a hash. The sample is parted into ``FOLDS`` folds;
-each fold is scored by a model that the others trained. These scores of the whole sample set the
+each fold is scored by a model that the others trained, in a task of its own; the driver gets models
+and scores, never the sample. These scores of the whole sample set the
 softmax temperature and the rejection level, the confidence below which a share ``alpha`` of rightly
 predicted texts falls (the least of them where they are fewer than 1 / ``alpha``, so that the level
 is on at every sample size). The mean of the folds' models predicts.
@@ -16,6 +17,7 @@ linear up to the logits, the model ships as one (bucket x language) table.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import giving_back
+from logtide.llm.blocks import give_back, giving_back
 from logtide.llm.bytes_np import LOWER, text_bytes
 from logtide.llm.common import text_of, with_python, unused
 
@@ -37,6 +39,8 @@ FOLDS = 3
 UNKNOWN = "und"
 #: Bytes of text whose subwords are held at once.
 SPAN = 1 << 19
+#: Type of a bucket's number in the sample.
+BUCKET = np.min_scalar_type((1 << BITS) - 1)
 
 _LETTER = LOWER.copy()
 for _b in range(128):
@@ -94,26 +98,24 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     total += np.bincount(h[:SPAN], minlength=1 << BITS)
             total[0] = 0
             at = np.flatnonzero(total)
-            packed.append(at.astype(np.int32).tobytes())
+            packed.append(at.astype(BUCKET).tobytes())
             counts.append((total[at] / max(1, total.sum())).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("lang"), pa.array(packed, pa.binary()), pa.array(counts, pa.binary())],
             ["id", "lang", "subwords", "shares"])
 
 
-def labelled_sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> list:
-    """About ``per_language`` rows of each language as subword counts, in hash order."""
+def labelled_sample(labelled: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(id, lang, subwords, shares) of about ``per_language`` rows of each language; texts without a subword are left out."""
     rows = labelled.where(F.col(lang_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return []
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64(F.col("id"), F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = rows.where(draw < F.element_at(share, F.col("lang")))
-    got = picked.mapInArrow(_features, "id long, lang string, subwords binary, shares binary").collect()
-    key = lambda r: ((r["id"] or 0) * 2654435761 % (1 << 32), r["id"] or 0, r["lang"], len(r["subwords"]))
-    return sorted((r for r in got if r["subwords"]), key=key)
+    picked = rows.where("false")
+    if counts:
+        share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, per_language / n))])
+        draw = F.pmod(F.xxhash64(F.col("id"), F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        picked = rows.where(draw < F.element_at(share, F.col("lang")))
+    return picked.mapInArrow(giving_back(_features), "id long, lang string, subwords binary, shares binary").where(F.length("subwords") > 0)
 
 
 def _fit(rows: list, c: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,22 +145,48 @@ def _fit(rows: list, c: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return emb @ out, bias
 
 
-def train(sample: list, alpha: float = ALPHA) -> Model:
-    """Fit one model for each fold's complement, calibrate on their out-of-fold scores, ship their mean."""
-    languages = sorted({r["lang"] for r in sample})
-    index = {x: i for i, x in enumerate(languages)}
+def _fit_fold(copies: pa.Table) -> pa.Table:
+    """One row: the model that a fold's complement trains, and its logits of the fold's rows. ``copies``: the whole
+    sample, put in hash order here, so that every fold's task parts it alike."""
+    try:
+        fold = copies.column("fold")[0].as_py()
+        ids, langs = [i or 0 for i in copies.column("id").to_pylist()], copies.column("lang").to_pylist()
+        subwords, shares = ([np.frombuffer(x.as_buffer(), kind) for x in copies.column(name)]
+                            for name, kind in (("subwords", BUCKET), ("shares", np.float32)))
+        key = lambda j: (ids[j] * 2654435761 % (1 << 32), ids[j], langs[j], len(subwords[j]), zlib.crc32(shares[j], zlib.crc32(subwords[j])))
+        languages = sorted(set(langs))
+        index = {x: i for i, x in enumerate(languages)}
+        rows = [(subwords[j], shares[j], index[langs[j]]) for j in sorted(range(len(ids)), key=key)]
+        part, offset = _fit([r for i, r in enumerate(rows) if i % FOLDS != fold], len(languages), 7 + fold)
+        own = rows[fold::FOLDS]
+        logits = np.array([share @ part[at] + offset for at, share, _ in own])
+        truth = np.array([y for *_, y in own], np.int64)
+        return pa.table({"fold": pa.array([fold], pa.int32()), "languages": pa.array([languages], pa.list_(pa.string())),
+                         **{name: pa.array([x.tobytes()], pa.binary()) for name, x in (("part", part), ("bias", offset), ("logits", logits), ("truth", truth))}})
+    finally:
+        give_back()
+
+
+def train(sample: DataFrame, alpha: float = ALPHA) -> Model:
+    """Fit one model for each fold's complement, calibrate on their out-of-fold scores, ship their mean.
+
+    A task fits a fold; the driver gets (buckets x languages) logits of each and (rows x languages) scores.
+    """
+    copies = sample.withColumn("fold", F.explode(F.array(*map(F.lit, range(FOLDS)))))
+    fits = copies.groupBy("fold").applyInArrow(
+        _fit_fold, "fold int, languages array<string>, part binary, bias binary, logits binary, truth binary").collect()
+    languages = fits[0]["languages"] if fits else []
     c = len(languages)
-    rows = [(np.frombuffer(r["subwords"], np.int32), np.frombuffer(r["shares"], np.float32), index[r["lang"]]) for r in sample]
+    numbers = {r["fold"]: {x: np.frombuffer(r[x]).reshape(-1, c) for x in ("part", "bias", "logits")} for r in fits}
+    truths = {r["fold"]: np.frombuffer(r["truth"], np.int64) for r in fits}
     table, bias = np.zeros((1 << BITS, c)), np.zeros(c)
-    logits = np.zeros((len(rows), c))
-    truth = np.array([y for *_, y in rows], int)
-    for fold in range(FOLDS):
-        part, offset = _fit([r for i, r in enumerate(rows) if i % FOLDS != fold], c, 7 + fold)
-        for i in range(fold, len(rows), FOLDS):
-            at, share, _ = rows[i]
-            logits[i] = share @ part[at] + offset
-        table += part / FOLDS
-        bias += offset / FOLDS
+    truth = np.zeros(sum(map(len, truths.values())), int)
+    logits = np.zeros((len(truth), c))
+    for fold in sorted(numbers):
+        table += numbers[fold]["part"] / FOLDS
+        bias += numbers[fold]["bias"][0] / FOLDS
+        logits[fold::FOLDS] = numbers[fold]["logits"]
+        truth[fold::FOLDS] = truths[fold]
     table[0] = 0
 
     def confidence(t: float) -> np.ndarray:
@@ -167,7 +195,7 @@ def train(sample: list, alpha: float = ALPHA) -> Model:
         return p / p.sum(1, keepdims=True)
 
     best, level = 1.0, 0.0
-    if len(rows):
+    if len(truth):
         loss = lambda t: -np.log(np.maximum(confidence(t)[np.arange(len(truth)), truth], 1e-12)).mean()
         best = float(min(np.geomspace(0.25, 8, 41), key=loss))
         p = confidence(best)
