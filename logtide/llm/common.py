@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,19 @@ def with_python(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*parts, _ROOT])
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """For jobs run within it, Arrow batches for Python end at ``most`` bytes (and the row that reaches them): wide
+    rows of a task don't stand whole in the JVM's buffers and the worker's."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fold_ratio(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``; a null counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

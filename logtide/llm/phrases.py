@@ -14,6 +14,7 @@ language and bytes. Then, for phrases of 2, 3, ... words:
    word, and counts the accepting ones; counts are summed over the blocks. More candidates mean
    more passes over the stored blocks, not a larger broadcast.
 
+Blocks reach the tasks in Arrow batches of ``BATCH_BYTES``, so that memory follows neither the blocks of a task nor the text.
 A phrase's parts are shorter frequent phrases, so their counts are joined from the levels below.
 """
 
@@ -28,10 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm import bytes_np
-from logtide.llm.blocks import byte_blocks
+from logtide.llm.blocks import byte_blocks, give_back, giving_back
 from logtide.llm.bytes_np import LOWER, mix, span_hashes, text_bytes, word_bounds
-from logtide.llm.common import stored, text_of, with_python
+from logtide.llm.common import arrow_bytes, stored, text_of, with_python
 from logtide.llm.double_array import Trie
 
 #: Bytes that end a piece, and bytes between words (those and the blanks).
@@ -52,16 +52,14 @@ MAX_SPELLED = 1_000_000
 SPLITS = 4
 #: Bytes of text in a block.
 CUT_BYTES = 1 << 20
+#: Bytes of an Arrow batch of blocks; the last block in it may go beyond.
+BATCH_BYTES = 4 << 20
+#: Phrase hashes whose buckets a task counts at once.
+COUNTED = 1 << 22
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCKS = "langs array<long>, symbols array<long>, counts array<long>, low binary, high binary"
 
 
-def _release() -> None:
-    """Give back what this task's scratch tables hold; its worker goes on to other tasks."""
-    bytes_np._powers.cache_clear()
-    pa.default_memory_pool().release_unused()
-
-
 def _words(batch: pa.RecordBatch) -> Iterator[tuple]:
     """For blocks of texts (lang, text) that have words: (bytes, words' starts and ends, texts' first words, languages, symbols)."""
     for block in byte_blocks(batch, most=CUT_BYTES):
@@ -95,7 +93,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([row.astype("<u2").tobytes()], pa.binary()),
                  pa.array([(row >> np.uint32(16)).astype("<u2").tobytes() if len(order) >> 16 else b""], pa.binary())],
                 ["langs", "symbols", "counts", "low", "high"])
-    _release()
 
 
 def _spell(wanted):
@@ -111,9 +108,8 @@ def _spell(wanted):
                 raw = data.tobytes()
                 words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(words, pa.string())], ["s1", "word"])
-        _release()
 
-    return run
+    return giving_back(run)
 
 
 def _rows(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -121,7 +117,7 @@ def _rows(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 def blocks_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    return stored(_rows(docs, text_col, lang_col).mapInArrow(_cut, _BLOCKS), "blocks")
+    return stored(_rows(docs, text_col, lang_col).mapInArrow(giving_back(_cut), _BLOCKS), "blocks")
 
 
 def _opened(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -172,18 +168,28 @@ def _buckets(words, shorter, size: int, bits: int):
     A bucket's count in a row stops at 255, as one that is larger is over every allowed minimum.
     """
 
+    def counted(names: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, n = np.unique(np.concatenate(names), return_counts=True)
+        part = bucket // TOGETHER
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+        ends = np.append(starts, len(part)).astype(np.int64)
+        places, counts = (bucket % TOGETHER).astype("<u2").tobytes(), np.minimum(n, 255).astype(np.uint8).tobytes()
+        return pa.RecordBatch.from_arrays([pa.array(part[starts]), _cuts(places, 2 * ends), _cuts(counts, ends)], ["part", "places", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, held = [], 0
         for batch in batches:
-            names = [_places(symbols, row, words.value, shorter and shorter.value, size)[1] for symbols, row in _opened(batch)]
-            bucket, n = np.unique((np.concatenate(names) & np.uint64((1 << bits) - 1)).astype(np.int32), return_counts=True)
-            part = bucket // TOGETHER
-            starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-            ends = np.append(starts, len(part)).astype(np.int64)
-            places, counts = (bucket % TOGETHER).astype("<u2").tobytes(), np.minimum(n, 255).astype(np.uint8).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(part[starts]), _cuts(places, 2 * ends), _cuts(counts, ends)], ["part", "places", "counts"])
-        _release()
+            for symbols, row in _opened(batch):
+                found = _places(symbols, row, words.value, shorter and shorter.value, size)[1]
+                names.append((found & np.uint64((1 << bits) - 1)).astype(np.int32))
+                held += len(found)
+                if held >= COUNTED:
+                    yield counted(names)
+                    names, held = [], 0
+        if names:
+            yield counted(names)
 
-    return run
+    return giving_back(run)
 
 
 def _cuts(data: bytes, ends: np.ndarray) -> pa.Array:
@@ -207,7 +213,7 @@ def _heavy(min_count: int):
                 total[np.frombuffer(places, "<u2")] += np.frombuffer(counts, np.uint8)
         yield reached()
 
-    return run
+    return giving_back(run)
 
 
 def _candidates(words, shorter, heavy, size: int):
@@ -220,7 +226,7 @@ def _candidates(words, shorter, heavy, size: int):
                 parts = [pa.array(symbols[row[at + k]].view(np.int64)) for k in range(size)]
                 yield pa.RecordBatch.from_arrays(parts, [f"s{k + 1}" for k in range(size)])
 
-    return run
+    return giving_back(run)
 
 
 def _build(size: int):
@@ -231,6 +237,7 @@ def _build(size: int):
         symbols, local = np.unique(paths.view(np.uint64), return_inverse=True)
         local = local.reshape(paths.shape).astype(np.int32)
         packed = pickle.dumps((symbols, local, Trie(local, len(symbols))), protocol=5)
+        give_back()
         return pa.table({"shard": table.column("shard").slice(0, 1), "trie": pa.array([packed], pa.binary())})
 
     return run
@@ -250,7 +257,7 @@ def _walk(trie):
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["path", "n"])
 
-    return run
+    return giving_back(run)
 
 
 def _name(trie):
@@ -266,7 +273,7 @@ def _name(trie):
                 [*[pa.array(p.view(np.int64)) for p in parts], pa.array(reduce(_joined, parts).view(np.int64)), batch.column("n")],
                 [*[f"s{k + 1}" for k in range(size)], "name", "n"])
 
-    return run
+    return giving_back(run)
 
 
 def bitmap(names: DataFrame, bits: int) -> np.ndarray:
@@ -333,7 +340,8 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_wo
     words = stored(each.groupBy(F.col("x.symbols").alias("s1")).agg(F.min("x.langs").alias("lang_key"), F.sum("x.counts").alias("n")), "words")
     levels = {1: stored(words.where(F.col("n") >= min_count).withColumn("name", F.col("s1")), "phrases-1")}
     for size in range(2, max_words + 1):
-        levels[size] = stored(frequent_phrases(blocks, levels[1], size, levels[size - 1], min_count, bits, trie_phrases), f"phrases-{size}")
+        with arrow_bytes(spark, BATCH_BYTES):
+            levels[size] = stored(frequent_phrases(blocks, levels[1], size, levels[size - 1], min_count, bits, trie_phrases), f"phrases-{size}")
 
     lang_of = levels[1].select("s1", "lang_key")
     scored = []

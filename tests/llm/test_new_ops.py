@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,63 @@ def test_phrases_equal_plain_python(spark, max_words, trie):
     assert sorted(rows_of(got, "lang", "rank", "phrase", "a", "l", "r", "n", "score")) == plain_phrases(rows, max_words, 4, 40, 25)
 
 
+def test_phrases_take_blocks_in_batches_of_bounded_bytes(spark, tmp_path, monkeypatch):
+    seen = {}
+
+    def watch(name):
+        task = getattr(phrases, name)
+
+        def watched(*args):
+            run = task(*args)
+
+            def noting(batches):
+                def noted():
+                    for batch in batches:
+                        (tmp_path / f"{name}-{batch.num_rows}").touch()
+                        yield batch
+
+                return run(noted())
+
+            return noting
+
+        monkeypatch.setattr(phrases, name, watched)
+
+    for name in ("_buckets", "_candidates", "_walk"):
+        watch(name)
+    monkeypatch.setattr(phrases, "BATCH_BYTES", 1000, raising=False)
+    rnd = random.Random(4)
+    rows = [(" ".join(rnd.choice("abcdefghij") for _ in range(900)), "en") for _ in range(40)]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    got = phrases.mine(spark.createDataFrame(rows, "text string, lang string").repartition(40))
+    for path in tmp_path.iterdir():
+        name, n = path.name.split("-")
+        seen.setdefault(name, set()).add(int(n))
+    # A block has more than 1000 bytes, so it is a batch of its own however many blocks a task has.
+    assert seen == {"_buckets": {1}, "_candidates": {1}, "_walk": {1}}
+    assert spark.conf.get(key) == before
+    assert sorted(rows_of(got, "lang", "rank", "phrase", "a", "l", "r", "n", "score")) == plain_phrases(rows)
+
+
+def test_phrase_buckets_are_counted_in_bounded_steps(monkeypatch):
+    rnd = np.random.default_rng(7)
+    every = type("Value", (), {"value": np.full(1, np.uint64(2 ** 64 - 1))})()
+    batches = [pa.record_batch({"symbols": [rnd.integers(0, 2 ** 62, 50).tolist()], "low": [rnd.integers(0, 51, 400).astype("<u2").tobytes()], "high": [b""]})
+               for _ in range(9)]
+
+    def counts():
+        out, rows = Counter(), list(phrases._buckets(every, None, 2, 16)(iter(batches)))
+        for row in pa.Table.from_batches(rows).to_pylist():
+            for at, n in zip(np.frombuffer(row["places"], "<u2").tolist(), row["counts"], strict=True):
+                out[row["part"] * phrases.TOGETHER + at] += n
+        return len(rows), out
+
+    whole = counts()
+    monkeypatch.setattr(phrases, "COUNTED", 700, raising=False)
+    steps = counts()
+    assert whole[0] == 1 and steps[0] > 3 and steps[1] == whole[1] and whole[1].total() > 3000
+
+
 def test_phrases_of_odd_and_no_texts(odd_docs, no_docs):
     assert phrases.mine(no_docs).count() == 0
     got = phrases.mine(odd_docs)
