@@ -310,8 +310,8 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, size: int, shorter: Da
     tries = stored(dealt.groupBy("shard").applyInArrow(_build(size), "shard int, trie binary"), f"tries-{size}")
     counts = []
     for shard in range(shards):
-        for row in tries.where(F.col("shard") == shard).collect():  # one, of bounded size
-            trie = sc.broadcast(pickle.loads(row.trie))
+        for cell in tries.where(F.col("shard") == shard).toArrow().column("trie"):  # one, of bounded size
+            trie = sc.broadcast(pickle.loads(cell.as_buffer()))
             counted = wide.mapInArrow(_walk(trie), "path int, n long").groupBy("path").agg(F.sum("n").alias("n"))
             counted = counted.where(F.col("n") >= min_count).mapInArrow(_name(trie), f"{typed}, name long, n long")
             counts.append(stored(counted, f"counts-{size}"))
