@@ -83,15 +83,17 @@ class Trie:
             todo = todo[~fits]
         return child
 
-    def count(self, text: np.ndarray, length: int, paths: int) -> np.ndarray:
-        """How often each path of ``length`` symbols occurs in a row of them (-1: none); all places advance together."""
-        at = np.flatnonzero(text[:max(0, len(text) - length + 1)] >= 0)
-        state = np.zeros(len(at), np.int64)
+    def count(self, text: np.ndarray, length: int, paths: int, at: np.ndarray | None = None, times: np.ndarray | None = None) -> np.ndarray:
+        """How often each path of ``length`` symbols occurs in a row of them (-1: none); all places advance together.
+        With ``at`` and ``times``, only the paths that begin at those places count, as often as it says for each."""
+        if at is None:
+            at = np.flatnonzero(text[:max(0, len(text) - length + 1)] >= 0)
+        which, state = np.arange(len(at)), np.zeros(len(at), np.int64)
         for step in range(length):
-            symbol = text[at + step]
-            at, state, symbol = at[symbol >= 0], state[symbol >= 0], symbol[symbol >= 0]
+            symbol = text[at[which] + step]
+            which, state, symbol = which[symbol >= 0], state[symbol >= 0], symbol[symbol >= 0]
             for part in (0, 1):
                 cell = self.base[state] + (symbol % self.digits if part else symbol // self.digits)
                 alive = (self.check[cell] == state) & (cell > 0)
-                at, state, symbol = at[alive], cell[alive], symbol[alive]
-        return np.bincount(self.base[state], minlength=paths)
+                which, state, symbol = which[alive], cell[alive], symbol[alive]
+        return np.bincount(self.base[state], None if times is None else times[which], paths).astype(np.int64)

@@ -1,4 +1,4 @@
-"""Phrase collocations mined level by level with broadcast double-array tries.
+"""Phrase collocations mined level by level with sharded double-array tries.
 
 Texts are cut once to blocks of numbered words (stored; each block has its own dictionary, so
 that lookups are made once for a block's distinct words). A word is known by a 64-bit hash of its
@@ -9,10 +9,11 @@ language and bytes. Then, for phrases of 2, 3, ... words:
    2**26 buckets, summed over all blocks; a phrase in a bucket that falls short is no candidate. Sets of
    frequent words, phrases and buckets reach the tasks as bitmaps of fixed size: a false hit
    costs a candidate too many, never one too few.
-2. *Exact counts.* Candidates are dealt into tries of about ``TRIE_PHRASES`` phrases. A trie is built in a task and
-   broadcast; in one pass over the blocks numpy advances the states of all places at once, word by
-   word, and counts the accepting ones; counts are summed over the blocks. More candidates mean
-   more passes over the stored blocks, not a larger broadcast.
+2. *Exact counts.* Candidates are dealt by hash to shards of about ``TRIE_PHRASES`` places, in one pass over the blocks: a
+   task combines those of some blocks and sends each with its count. A shard's candidates, chosen once more by
+   buckets of its own, are built into a trie; numpy advances the states of all that was dealt to it at once, word by
+   word, and adds up the counts of the accepting ones. More candidates mean more shards, neither more passes nor
+   larger tries, and no trie leaves its task.
 
 Blocks reach the tasks in Arrow batches of ``BATCH_BYTES``, so that memory follows neither the blocks of a task nor the text.
 A phrase's parts are shorter frequent phrases, so their counts are joined from the levels below.
@@ -20,7 +21,6 @@ A phrase's parts are shorter frequent phrases, so their counts are joined from t
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.blocks import byte_blocks, give_back, giving_back
+from logtide.llm.blocks import byte_blocks, giving_back
 from logtide.llm.bytes_np import LOWER, mix, span_hashes, text_bytes, word_bounds
 from logtide.llm.common import arrow_bytes, stored, text_of, with_python
 from logtide.llm.double_array import Trie
@@ -43,19 +43,21 @@ COVERED = 50
 TOP = 2000
 #: Language of texts that have none.
 NO_LANGUAGE = "und"
-#: Size of the bitmaps (bits, as a power of two) and of a trie.
+#: Size of the bitmaps (bits, as a power of two), and places in the text for each trie (so phrases in it at most, on average).
 BUCKET_BITS = 26
 TRIE_PHRASES = 250_000
 #: Words that are looked up in the texts by a broadcast list; more are joined.
 MAX_SPELLED = 1_000_000
-#: Splits of the blocks that one task takes where its output shrinks with them (two tasks for each core at least).
-SPLITS = 4
+#: Parts of a language's phrases that are ranked by themselves first.
+RANKED = 64
 #: Bytes of text in a block.
 CUT_BYTES = 1 << 20
 #: Bytes of an Arrow batch of blocks; the last block in it may go beyond.
 BATCH_BYTES = 4 << 20
 #: Phrase hashes whose buckets a task counts at once.
 COUNTED = 1 << 22
+#: Candidates, each once for a block, that a task combines before it deals them.
+DEALT = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCKS = "langs array<long>, symbols array<long>, counts array<long>, low binary, high binary"
 
@@ -216,62 +218,84 @@ def _heavy(min_count: int):
     return giving_back(run)
 
 
-def _candidates(words, shorter, heavy, size: int):
+def _combined(phrases: np.ndarray, name: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal phrases (rows of symbols) that follow each other by name as one, with the sum of their counts; names ascend."""
+    order = np.argsort(name)
+    phrases, name = phrases[order], name[order]
+    first = np.flatnonzero(np.concatenate([[True], (phrases[1:] != phrases[:-1]).any(axis=1)])) if len(name) else order
+    return phrases[first], name[first], np.add.reduceat(n[order], first) if len(name) else n
+
+
+def _candidates(words, shorter, heavy, size: int, shards: int):
+    """Candidates with their counts in some blocks, dealt to shards by their names: (shard, phrases of 8 bytes a symbol, counts of 4)."""
+
+    def dealt(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        phrases, name, n = _combined(*map(np.concatenate, zip(*found, strict=True)))
+        for a in range(0, len(name), DEALT):
+            shard = (((name[a:a + DEALT] >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)  # ascends with the names
+            starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+            ends = np.append(starts, len(shard)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[starts]), _cuts(phrases[a:a + DEALT].astype("<u8").tobytes(), 8 * size * ends),
+                 _cuts(n[a:a + DEALT].astype("<u4").tobytes(), 4 * ends)], ["shard", "phrases", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
             for symbols, row in _opened(batch):
                 at, name = _places(symbols, row, words.value, shorter and shorter.value, size)
                 some = _hit(heavy.value, name)
-                at = at[some][np.unique(name[some], return_index=True)[1]]
-                parts = [pa.array(symbols[row[at + k]].view(np.int64)) for k in range(size)]
-                yield pa.RecordBatch.from_arrays(parts, [f"s{k + 1}" for k in range(size)])
+                at, name = at[some], name[some]
+                found.append(_combined(np.column_stack([symbols[row[at + k]] for k in range(size)]), name, np.ones(len(at), np.int64)))
+                held += len(found[-1][1])
+                if held >= DEALT:
+                    yield from dealt(found)
+                    found, held = [], 0
+        if held:
+            yield from dealt(found)
 
     return giving_back(run)
 
 
-def _build(size: int):
-    """One shard of candidates (shard, s1, s2, ...) to a trie."""
-
-    def run(table: pa.Table) -> pa.Table:
-        paths = np.column_stack([table.column(f"s{k + 1}").to_numpy() for k in range(size)])
-        symbols, local = np.unique(paths.view(np.uint64), return_inverse=True)
-        local = local.reshape(paths.shape).astype(np.int32)
-        packed = pickle.dumps((symbols, local, Trie(local, len(symbols))), protocol=5)
-        give_back()
-        return pa.table({"shard": table.column("shard").slice(0, 1), "trie": pa.array([packed], pa.binary())})
-
-    return run
-
-
-def _walk(trie):
-    """Counts of a trie's phrases in the blocks of this task: (path, n)."""
+def _counted(phrases: np.ndarray, n: np.ndarray, min_count: int) -> pa.RecordBatch:
+    """A shard's phrases that occur ``min_count`` times or more, from all its phrases and their counts in
+    parts of the text: (s1, s2, ..., name, n)."""
+    size = phrases.shape[1]
+    # The shard is whole, so its own buckets (eight or more a row) choose among its candidates once more.
+    bucket = (mix(reduce(_joined, phrases.T)) & np.uint64((8 << len(n).bit_length()) - 1)).astype(np.int64)
+    some = (np.bincount(bucket, n) >= min_count)[bucket]
+    phrases, n = phrases[some], n[some]
+    symbols, local = np.unique(phrases, return_inverse=True)
+    local = local.reshape(phrases.shape).astype(np.int32)
+    paths = local[np.lexsort(local.T[::-1])]
+    paths = paths[np.concatenate([[True], (paths[1:] != paths[:-1]).any(axis=1)])] if len(paths) else paths
+    total = Trie(paths, len(symbols)).count(local.ravel(), size, len(paths), np.arange(0, local.size, size), n)
+    often = total >= min_count
+    parts = [symbols[paths[often, k]] for k in range(size)]
+    return pa.RecordBatch.from_arrays(
+        [*[pa.array(p.view(np.int64)) for p in parts], pa.array(reduce(_joined, parts).view(np.int64)), pa.array(total[often])],
+        [*[f"s{k + 1}" for k in range(size)], "name", "n"])
+
+
+def _walk(size: int, min_count: int):
+    """Sorted rows (shard, phrases, counts) to the phrases that reach the minimum, by a trie for each shard; one shard is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, paths, automaton = trie.value
-        total = np.zeros(len(paths), np.int64)
-        for batch in batches:
-            for own, row in _opened(batch):
-                at = np.minimum(np.searchsorted(symbols, own), len(symbols) - 1)
-                local = np.append(np.where(symbols[at] == own, at, -1), -1).astype(np.int32)
-                total += automaton.count(local[row], paths.shape[1], len(paths))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["path", "n"])
-
-    return giving_back(run)
+        shard, held = None, []
 
+        def counted() -> pa.RecordBatch:
+            phrases, counts = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held, strict=True), ("<u8", "<u4"), strict=True))
+            return _counted(phrases.reshape(-1, size), counts.astype(np.int64), min_count)
 
-def _name(trie):
-    """Counted paths (path, n) with their symbols and the phrase's name: (s1, s2, ..., name, n)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, paths, _ = trie.value
-        size = paths.shape[1]
         for batch in batches:
-            where = paths[batch.column("path").to_numpy()]
-            parts = [symbols[where[:, k]] for k in range(size)]
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(p.view(np.int64)) for p in parts], pa.array(reduce(_joined, parts).view(np.int64)), batch.column("n")],
-                [*[f"s{k + 1}" for k in range(size)], "name", "n"])
+            for s, phrases, counts in zip(*(batch.column(c).to_pylist() for c in ("shard", "phrases", "counts")), strict=True):
+                if s != shard and held:
+                    yield counted()
+                    held = []
+                shard = s
+                held.append((phrases, counts))
+        if held:
+            yield counted()
 
     return giving_back(run)
 
@@ -291,33 +315,19 @@ def frequent_phrases(blocks: DataFrame, words: DataFrame, size: int, shorter: Da
                      bits: int = BUCKET_BITS, trie_phrases: int = TRIE_PHRASES) -> DataFrame:
     """(s1, ..., name, n) of the phrases of ``size`` words that occur ``min_count`` times or more; ``words`` and
     ``shorter`` hold the frequent ones (``name``) of one word and of size - 1 words."""
-    spark = blocks.sparkSession
-    sc = spark.sparkContext
-    parts = [f"s{k + 1}" for k in range(size)]
-    typed = ", ".join(f"{p} long" for p in parts)
+    sc = blocks.sparkSession.sparkContext
+    typed = ", ".join(f"s{k + 1} long" for k in range(size))
     packed = blocks.select("symbols", "low", "high")
     word_bits = sc.broadcast(bitmap(words, bits))
     shorter_bits = sc.broadcast(bitmap(shorter, bits)) if size > 2 else None
     buckets = packed.mapInArrow(_buckets(word_bits, shorter_bits, size, bits), "part int, places binary, counts binary")
     buckets = buckets.repartition("part").sortWithinPartitions("part").mapInArrow(_heavy(min(min_count, 255)), "name long")
     heavy = sc.broadcast(bitmap(buckets, bits))
-    # Tasks of several splits send a candidate, or a count of it, once for all of them.
-    wide = packed.coalesce(max(2 * sc.defaultParallelism, packed.rdd.getNumPartitions() // SPLITS))
-    found = wide.mapInArrow(_candidates(word_bits, shorter_bits, heavy, size), typed).distinct()
-    found = stored(found, f"candidates-{size}")
-    shards = max(1, -(-found.count() // trie_phrases))
-    dealt = found.withColumn("shard", F.pmod(F.xxhash64(*parts), F.lit(shards)).cast("int"))
-    tries = stored(dealt.groupBy("shard").applyInArrow(_build(size), "shard int, trie binary"), f"tries-{size}")
-    counts = []
-    for shard in range(shards):
-        for cell in tries.where(F.col("shard") == shard).toArrow().column("trie"):  # one, of bounded size
-            trie = sc.broadcast(pickle.loads(cell.as_buffer()))
-            counted = wide.mapInArrow(_walk(trie), "path int, n long").groupBy("path").agg(F.sum("n").alias("n"))
-            counted = counted.where(F.col("n") >= min_count).mapInArrow(_name(trie), f"{typed}, name long, n long")
-            counts.append(stored(counted, f"counts-{size}"))
-    if not counts:
-        return spark.createDataFrame([], f"{typed}, name long, n long")
-    return reduce(DataFrame.unionByName, counts)
+    # Places of phrases that begin with a frequent word: a shard has ``trie_phrases`` of them on average at most, and so no more candidates.
+    places = words.agg(F.sum("n")).first()[0] or 0
+    found = packed.mapInArrow(_candidates(word_bits, shorter_bits, heavy, size, max(1, -(-places // trie_phrases))),
+                              "shard int, phrases binary, counts binary")
+    return found.repartition("shard").sortWithinPartitions("shard").mapInArrow(_walk(size, min_count), f"{typed}, name long, n long")
 
 
 def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
@@ -372,8 +382,12 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_wo
     scored = stored(reduce(DataFrame.unionByName, scored), "scored")
 
     # Words are spelled out for phrases that can still be among the first; ties in both numbers stay.
-    near = F.rank().over(Window.partitionBy("lang_key").orderBy(F.col("score").desc(), F.col("a").desc()))
-    best = stored(scored.withColumn("near", near).where(F.col("near") <= top).drop("near").withColumn("row", F.monotonically_increasing_id()), "best")
+    # What is not among the first of a part of its language's is not among the first of all, so no task ranks all of a language.
+    best = scored
+    for keys in (["lang_key", F.pmod(F.xxhash64("symbols"), F.lit(RANKED))], ["lang_key"]):
+        near = F.rank().over(Window.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("a").desc()))
+        best = best.withColumn("near", near).where(F.col("near") <= top).drop("near")
+    best = stored(best.withColumn("row", F.monotonically_increasing_id()), "best")
     used = best.select("row", F.posexplode("symbols").alias("at", "s1"))
     few = None
     if best.count() * max_words <= MAX_SPELLED:

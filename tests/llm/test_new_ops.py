@@ -175,6 +175,51 @@ def test_phrase_buckets_are_counted_in_bounded_steps(monkeypatch):
     assert whole[0] == 1 and steps[0] > 3 and steps[1] == whole[1] and whole[1].total() > 3000
 
 
+def test_double_array_counts_given_places_many_times():
+    paths = np.array([[0, 1], [1, 1], [2, 0]], np.int32)
+    text = np.array([0, 1, 1, 1, 2, 2, -1, 0, 0, 1], np.int32)
+    assert Trie(paths, 3).count(text, 2, 3, np.arange(0, 10, 2), np.array([5, 7, 11, 13, 2 ** 40])).tolist() == [5 + 2 ** 40, 7, 0]
+
+
+def test_phrases_of_many_tries_take_one_pass_over_the_blocks(spark, monkeypatch):
+    passes = Counter()
+    for name in ("_buckets", "_candidates", "_walk"):
+        monkeypatch.setattr(phrases, name, lambda *args, name=name, task=getattr(phrases, name): passes.update([name]) or task(*args))
+    rnd = random.Random(6)
+    rows = [(" ".join(rnd.choice("abcdefghij") for _ in range(200)), rnd.choice(["en", "de"])) for _ in range(30)]
+    got = phrases.mine(spark.createDataFrame(rows, "text string, lang string").repartition(5), min_count=5, bits=12, trie_phrases=40)
+    assert sorted(rows_of(got, "lang", "rank", "phrase", "a", "l", "r", "n", "score")) == plain_phrases(rows, min_count=5)
+    # 6000 places are 150 tries a level.
+    assert passes == {"_buckets": 2, "_candidates": 2, "_walk": 2}
+
+
+def test_phrases_are_dealt_combined_and_counted_by_shard(monkeypatch):
+    rnd = np.random.default_rng(8)
+    every = type("Value", (), {"value": np.full(1, np.uint64(2 ** 64 - 1))})()
+    symbols = rnd.integers(0, 2 ** 62, 60)
+    batches, want = [], Counter()
+    for _ in range(9):
+        own, row = rnd.permutation(symbols)[:50], (51 * rnd.random(500) ** 2).astype(np.int64)
+        batches.append(pa.record_batch({"symbols": [own.tolist()], "low": [row.astype("<u2").tobytes()], "high": [b""]}))
+        want.update((int(own[a]), int(own[b])) for a, b in zip(row[:-1], row[1:], strict=True) if max(a, b) < 50)
+    monkeypatch.setattr(phrases, "DEALT", 700, raising=False)
+    dealt = pa.Table.from_batches(list(phrases._candidates(every, None, every, 2, 8)(iter(batches))))
+    assert set(dealt["shard"].to_pylist()) == set(range(8)) and dealt.num_rows > 16
+    sent = sum(len(x) // 16 for x in dealt["phrases"].to_pylist())
+    assert len(want) < sent < want.total()
+    counted = phrases._walk(2, 5)(iter(dealt.sort_by("shard").to_batches(max_chunksize=3)))
+    rows = [r for b in counted for r in b.to_pylist()]
+    assert Counter({(r["s1"], r["s2"]): r["n"] for r in rows}) == Counter({p: n for p, n in want.items() if n >= 5})
+    assert len(rows) == sum(n >= 5 for n in want.values())
+
+
+@pytest.mark.parametrize("top", [1, 7])
+def test_phrases_ranked_by_parts_keep_ties(spark, top):
+    rows = [(". ".join(["q" + w + " z" + w for w in "abcdefghijklmnopqrst"] * k), lang) for k, lang in ((10, "en"), (12, "de"), (2, "en"))]
+    got = phrases.mine(spark.createDataFrame(rows, "text string, lang string"), top=top)
+    assert sorted(rows_of(got, "lang", "rank", "phrase", "a", "l", "r", "n", "score")) == plain_phrases(rows, top=top)
+
+
 def test_phrases_of_odd_and_no_texts(odd_docs, no_docs):
     assert phrases.mine(no_docs).count() == 0
     got = phrases.mine(odd_docs)
